@@ -261,11 +261,11 @@ def _(spark, d):
     r AS (SELECT c_name, count(*) AS n, avg(l_extendedprice) AS a FROM race GROUP BY 1 HAVING count(*) >= 10),
     best AS (SELECT c_name FROM (SELECT c_name, rank() OVER (ORDER BY a DESC) AS k FROM r) WHERE k <= 10)
     SELECT race_year, c_name, count(*) AS total_races, round(sum(l_extendedprice), 2) AS total_points,
-    round(avg(l_extendedprice), 4) AS avg_points FROM race WHERE c_name IN (SELECT c_name FROM best) GROUP BY 1, 2""",
+    round(avg(l_extendedprice), 6) AS avg_points FROM race WHERE c_name IN (SELECT c_name FROM best) GROUP BY 1, 2""",
 )
 def _(spark, d):
     out = A.top_entity_series(R.race_rows(spark, d), "c_name", "race_year", "l_extendedprice", 10, min_rows=10)
-    return rounded(out, 2, avg_points=4)
+    return rounded(out, 2, avg_points=6)
 
 
 @query(
@@ -396,14 +396,14 @@ def _(spark, d):
 @query(
     "top_rank_filter", "G6", "F2",
     sql="""WITH a AS (SELECT o_custkey, avg(o_totalprice) AS a, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) >= 5)
-    SELECT o_custkey, n, round(a, 4) AS avg_price, k AS rank FROM
+    SELECT o_custkey, n, round(a, 6) AS avg_price, k AS rank FROM
     (SELECT *, rank() OVER (ORDER BY a DESC) AS k FROM a) WHERE k <= 10""",
 )
 def _(spark, d):
     sums = A.keyed_totals(
         table(spark, d, "orders"), ["o_custkey"], {"avg_price": F.avg("o_totalprice"), "n": F.count(F.lit(1))}
     ).filter("n >= 5")
-    return rounded(K.top_ranked(sums, ["-avg_price"], 10), 4)
+    return rounded(K.top_ranked(sums, ["-avg_price"], 10))
 
 
 @query(

@@ -17,7 +17,7 @@ from lakeops.sources.streams import stream_json
 @query("overwrite_parquet_path", "B1", sql="SELECT * FROM part")
 def _(spark, d):
     path = new_dir(spark, "part")
-    T.write_table(table(spark, d, "part").limit(1), path)
+    T.write_table(table(spark, d, "part").filter("p_size > 25"), path)
     T.write_table(table(spark, d, "part"), path)
     return read_parquet(spark, path)
 
@@ -222,18 +222,22 @@ def _(spark, d):
 
 def _versions(spark, d):
     """Two snapshots of the orders: deletions, changes and insertions between them."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    old = o.filter("o_orderkey % 10 <> 3")
-    price = F.when(F.col("o_orderkey") % 10 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    new = o.filter("o_orderkey % 10 <> 7").withColumn("o_totalprice", price)
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    kind = F.col("o_orderpriority")
+    old = o.filter(kind != "1-URGENT")
+    price = F.when(kind == "3-MEDIUM", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    new = o.filter(kind != "5-LOW").withColumn("o_totalprice", price)
     return old, new
 
 
+_CHANGED_PRICE = "CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice"
+
+
 @query(
     "snapshot_change_rows", "B18",
-    sql="""SELECT CASE o_orderkey % 10 WHEN 3 THEN 'I' WHEN 5 THEN 'U' ELSE 'D' END AS change, o_orderkey, o_orderstatus,
-    CASE WHEN o_orderkey % 10 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
-    FROM orders WHERE o_orderkey % 10 IN (3, 5, 7)""",
+    sql=f"""SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'I' WHEN '3-MEDIUM' THEN 'U' ELSE 'D' END AS change,
+    o_orderkey, o_orderpriority, {_CHANGED_PRICE}
+    FROM orders WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM', '5-LOW')""",
 )
 def _(spark, d):
     old, new = _versions(spark, d)
@@ -242,8 +246,7 @@ def _(spark, d):
 
 @query(
     "snapshot_change_apply", "B18",
-    sql="""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 5 THEN o_totalprice + 1 ELSE o_totalprice END
-    AS o_totalprice FROM orders WHERE o_orderkey % 10 <> 7""",
+    sql=f"SELECT o_orderkey, o_orderpriority, {_CHANGED_PRICE} FROM orders WHERE o_orderpriority <> '5-LOW'",
 )
 def _(spark, d):
     old, new = _versions(spark, d)
