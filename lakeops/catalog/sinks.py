@@ -131,7 +131,7 @@ def _(spark, d):
 def _(spark, d):
     name, mark = f"{scratch_db(spark)}.latest", new_dir(spark, "mark")
     stream = R.event_stream(spark, d).select("user_id", "event_id", "event_type", "value")
-    Z.row_sink(stream, name, mark, "user_id", "event_id")
+    Z.row_sink(stream, name, mark, "user_id", "event_id", buckets=8)
     return T.read_upserted(spark, name)
 
 

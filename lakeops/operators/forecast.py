@@ -22,6 +22,7 @@ from lakeops.functions.times import next_days
 from lakeops.operators.ordered import HALO, block_window, join_null_safe, row_numbers, split_blocks
 from lakeops.operators.series import DATE, SYMBOL, indicators
 from lakeops.operators.windows import _chunk, bfill
+from lakeops.session import materialise
 
 MIN_ROWS, MIN_ROWS_FOREST = 10, 20
 
@@ -31,7 +32,7 @@ def _products(features: Sequence[str], target: str) -> list[Column]:
     k = len(features)
     xx = [F.sum(F.col(features[i]) * F.col(features[j])) for i in range(k) for j in range(i, k)]
     xy = [F.sum(F.col(f) * F.col(target)) for f in features]
-    return [F.array(*xx).alias("_xx"), F.array(*xy).alias("_xy")]
+    return [F.array(*xx).alias("xx"), F.array(*xy).alias("xy")]
 
 
 def solve(xx: Sequence[float], xy: Sequence[float]) -> np.ndarray:
@@ -84,13 +85,13 @@ def ar_products(df: DataFrame, p: int = 5, symbol=SYMBOL, date=DATE, chunk=None,
         F.max(DATE).alias("last_date"),
         F.max_by(recent, F.col(DATE)).alias("_last"),
         *_products(lags, "_d"),
-    ).select(SYMBOL, "n", "last_date", "_last.close", "_last.steps", "_xx", "_xy")
+    ).select(SYMBOL, "n", "last_date", "_last.close", "_last.steps", "xx", "xy")
 
 
 def _predict_ar(row, horizon: int) -> list[float]:
-    if row.n < MIN_ROWS or not _usable(row._xx, row._xy):
+    if row.n < MIN_ROWS or not _usable(row.xx, row.xy):
         return [float(row.close)] * horizon
-    coef = solve(row._xx, row._xy)
+    coef = solve(row.xx, row.xy)
     steps = [0.0 if s is None else float(s) for s in row.steps]
     level, out = float(row.close), []
     for _ in range(horizon):
@@ -144,9 +145,9 @@ def forecast_trend_seasonal(
     waves = list(periods)
 
     def predict(row, n: int) -> list[float]:
-        if row.n < MIN_ROWS or not _usable(row._xx, row._xy):
+        if row.n < MIN_ROWS or not _usable(row.xx, row.xy):
             return [float(row.close)] * n
-        coef = solve(row._xx, row._xy)
+        coef = solve(row.xx, row.xy)
         t = row.t_last + np.arange(1, n + 1)
         parts = [np.ones(n), t / row.span]
         for p in waves:
@@ -190,6 +191,8 @@ def forecast_forest(
     feats = bfill(indicators(src, chunk=cut), SYMBOL, DATE, FEATURES, cut)
     sizes = src.groupBy(SYMBOL).agg(F.count(F.lit(1)).alias("n"))
     placed = join_null_safe(row_numbers(feats, SYMBOL, [DATE], "_at", cut), sizes, [SYMBOL])
+    # the fit reads the features many times: write them once instead of redoing the windows
+    placed = materialise(placed, "forest")
     train = placed.filter(F.col("_at") <= F.greatest(F.lit(5), F.col("n") - hold_out))
     last = placed.filter(F.col("_at") == F.col("n"))
     stages = [

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.text import template, text_or
+from lakeops.operators.aggregate import distinct_values
 from lakeops.operators.joins import keep_not_in
-from lakeops.operators.topk import dedup_keep_first, top_n, top_n_per_group, union_tagged
+from lakeops.operators.topk import dedup_keep_first, top_n_per_group, union_tagged
 from lakeops.operators.windows import max_normalise
 
 
@@ -290,7 +291,8 @@ def headline_filter(df: DataFrame, tickers: DataFrame, title: str = "title", tic
     neither side is compared pair by pair.
     """
     wanted = tickers.select(ticker).filter(F.length(ticker) > 0).distinct()
-    lengths = wanted.agg(F.sort_array(F.collect_set(F.length(ticker)))).scalar()
+    found = distinct_values(wanted.select(F.length(ticker).alias("n")), "n")
+    lengths = F.array(*[F.lit(n) for n in found]) if found else F.array().cast("array<int>")
     last_start = lambda n: F.length(title) - n + 1
     pieces = F.flatten(
         F.transform(
@@ -301,8 +303,3 @@ def headline_filter(df: DataFrame, tickers: DataFrame, title: str = "title", tic
     cut = df.withColumn(ticker, F.explode(F.array_distinct(pieces)))
     return cut.join(wanted, ticker)
 
-
-__all__ = [
-    "render_text", "render_sections", "metadata_struct", "embed", "hash_embed", "incremental_embed", "cosine",
-    "vector_topk", "keyword_scores", "hybrid_topk", "merge_indexes", "build_context", "headline_filter", "top_n",
-]

@@ -72,6 +72,7 @@ def row_sink(
     mode: str = "append",
     fmt: str | None = None,
     options: dict[str, str] | None = None,
+    buckets: int = 64,
     timeout: int = 600,
 ) -> None:
     """Rows of a stream into a keyed table, set by set.
@@ -85,7 +86,7 @@ def row_sink(
         if fmt:
             batch.write.format(fmt).options(**(options or {})).mode("append").save()
         elif keys:
-            upsert_batch(batch, target, keys, order_col)
+            upsert_batch(batch, target, keys, order_col, buckets)
         else:
             # one folder per batch id: a replayed batch replaces itself
             batch.write.mode("overwrite").parquet(f"{target}/batch={int(batch_id)}")

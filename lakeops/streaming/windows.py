@@ -149,11 +149,15 @@ def trip_window_metrics(
 
 
 def running_trip_summary(
-    stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id")
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id"),
+    buckets: int = 64,
 ) -> None:
     """Trip summary re-emitted on every change and merged into a table by trip."""
     out = trip_summary(stream, keys).withColumn("_version", F.col("event_count"))
-    row_sink(out, table, checkpoint, list(keys), "_version", mode="update")
+    row_sink(out, table, checkpoint, list(keys), "_version", mode="update", buckets=buckets)
 
 
 def session(
