@@ -11,6 +11,7 @@ from lakeops.functions.text import clause, strip_markup
 from lakeops.operators import markup as MK
 from lakeops.operators import retrieval as V
 from lakeops.plans import roles as R
+from lakeops.session import fan_out, materialise
 
 ORDER_TEXT_SQL = """'Order ' || o_orderkey::VARCHAR || ' by ' || c_name || ' is ' || {state}
 || CASE WHEN o_totalprice > 300000 THEN '. High value, priority ' || o_orderpriority ELSE '' END
@@ -77,12 +78,12 @@ def _flat(df):
 
 @query("embed_with_model", "M4", "N2", "F3", sql=f"SELECT doc_id, {_DIGEST} FROM documents")
 def _(spark, d):
-    return _flat(V.embed(table(spark, d, "documents"), "doc_id", "text", digest_model))
+    return _flat(V.embed(fan_out(table(spark, d, "documents")), "doc_id", "text", digest_model))
 
 
 @query("embed_hashed_tfidf", "M4")
 def _(spark, d):
-    e = V.hash_embed(table(spark, d, "documents"), "doc_id", "text", 64)
+    e = V.hash_embed(fan_out(table(spark, d, "documents")), "doc_id", "text", 64)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
     return rounded(e.select("doc_id", F.size("embedding").alias("dims"), norm.alias("length")))
 
@@ -153,7 +154,7 @@ def _questions(spark, d):
 
 
 def _texts(spark, d):
-    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    return fan_out(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
 
 
 @query(
@@ -191,7 +192,7 @@ merged AS (SELECT *, CASE pos WHEN 0 THEN 'words' ELSE 'density' END AS source,
 
 
 def _merged(spark, d):
-    scored = rounded(V.keyword_scores(_questions(spark, d), _texts(spark, d)))
+    scored = materialise(rounded(V.keyword_scores(_questions(spark, d), _texts(spark, d))), "scores")
     length = _texts(spark, d).withColumn("_n", F.size(V.words(F.col("text"))))
     words_index = scored.join(_texts(spark, d), "id")
     density = scored.join(length, "id").withColumn("score", F.col("score") / (1 + F.col("_n"))).drop("_n")
@@ -224,7 +225,7 @@ def _(spark, d):
 )
 def _(spark, d):
     rules = {"link": 'href="([^"]*)"', "title": ">([^<]*)</a>"}
-    return MK.extract_fields(table(spark, d, "pages"), "html", "<li>(.*?)</li>", rules, keep=("page_id",))
+    return MK.extract_fields(fan_out(table(spark, d, "pages")), "html", "<li>(.*?)</li>", rules, keep=("page_id",))
 
 
 @query(
@@ -235,7 +236,7 @@ def _(spark, d):
       '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>') AS plain FROM pages""",
 )
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", strip_markup(F.col("html")).alias("plain"))
+    return fan_out(table(spark, d, "pages")).select("page_id", strip_markup(F.col("html")).alias("plain"))
 
 
 @query(

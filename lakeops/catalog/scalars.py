@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.catalog.base import query, rounded, table
 from lakeops.functions import cases, geo, payload, text, times
 from lakeops.plans import roles as R
+from lakeops.session import fan_out
 
 
 @query(
@@ -59,7 +60,7 @@ CLEAN_SQL = r"""
 
 @query("clean_page_title", "I5", "M11", sql=f"SELECT page_id, {CLEAN_SQL.format(c='html')} AS title FROM pages")
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", text.clean_title(F.col("html")).alias("title"))
+    return fan_out(table(spark, d, "pages")).select("page_id", text.clean_title(F.col("html")).alias("title"))
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.catalog.base import query, scratch_db, table
 from lakeops.plans import roles as R
-from lakeops.session import new_dir
+from lakeops.session import fan_out, new_dir
 from lakeops.sinks.streams import stream_to_table
 from lakeops.sources import files as S
 from lakeops.sources import messages as M
@@ -239,7 +239,7 @@ def _(spark, d):
         .when(kind == "signup", F.lit("  "))
         .otherwise(F.lit('{"detail": {}}'))
     )
-    queue = R.events(spark, d).select(body.alias("body"))
+    queue = fan_out(R.events(spark, d)).select(body.alias("body"))
     parsed = F.from_json("detail", "event_id BIGINT, user_id BIGINT, event_type STRING")
     return M.unwrap_envelope(queue).select(parsed.alias("p")).select("p.*")
 

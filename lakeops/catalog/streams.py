@@ -254,16 +254,18 @@ SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS window_start,
   count(*) AS n, round(sum(value), 4) AS total FROM s GROUP BY user_id, sid"""
 
 
+def session_measures():
+    return {"n": ("sum", F.lit(1)), "total": ("sum", F.col("value"))}
+
+
 @query("session_windows_batch", "K13", sql=SESSION_SQL.format(gap=21600))
 def _(spark, d):
-    aggs = {"n": F.count(F.lit(1)), "total": F.sum("value")}
-    return rounded(K.session(R.events(spark, d), "ts", 21600, "user_id", aggs, tie=["event_id"]), 4)
+    return rounded(K.session(R.events(spark, d), "ts", 21600, "user_id", session_measures()), 4)
 
 
 @query("session_windows_stream", "K13", sql=SESSION_SQL.format(gap=21600))
 def _(spark, d):
-    aggs = {"n": F.count(F.lit(1)), "total": F.sum("value")}
-    out = complete(K.session(timed_events(spark, d), "event_time", 21600, "user_id", aggs), "session")
+    out = complete(K.session(timed_events(spark, d), "event_time", 21600, "user_id", session_measures()), "session")
     return rounded(unzoned(out, "window_start", "window_end"), 4)
 
 

@@ -11,6 +11,7 @@ from lakeops.functions.cases import indicator
 from lakeops.functions.times import text_seconds_between
 from lakeops.operators.ordered import names
 from lakeops.operators.topk import top_ranked
+from lakeops.session import materialise
 
 
 def dominance(
@@ -56,17 +57,18 @@ def top_entity_series(
     df: DataFrame, entity: str, year: str, points: str, n: int, min_rows: int = 1
 ) -> DataFrame:
     """Yearly totals of the n entities with the best average points."""
-    ranked = dominance(df, entity, points, min_rows)
-    best = top_ranked(ranked, ["-avg_points"], n).select(entity)
-    return (
-        df.join(best, entity, "left_semi")
-        .groupBy(year, entity)
-        .agg(
-            F.count(F.lit(1)).alias("total_races"),
-            F.sum(points).alias("total_points"),
-            F.avg(points).alias("avg_points"),
-        )
+    # one pass over the input: sums per (year, entity) hold everything the ranking needs
+    sums = df.groupBy(year, entity).agg(
+        F.count(F.lit(1)).alias("total_races"),
+        F.count(points).alias("_n"),
+        F.sum(points).alias("total_points"),
     )
+    sums = materialise(sums, "series")
+    total = F.sum("total_points") / F.sum("_n")
+    ranked = sums.groupBy(entity).agg(F.sum("total_races").alias("rows"), total.alias("avg_points"))
+    best = top_ranked(ranked.filter(F.col("rows") >= min_rows), ["-avg_points"], n).select(entity)
+    kept = sums.join(best, entity, "left_semi")
+    return kept.withColumn("avg_points", F.col("total_points") / F.col("_n")).drop("_n")
 
 
 def distinct_dim(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.cases import indicator
 from lakeops.operators.joins import range_to_points
 from lakeops.operators.ordered import names, running, with_previous
+from lakeops.session import materialise
 
 
 def billed_vs_collected(
@@ -58,6 +59,8 @@ def coverage_timeline(
     opens = F.col("_through").isNull() | (F.col(start) > F.date_add("_through", 1))
     overlaps = F.col("_through").isNotNull() & (F.col(start) <= F.col("_through"))
     marked = ends.withColumns({"_open": indicator(opens), "_over": indicator(overlaps)})
+    # the next step reads this twice
+    marked = materialise(marked.select(holder, start, end, tie, "_open", "_over"), "cover")
     numbered = running(marked, holder, order, {"_island": F.col("_open")}, "sum", cut)
     islands = numbered.groupBy(holder, "_island").agg(
         F.min(start).alias("cover_start"),
@@ -65,6 +68,7 @@ def coverage_timeline(
         F.count(F.lit(1)).alias("policies"),
         F.sum("_over").alias("overlaps"),
     )
+    islands = materialise(islands, "islands")
     year = F.date_trunc("year", F.col("cover_start"))
     prev = with_previous(islands, holder, ["cover_start"], ["cover_end"], year)
     gap = F.datediff("cover_start", "prev_cover_end") - 1

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.session import materialise
+
 CHUNK, ROW, BLOCK, HALO = "_chunk", "_row", "_block", "_halo"
 
 
@@ -159,13 +161,18 @@ def ranks(
     order: Sequence[str],
     out: str = "rank",
     chunk: Column | str | None = None,
+    stage: bool = True,
 ) -> DataFrame:
     """``rank()`` with gaps per key (or overall), by counting rows that sort before.
 
     Rows with equal order values are first folded into one row with a count, so
-    neither a huge group nor a huge tie meets in one task.
+    neither a huge group nor a huge tie meets in one task.  The input is read
+    several times; it is written once before (``stage``), because what is ranked
+    is mostly an aggregate that is dear to compute and small to keep.
     """
     by, keys = names(by), bare(order)
+    if stage:
+        df = materialise(df, "rank")
     values = [k for k in keys if k not in by]
     folded = df.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("_n"))
     counted = running(folded, by, order, {"_through": F.col("_n")}, chunk=chunk)

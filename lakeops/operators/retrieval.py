@@ -18,6 +18,7 @@ from lakeops.operators.aggregate import distinct_values
 from lakeops.operators.joins import keep_not_in
 from lakeops.operators.topk import dedup_keep_first, top_n_per_group, union_tagged
 from lakeops.operators.windows import max_normalise
+from lakeops.session import materialise
 
 
 def render_text(
@@ -76,7 +77,7 @@ def embed(
 
 def words(col: Column) -> Column:
     """Lower-case words of a text."""
-    return F.filter(F.split(F.lower(col), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(col), r"[^\p{L}\p{N}]+"), "")
 
 
 def hash_embed(df: DataFrame, id_col: str, text_col: str, dims: int = 256) -> DataFrame:
@@ -218,8 +219,10 @@ def keyword_scores(
         .groupBy(doc_id, "_len", "term")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
-    n_docs = lens.agg(F.count(F.lit(1))).scalar()
-    mean_len = lens.agg(F.avg("_len")).scalar()
+    # the postings are read for the word counts and for the scores
+    postings = materialise(postings, "postings")
+    sizes = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("mean")).first()
+    n_docs, mean_len = F.lit(sizes["n"]), F.lit(sizes["mean"])
     df_per_term = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     idf = F.log(1 + (n_docs - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     weights = asked.join(df_per_term, "term").withColumn("_idf", idf)

@@ -21,6 +21,7 @@ from lakeops.operators.ordered import (
     with_previous,
 )
 from lakeops.operators.windows import _chunk, ema_halo, ema_in_blocks, tail_n
+from lakeops.session import materialise
 
 SYMBOL, DATE = "symbol", "date"
 
@@ -107,7 +108,7 @@ def moving_averages(
 def rsi(df: DataFrame, n: int = 14, symbol=SYMBOL, date=DATE, chunk=None, size=100_000) -> DataFrame:
     """Relative strength from simple means; gaps take the last value, 50 at the start."""
     b = _blocks(df, symbol, date, n, size, chunk)
-    raw = drop_halo(_add_rsi(b, symbol, n))
+    raw = materialise(drop_halo(_add_rsi(b, symbol, n)), "rsi")
     return fill_forward(raw, symbol, [date], ["rsi"], _chunk(df, date, chunk)).fillna(50.0, ["rsi"])
 
 
@@ -310,7 +311,7 @@ def indicators(
     b = _add_atr(_add_rsi(_add_moving_averages(b, symbol, (50, 200)), symbol, 14), symbol, 14)
     if macd_too:
         b = ema_in_blocks(b, symbol, macd_rules(12, 26, 9)).drop("_fast", "_slow")
-    out = drop_halo(b)
+    out = materialise(drop_halo(b), "indicators")
     return fill_forward(out, symbol, [date], ["rsi"], _chunk(df, date, chunk)).fillna(50.0, ["rsi"])
 
 

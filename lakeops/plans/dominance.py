@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.aggregate import dominance
 from lakeops.operators.topk import top_ranked
+from lakeops.session import materialise
 from lakeops.plans.roles import POINTS_SQL, race_points
 
 
 def dominant_series(spark: SparkSession, sf_dir: str, top: int = 5, min_rows: int = 20) -> DataFrame:
     """Yearly points of the ``top`` nations by average points."""
-    points = race_points(spark, sf_dir)
+    # ten rows per month: written once, then read by the ranking and by the series
+    points = materialise(race_points(spark, sf_dir), "points")
     ranked = top_ranked(dominance(points, "n_name", "calculated_points", min_rows), ["-avg_points", "n_name"], top)
     best = ranked.select("n_name", F.col("rank").alias("team_rank"))
     # at most `top` rows by construction of the unique rank

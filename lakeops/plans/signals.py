@@ -13,6 +13,7 @@ from lakeops.operators import portfolio as P
 from lakeops.operators import series as S
 from lakeops.operators.ordered import with_previous
 from lakeops.operators.windows import _chunk
+from lakeops.session import materialise
 
 MODELS = {"last": 1, "mean20": 20, "mean5": 5}
 
@@ -51,6 +52,7 @@ def weighted(bars: DataFrame) -> DataFrame:
 
 def signals(bars: DataFrame) -> DataFrame:
     """Expected return, confidence, risk and decision per symbol."""
+    bars = materialise(bars, "bars")  # four branches read them
     price = S.atr(bars).groupBy("symbol").agg(
         F.max_by("close", "date").alias("current_price"), F.max_by("atr14", "date").alias("atr14")
     )

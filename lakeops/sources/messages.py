@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from lakeops.functions import payload
 
 CORRUPT = "_corrupt"
+_KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def _schema(schema: T.StructType | str) -> T.StructType:
@@ -21,8 +22,7 @@ def parse_json_tolerant(
     """Typed rows, and the rows whose text could not be parsed (nothing raises)."""
     wanted = _schema(schema)
     probe = T.StructType([*wanted.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.withColumn("_p", F.from_json(F.col(col), probe, options))
+    parsed = df.withColumn("_p", F.from_json(F.col(col), probe, _KEEP_CORRUPT))
     broken = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
     rest = [c for c in df.columns if c != col]
     good = parsed.filter(~broken).select(*rest, *[F.col(f"_p.`{f.name}`") for f in wanted.fields])
@@ -43,21 +43,17 @@ def unwrap_envelope(df: DataFrame, body: str = "body", out: str = "detail") -> D
     ``detail`` field is taken, else the body is the object itself.  Blank text,
     text that is not a JSON object and an empty detail are dropped.
     """
-    raw = F.col(body)
-    keys = F.when(F.try_parse_json(raw).isNotNull(), F.json_object_keys(raw))
-    inner = F.get_json_object(raw, "$.Message")
-    inner_ok = F.try_parse_json(inner).isNotNull()
+    fields = F.from_json(F.col(body), f"Message STRING, detail STRING, {CORRUPT} STRING", _KEEP_CORRUPT)
+    parsed = df.withColumns({"_f": fields, "_keys": F.json_object_keys(body)})
+    parsed = parsed.filter(F.col("_keys").isNotNull() & F.col(f"_f.{CORRUPT}").isNull())
+    inner = F.from_json("_f.Message", f"detail STRING, {CORRUPT} STRING", _KEEP_CORRUPT)
     detail = (
-        F.when(F.array_contains("_keys", "Message"), F.when(inner_ok, F.get_json_object(inner, "$.detail")))
-        .when(F.array_contains("_keys", "detail"), F.get_json_object(raw, "$.detail"))
-        .otherwise(raw)
+        F.when(F.array_contains("_keys", "Message"), F.when(inner[CORRUPT].isNull(), inner["detail"]))
+        .when(F.array_contains("_keys", "detail"), F.col("_f.detail"))
+        .otherwise(F.col(body))
     )
     # JSON renderings that count as an empty detail.
     empty = ["", "{}", "[]", "0", "0.0", "false", "null"]
-    return (
-        df.withColumn("_keys", keys)
-        .filter(F.col("_keys").isNotNull())
-        .withColumn(out, detail)
-        .filter(F.col(out).isNotNull() & ~F.col(out).isin(empty))
-        .drop("_keys")
-    )
+    # the lambda binds the value once; a filter would compute it again per test
+    usable = F.filter(F.array(detail), lambda v: v.isNotNull() & ~v.isin(empty))
+    return parsed.withColumn(out, F.explode(usable)).drop("_f", "_keys")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,25 +31,25 @@ class PreviousRow(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # one key's rows of one micro-batch, bounded by the source's per-trigger limit
-        batch = pd.concat(list(rows), ignore_index=True).sort_values([self.ts, *self.tie], kind="stable")
-        micros = pd.to_datetime(batch[self.ts]).astype("datetime64[us]").astype("int64")
+        frames = list(rows)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        keys = [batch[c].to_numpy() for c in (*self.tie[::-1], self.ts)]
+        batch = batch.take(np.lexsort(keys))
+        micros = batch[self.ts].to_numpy().astype("datetime64[us]").astype("int64")
         before = self.last.get() if self.last.exists() else None
-        if before is not None and self.drop_late:
+        if before is not None and self.drop_late and micros[0] < before[0]:
             keep = micros >= before[0]
             batch, micros = batch[keep], micros[keep]
-        if batch.empty:
-            return
+            if batch.empty:
+                return
+        values = []
         for i, c in enumerate(self.cols):
-            shifted = batch[c].shift(1).astype(object)
-            if before is not None:
-                shifted.iloc[0] = before[i + 1]
-            batch[f"prev_{c}"] = shifted.where(shifted.notna(), None)
-        end = batch.iloc[-1]
-        values = [None if pd.isna(end[c]) else end[c] for c in self.cols]
-        values = [v.item() if hasattr(v, "item") else v for v in values]
-        newest = int(micros.iloc[-1])
-        if before is not None:
-            newest = max(newest, before[0])
+            col = batch[c].astype(object).to_numpy()
+            first = None if before is None else before[i + 1]
+            batch[f"prev_{c}"] = pd.Series([first, *col[:-1]], index=batch.index, dtype=object)
+            end = batch[c].iloc[-1]
+            values.append(None if pd.isna(end) else end.item() if hasattr(end, "item") else end)
+        newest = int(micros[-1]) if before is None else max(int(micros[-1]), before[0])
         self.last.update((newest, *values))
         yield batch
 

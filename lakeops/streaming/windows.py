@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.cases import indicator
 from lakeops.operators.aggregate import trip_summary
 from lakeops.operators.joins import pair_within
 from lakeops.operators.ordered import names, running, time_chunk, with_previous
+from lakeops.session import materialise
 from lakeops.sinks.streams import row_sink, stream_to_table
 
 
@@ -165,32 +166,47 @@ def session(
     ts: str,
     gap_seconds: int,
     keys: str | Sequence[str],
-    aggs: dict[str, Column],
-    tie: Sequence[str] = (),
+    aggs: dict[str, tuple[str, Column]],
     chunk: Column | str | None = None,
 ) -> DataFrame:
     """Aggregates per session: rows of a key at most ``gap_seconds`` apart.
 
-    A stream uses the built-in session window.  A batch frame marks session
-    starts against the previous row and numbers them with chunked running sums,
-    so one key's history is never sorted in a single task.
+    ``aggs`` gives each output as ("sum" | "min" | "max", expression).  A stream
+    uses the built-in session window.  A batch frame is first folded to session
+    pieces inside each (key, chunk) in one pass; only the pieces, written once,
+    are then compared across chunk borders and merged, so one key's history is
+    never sorted in a single task.
     """
     keys = names(keys)
-    measures = [a.alias(n) for n, a in aggs.items()]
+    folds = {"sum": F.sum, "min": F.min, "max": F.max}
     if df.isStreaming:
+        measures = [folds[kind](c).alias(n) for n, (kind, c) in aggs.items()]
         out = df.groupBy(F.session_window(ts, f"{gap_seconds} seconds").alias("window"), *keys).agg(*measures)
         return _window_bounds(out, keys, list(aggs))
-    cut = time_chunk(ts) if chunk is None else chunk
-    order = [ts, *tie]
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    prev = with_previous(df, keys, order, [ts], cut)
-    gap = micros(F.col(ts)) - micros(F.col(f"prev_{ts}"))
-    start = indicator(F.col(f"prev_{ts}").isNull() | (gap > gap_seconds * 1_000_000))
-    numbered = running(prev, keys, order, {"_session": start}, chunk=cut)
+    limit = gap_seconds * 1_000_000
+    cut = df.select(
+        *keys,
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"),
+        F.col(ts).alias("_ts"),
+        *[c.alias(n) for n, (_, c) in aggs.items()],
+        (time_chunk(ts) if chunk is None else chunk).alias("_part"),
+    )
+    w = Window.partitionBy(*keys, "_part").orderBy("_us")
+    fresh = indicator(F.col("_us") - F.lag("_us").over(w) > limit)
+    local = cut.withColumn("_fresh", fresh).withColumn("_piece", F.sum("_fresh").over(w))
+    pieces = local.groupBy(*keys, "_part", "_piece").agg(
+        F.min("_us").alias("_from"), F.max("_us").alias("_to"), F.min("_ts").alias("_start"), F.max("_ts").alias("_last"),
+        *[folds[kind](n).alias(n) for n, (kind, _) in aggs.items()],
+    )
+    pieces = materialise(pieces.drop("_piece"), "pieces")
+    part = F.col("_part")
+    prev = with_previous(pieces, keys, ["_from"], ["_to"], part)
+    start = indicator(F.col("prev__to").isNull() | (F.col("_from") - F.col("prev__to") > limit))
+    numbered = running(prev, keys, ["_from"], {"_session": start}, chunk=part)
     out = numbered.groupBy(*keys, "_session").agg(
-        F.min(ts).alias("window_start"),
-        (F.max(ts) + F.expr(f"interval {gap_seconds} seconds")).alias("window_end"),
-        *measures,
+        F.min("_start").alias("window_start"),
+        (F.max("_last") + F.expr(f"interval {gap_seconds} seconds")).alias("window_end"),
+        *[folds[kind](n).alias(n) for n, (kind, _) in aggs.items()],
     )
     return out.select("window_start", "window_end", *keys, *aggs)
 
