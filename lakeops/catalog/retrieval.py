@@ -193,10 +193,9 @@ merged AS (SELECT *, CASE pos WHEN 0 THEN 'words' ELSE 'density' END AS source,
 
 def _merged(spark, d):
     scored = materialise(rounded(V.keyword_scores(_questions(spark, d), _texts(spark, d))), "scores")
-    length = _texts(spark, d).withColumn("_n", F.size(V.words(F.col("text"))))
-    words_index = scored.join(_texts(spark, d), "id")
+    length = _texts(spark, d).select("id", F.size(V.words(F.col("text"))).alias("_n"))
     density = scored.join(length, "id").withColumn("score", F.col("score") / (1 + F.col("_n"))).drop("_n")
-    return V.merge_indexes({"words": words_index, "density": density})
+    return V.merge_indexes({"words": scored, "density": density}, texts=_texts(spark, d))
 
 
 @query(

@@ -27,6 +27,9 @@ from lakeops.session import materialise
 
 CHUNK, ROW, BLOCK, HALO = "_chunk", "_row", "_block", "_halo"
 
+# A counted table of at most this many rows may meet in one task.
+SMALL = 200_000
+
 
 def names(cols: str | Sequence[str] | None) -> list[str]:
     if cols is None:
@@ -162,17 +165,21 @@ def ranks(
     out: str = "rank",
     chunk: Column | str | None = None,
     stage: bool = True,
+    small: int = SMALL,
 ) -> DataFrame:
     """``rank()`` with gaps per key (or overall), by counting rows that sort before.
 
     Rows with equal order values are first folded into one row with a count, so
     neither a huge group nor a huge tie meets in one task.  The input is read
     several times; it is written once before (``stage``), because what is ranked
-    is mostly an aggregate that is dear to compute and small to keep.
+    is mostly an aggregate that is dear to compute and small to keep.  A staged
+    input counted at no more than ``small`` rows is ranked by one plain window.
     """
     by, keys = names(by), bare(order)
     if stage:
         df = materialise(df, "rank")
+        if df.count() <= small:  # read from the file footers
+            return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(*sort_columns(order))))
     values = [k for k in keys if k not in by]
     folded = df.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("_n"))
     counted = running(folded, by, order, {"_through": F.col("_n")}, chunk=chunk)

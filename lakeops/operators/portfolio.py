@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.cases import clamp, lookup
 from lakeops.operators.ordered import names, with_previous
+from lakeops.session import materialise
 
 
 def rmse(df: DataFrame, by: str | Sequence[str], actual: str, predicted: str) -> DataFrame:
@@ -109,6 +110,7 @@ def normalise_with_floor(
     aggregates (per ``by``, or over the table as scalar subqueries).
     """
     by = names(by)
+    df = materialise(df, "holdings")  # one row per holding, read by two levels of totals
     first = {"_total": F.sum(F.coalesce(F.col(raw), F.lit(0.0))), "_n": F.count(F.lit(1))}
     base = _with_totals(df, by, first)
     n = F.col("_n").cast("double")

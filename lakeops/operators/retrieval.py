@@ -208,7 +208,8 @@ def keyword_scores(
     """BM25 score of every (query, document) that share a word.
 
     Document words are reduced to the queries' vocabulary by a semi join before
-    they are counted, so only matching postings are shuffled.
+    they are counted, so only matching postings are shuffled, once, by document.
+    Each posting's share of the score is computed before it meets the queries.
     """
     asked = queries.select(query_id, F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
     vocabulary = asked.select("term").distinct()
@@ -216,6 +217,7 @@ def keyword_scores(
     postings = (
         lens.select(doc_id, "_len", F.explode("_w").alias("term"))
         .join(vocabulary, "term", "left_semi")
+        .repartition(doc_id)  # one document is one row, so no document is hot
         .groupBy(doc_id, "_len", "term")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
@@ -225,13 +227,9 @@ def keyword_scores(
     n_docs, mean_len = F.lit(sizes["n"]), F.lit(sizes["mean"])
     df_per_term = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     idf = F.log(1 + (n_docs - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    weights = asked.join(df_per_term, "term").withColumn("_idf", idf)
     tf = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_len") / mean_len))
-    return (
-        postings.join(weights, "term")
-        .groupBy(query_id, doc_id)
-        .agg(F.sum(F.col("_idf") * tf).alias("score"))
-    )
+    shares = postings.join(df_per_term, "term").select(doc_id, "term", (idf * tf).alias("_share"))
+    return shares.join(asked, "term").groupBy(query_id, doc_id).agg(F.sum("_share").alias("score"))
 
 
 def hybrid_topk(
@@ -258,18 +256,23 @@ def merge_indexes(
     query_id: str = "query_id",
     doc_id: str = "id",
     text: str = "text",
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """One ranked list per query from the hits of several indexes.
 
     The best ``per_index`` of each index are scaled by the index's best score (at
     least 1), united in index order, reduced to the first row per text (null or
-    empty text goes) and cut to the k best.
+    empty text goes) and cut to the k best.  ``texts`` (id, text) supplies the text
+    of hits that come without one, after the cut.
     """
     parts = {}
     for pos, (name, frame) in enumerate(hits.items()):
         best = top_n_per_group(frame, query_id, ["-score", doc_id], per_index, out="_r")
         parts[name] = max_normalise(best, query_id, "score").withColumn("_pos", F.lit(pos))
-    united = union_tagged(parts, "source").filter(F.col(text).isNotNull() & (F.col(text) != ""))
+    united = union_tagged(parts, "source")
+    if texts is not None:
+        united = united.join(texts.select(doc_id, text), doc_id)
+    united = united.filter(F.col(text).isNotNull() & (F.col(text) != ""))
     once = dedup_keep_first(united, [query_id, text], ["_pos", "_r"])
     ranked = top_n_per_group(once, query_id, ["-norm_score", "_pos", "_r"], k, out="rank")
     return ranked.drop("_pos", "_r")

@@ -45,7 +45,9 @@ def unwrap_envelope(df: DataFrame, body: str = "body", out: str = "detail") -> D
     """
     fields = F.from_json(F.col(body), f"Message STRING, detail STRING, {CORRUPT} STRING", _KEEP_CORRUPT)
     parsed = df.withColumns({"_f": fields, "_keys": F.json_object_keys(body)})
-    parsed = parsed.filter(F.col("_keys").isNotNull() & F.col(f"_f.{CORRUPT}").isNull())
+    # exactly one value: text after a complete object makes the record unusable
+    alone = F.json_array_length(F.concat(F.lit("["), F.col(body), F.lit("]"))) == 1
+    parsed = parsed.filter(F.col("_keys").isNotNull() & F.col(f"_f.{CORRUPT}").isNull() & alone)
     inner = F.from_json("_f.Message", f"detail STRING, {CORRUPT} STRING", _KEEP_CORRUPT)
     detail = (
         F.when(F.array_contains("_keys", "Message"), F.when(inner[CORRUPT].isNull(), inner["detail"]))

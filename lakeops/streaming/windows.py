@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.cases import indicator
 from lakeops.operators.aggregate import trip_summary
 from lakeops.operators.joins import pair_within
-from lakeops.operators.ordered import names, running, time_chunk, with_previous
-from lakeops.session import materialise
+from lakeops.operators.ordered import names, time_chunk
 from lakeops.sinks.streams import row_sink, stream_to_table
 
 
@@ -173,9 +172,9 @@ def session(
 
     ``aggs`` gives each output as ("sum" | "min" | "max", expression).  A stream
     uses the built-in session window.  A batch frame is first folded to session
-    pieces inside each (key, chunk) in one pass; only the pieces, written once,
-    are then compared across chunk borders and merged, so one key's history is
-    never sorted in a single task.
+    pieces inside each (key, chunk).  A piece ends with a pause or at a chunk
+    border, so a key has at most (time span / gap) + (time span / chunk) pieces
+    however many rows it has; only the pieces are then ordered per key.
     """
     keys = names(keys)
     folds = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -198,11 +197,9 @@ def session(
         F.min("_us").alias("_from"), F.max("_us").alias("_to"), F.min("_ts").alias("_start"), F.max("_ts").alias("_last"),
         *[folds[kind](n).alias(n) for n, (kind, _) in aggs.items()],
     )
-    pieces = materialise(pieces.drop("_piece"), "pieces")
-    part = F.col("_part")
-    prev = with_previous(pieces, keys, ["_from"], ["_to"], part)
-    start = indicator(F.col("prev__to").isNull() | (F.col("_from") - F.col("prev__to") > limit))
-    numbered = running(prev, keys, ["_from"], {"_session": start}, chunk=part)
+    per_key = Window.partitionBy(*keys).orderBy("_from")
+    start = indicator(F.coalesce(F.col("_from") - F.lag("_to").over(per_key) > limit, F.lit(True)))
+    numbered = pieces.withColumn("_start_flag", start).withColumn("_session", F.sum("_start_flag").over(per_key))
     out = numbered.groupBy(*keys, "_session").agg(
         F.min("_start").alias("window_start"),
         (F.max("_last") + F.expr(f"interval {gap_seconds} seconds")).alias("window_end"),
