@@ -250,14 +250,14 @@ def _(spark, d):
 
 
 @query(
-    "flatten_news_feed", "M13", "D7", "I22",
-    sql="""SELECT conv_id, turn AS feed_turn, role AS feed_role, length(text) AS feed_chars FROM conversations""",
+    "flatten_news_feed", "M13", "D7", "I22", "I23",
+    sql="""SELECT conv_id, turn, role AS entry_by_role, unnest(string_split(text, chr(10))) AS entry_line FROM conversations""",
 )
 def _(spark, d):
     """Articles with a list of nested entries, flattened to one row per entry."""
-    rows = table(spark, d, "conversations")
-    entry = F.struct(F.struct("turn", "role").alias("feed"), F.struct(F.length("text").alias("chars")).alias("size"))
-    # turns of one conversation: a dialogue, bounded by its length
-    feed = rows.groupBy("conv_id").agg(F.collect_list(entry).alias("ticker_sentiment"))
-    out = MK.flatten_news(feed)
-    return out.withColumnsRenamed({"size_chars": "feed_chars"})
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda l: F.struct(F.struct(F.struct(F.col("role")).alias("by"), l.alias("line")).alias("entry")),
+    )
+    feed = table(spark, d, "conversations").select("conv_id", "turn", lines.alias("ticker_sentiment"))
+    return MK.flatten_news(feed)

@@ -17,7 +17,17 @@ from lakeops.sources.streams import stream_lines
 from lakeops.streaming import state
 from lakeops.streaming import windows as K
 
-STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+
+
+def state_conf(spark):
+    """RocksDB state, one state partition per core (fixed for the life of a checkpoint)."""
+    return session_conf(
+        spark,
+        {
+            "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+            "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+        },
+    )
 
 
 def timed_events(spark, d, lateness="5 seconds"):
@@ -27,14 +37,14 @@ def timed_events(spark, d, lateness="5 seconds"):
 def complete(stream, name):
     """Final result table of a stream (every window, also the open ones)."""
     out, mark = Z.scratch(stream, name)
-    with session_conf(stream.sparkSession, STATE):
+    with state_conf(stream.sparkSession):
         Z.keep_last_result(stream, out, mark)
     return read_parquet(stream.sparkSession, out)
 
 
 def appended(stream, name):
     out, mark = Z.scratch(stream, name)
-    with session_conf(stream.sparkSession, STATE):
+    with state_conf(stream.sparkSession):
         Z.stream_to_table(stream, out, mark)
     return read_parquet(stream.sparkSession, out)
 
@@ -155,7 +165,7 @@ def _(spark, d):
         half.coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(tele.schema).option("maxFilesPerTrigger", 1).parquet(src)
     name, mark = f"{scratch_db(spark)}.trips", new_dir(spark, "mark")
-    with session_conf(spark, STATE):
+    with state_conf(spark):
         K.running_trip_summary(stream, name, mark, buckets=8)
     return rounded(T.read_upserted(spark, name).drop("_version"))
 
@@ -174,7 +184,7 @@ def _(spark, d):
 @query("streaming_previous_point_distance", "K9", "N4", "J4", sql=f"WITH {R.DELTA_SQL} SELECT event_id, round(delta_m, 4) AS delta_m FROM delta")
 def _(spark, d):
     tele = K.with_event_time(R.as_telemetry(R.event_stream(spark, d)), "event_time")
-    with session_conf(spark, STATE):
+    with state_conf(spark):
         moved = state.stream_delta_m(tele, tie=["event_id"])
         return rounded(appended(moved.select("event_id", "delta_m"), "delta"), 4)
 
@@ -231,7 +241,7 @@ def _(spark, d):
         stream = spark.readStream.schema(R.EVENT_SCHEMA).parquet(src)
         timed = K.with_event_time(stream, "ts", "event_time", lateness="10 seconds")
         sums = K.tumble(timed, "event_time", "1 hour", [], {"n": F.count(F.lit(1))})
-        with session_conf(spark, STATE):
+        with state_conf(spark):
             Z.for_each_batch(sums, _replace_windows(out), mark, mode="update")
     rows = read_parquet(spark, out).groupBy("window_start").agg(F.max_by("n", "batch").alias("n"))
     return unzoned(rows, "window_start")

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from lakeops.session import materialise
 
-CHUNK, ROW, BLOCK, HALO = "_chunk", "_row", "_block", "_halo"
+CHUNK, CELL, ROW, BLOCK, HALO = "_chunk", "_cell", "_row", "_block", "_halo"
 
 # A counted table of at most this many rows may meet in one task.
 SMALL = 200_000
@@ -84,26 +84,41 @@ def quantile_chunk(df: DataFrame, col: str, chunks: int | None = None) -> DataFr
     return cut.transform(numbered).drop("_v")
 
 
-def add_chunk(df: DataFrame, order: Sequence[str], chunk: Column | str | None) -> DataFrame:
+def add_chunk(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], chunk: Column | str | None
+) -> DataFrame:
+    """Add ``_cell``, the struct of key columns and chunk.
+
+    As one struct it is never null itself, so the window, the fold and the join
+    below all hash the same expression: rows are shuffled by it once.
+    """
     if chunk is None:
-        return quantile_chunk(df, bare(order)[0])
-    return df.withColumn(CHUNK, F.col(chunk) if isinstance(chunk, str) else chunk)
+        cut = quantile_chunk(df, bare(order)[0])
+    else:
+        cut = df.withColumn(CHUNK, F.col(chunk) if isinstance(chunk, str) else chunk)
+    return cut.withColumn(CELL, F.struct(*by, CHUNK)).drop(CHUNK)
 
 
-def _chunk_order(order: Sequence[str]) -> Column:
-    return F.col(CHUNK).desc() if order[0].startswith("-") else F.col(CHUNK).asc()
+def _in_cell(order: Sequence[str]):
+    return Window.partitionBy(CELL).orderBy(*sort_columns(order))
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Equi join that also matches null keys; keeps the left key columns."""
-    marked = right.select(
-        *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
-    )
-    cond = None
-    for c in on:
-        test = left[c].eqNullSafe(marked[f"_r_{c}"])
-        cond = test if cond is None else cond & test
-    return left.join(marked, cond, how).drop(*[f"_r_{c}" for c in on])
+def _over_chunks(by: Sequence[str], order: Sequence[str]):
+    """Window over the chunks of one key, on a table with one row per cell."""
+    at = F.col(f"{CELL}.{CHUNK}")
+    keys = [F.col(f"{CELL}.`{b}`") for b in by]
+    return Window.partitionBy(*keys).orderBy(at.desc() if order[0].startswith("-") else at.asc())
+
+
+def _chunks_before(by: Sequence[str], order: Sequence[str]):
+    return _over_chunks(by, order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join on equal keys where null equals null; keeps the left key columns."""
+    l = left.withColumn("_on", F.struct(*on))
+    r = right.withColumn("_on", F.struct(*on)).drop(*on)
+    return l.join(r, "_on", "left").drop("_on")
 
 
 _FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -125,19 +140,16 @@ def running(
 ) -> DataFrame:
     """Running sum, max or min of several expressions per key, chunk-wise."""
     fold, merge = _FOLD[kind], _MERGE[kind]
-    by, cut = names(by), add_chunk(df, order, chunk)
-    cut = cut.withColumns({f"_in_{k}": v for k, v in exprs.items()})
-    per_chunk = cut.groupBy(*by, CHUNK).agg(*[fold(f"_in_{k}").alias(f"_all_{k}") for k in exprs])
-    before = Window.partitionBy(*by).orderBy(_chunk_order(order)).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_chunk.select(
-        *by, CHUNK, *[fold(f"_all_{k}").over(before).alias(f"_carry_{k}") for k in exprs]
-    )
-    w = Window.partitionBy(*by, CHUNK).orderBy(*sort_columns(order))
-    frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    by = names(by)
+    cut = add_chunk(df, by, order, chunk).withColumns({f"_in_{k}": v for k, v in exprs.items()})
+    per_chunk = cut.groupBy(CELL).agg(*[fold(f"_in_{k}").alias(f"_all_{k}") for k in exprs])
+    before = _chunks_before(by, order)
+    carried = per_chunk.select(CELL, *[fold(f"_all_{k}").over(before).alias(f"_carry_{k}") for k in exprs])
+    frame = _in_cell(order).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local = cut.withColumns({f"_loc_{k}": fold(f"_in_{k}").over(frame) for k in exprs})
-    joined = join_null_safe(local, carried, [*by, CHUNK])
+    joined = local.join(carried, CELL, "left")
     out = joined.withColumns({k: merge(F.col(f"_loc_{k}"), F.col(f"_carry_{k}")) for k in exprs})
-    return out.drop(CHUNK, *[f"{p}{k}" for k in exprs for p in ("_in_", "_loc_", "_carry_")])
+    return out.drop(CELL, *[f"{p}{k}" for k in exprs for p in ("_in_", "_loc_", "_carry_")])
 
 
 def row_numbers(
@@ -148,14 +160,13 @@ def row_numbers(
     chunk: Column | str | None = None,
 ) -> DataFrame:
     """``row_number()`` per key (or over the whole table when ``by`` is empty)."""
-    by, cut = names(by), add_chunk(df, order, chunk)
-    counts = cut.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy(_chunk_order(order)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, CHUNK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    w = Window.partitionBy(*by, CHUNK).orderBy(*sort_columns(order))
-    local = cut.withColumn("_local", F.row_number().over(w))
-    joined = join_null_safe(local, offsets, [*by, CHUNK])
-    return joined.withColumn(out, F.col("_local") + F.col("_before")).drop("_local", "_before", CHUNK)
+    by = names(by)
+    cut = add_chunk(df, by, order, chunk)
+    counts = cut.groupBy(CELL).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(CELL, F.coalesce(F.sum("_n").over(_chunks_before(by, order)), F.lit(0)).alias("_before"))
+    local = cut.withColumn("_local", F.row_number().over(_in_cell(order)))
+    joined = local.join(offsets, CELL, "left")
+    return joined.withColumn(out, F.col("_local") + F.col("_before")).drop("_local", "_before", CELL)
 
 
 def ranks(
@@ -196,24 +207,19 @@ def with_previous(
     prefix: str = "prev_",
 ) -> DataFrame:
     """Previous row's ``cols`` per key (``lag``), carried over chunk borders."""
-    by, cut = names(by), add_chunk(df, order, chunk)
-    cut = cut.withColumn("_row_value", F.struct(*cols))
-    # the chunk's last row in `order` is its first row in the reversed order
-    backwards = Window.partitionBy(*by, CHUNK).orderBy(*sort_columns(reverse(order)))
+    by = names(by)
+    cut = add_chunk(df, by, order, chunk).withColumn("_row_value", F.struct(*cols))
     if any(o.startswith("-") for o in order):
-        tail = cut.withColumn("_i", F.row_number().over(backwards)).filter("_i = 1")
-        ends = tail.select(*by, CHUNK, F.col("_row_value").alias("_end"))
+        # the chunk's last row in `order` is its first row in the reversed order
+        tail = cut.withColumn("_i", F.row_number().over(_in_cell(reverse(order)))).filter("_i = 1")
+        ends = tail.select(CELL, F.col("_row_value").alias("_end"))
     else:
-        ends = cut.groupBy(*by, CHUNK).agg(F.max_by("_row_value", F.struct(*order)).alias("_end"))
-    w_chunks = Window.partitionBy(*by).orderBy(_chunk_order(order))
-    carried = ends.select(*by, CHUNK, F.lag("_end").over(w_chunks).alias("_carry"))
-    w = Window.partitionBy(*by, CHUNK).orderBy(*sort_columns(order))
-    local = cut.withColumn("_before", F.lag("_row_value").over(w))
-    joined = join_null_safe(local, carried, [*by, CHUNK])
+        ends = cut.groupBy(CELL).agg(F.max_by("_row_value", F.struct(*order)).alias("_end"))
+    carried = ends.select(CELL, F.lag("_end").over(_over_chunks(by, order)).alias("_carry"))
+    local = cut.withColumn("_before", F.lag("_row_value").over(_in_cell(order)))
+    joined = local.join(carried, CELL, "left")
     prev = F.coalesce("_before", "_carry")
-    return joined.withColumns({f"{prefix}{c}": prev[c] for c in cols}).drop(
-        "_row_value", "_before", "_carry", CHUNK
-    )
+    return joined.withColumns({f"{prefix}{c}": prev[c] for c in cols}).drop("_row_value", "_before", "_carry", CELL)
 
 
 def fill_forward(
@@ -224,28 +230,27 @@ def fill_forward(
     chunk: Column | str | None = None,
 ) -> DataFrame:
     """Replace nulls by the last non-null value before them, per key."""
-    by, cut = names(by), add_chunk(df, order, chunk)
-    w = Window.partitionBy(*by, CHUNK).orderBy(*sort_columns(order))
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = names(by)
+    cut = add_chunk(df, by, order, chunk)
+    upto = _in_cell(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = cut.withColumns({f"_loc_{c}": F.last(c, ignorenulls=True).over(upto) for c in cols})
-    ends = _chunk_ends(cut, by, order, cols)
-    before = Window.partitionBy(*by).orderBy(_chunk_order(order)).rowsBetween(Window.unboundedPreceding, -1)
+    ends, before = _chunk_ends(cut, order, cols), _chunks_before(by, order)
     carried = ends.select(
-        *by, CHUNK, *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols]
+        CELL, *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols]
     )
-    joined = join_null_safe(local, carried, [*by, CHUNK])
+    joined = local.join(carried, CELL, "left")
     filled = joined.withColumns({c: F.coalesce(f"_loc_{c}", f"_carry_{c}") for c in cols})
-    return filled.drop(CHUNK, *[f"{p}{c}" for c in cols for p in ("_loc_", "_carry_")])
+    return filled.drop(CELL, *[f"{p}{c}" for c in cols for p in ("_loc_", "_carry_")])
 
 
-def _chunk_ends(cut: DataFrame, by: list[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Last non-null value of each column in each (key, chunk)."""
+def _chunk_ends(cut: DataFrame, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Last non-null value of each column in each cell."""
     key = F.struct(*bare(order))
     descending = all(o.startswith("-") for o in order)
     if not descending and any(o.startswith("-") for o in order):
         raise ValueError("fill needs an order of one direction")
     pick = F.min_by if descending else F.max_by
-    return cut.groupBy(*by, CHUNK).agg(
+    return cut.groupBy(CELL).agg(
         *[pick(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"_end_{c}") for c in cols]
     )
 

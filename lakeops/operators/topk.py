@@ -45,11 +45,15 @@ def top_ranked(df: DataFrame, order: Sequence[str], n: int, out: str = "rank") -
 def dedup_keep_first(
     df: DataFrame, keys: str | Sequence[str], order: Sequence[str], drop_null: bool = False
 ) -> DataFrame:
-    """First row per key along ``order``; map tasks already keep one row per key."""
+    """First row per key along ``order``; map tasks already keep one row per key.
+
+    A hash of the key leads the grouping, so that sorting compares long texts
+    only when their hashes agree.
+    """
     keys = names(keys)
     if drop_null:
         df = df.dropna(subset=keys)
-    return top_n_per_group(df, keys, order, 1)
+    return top_n_per_group(df.withColumn("_h", F.xxhash64(*keys)), ["_h", *keys], order, 1).drop("_h")
 
 
 def latest_by_key(df: DataFrame, keys: str | Sequence[str], ts: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.functions.times import day_parts
-from lakeops.operators.ordered import join_null_safe, names
+from lakeops.operators.ordered import names
 from lakeops.session import materialise, session_conf
 from lakeops.sources.files import read_csv
 
@@ -190,7 +190,8 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: str | Sequence[str]) ->
 def apply_diff(old: DataFrame, diff: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """The new snapshot from the old one and its change rows."""
     keys = names(keys)
-    kept = join_null_safe(old, diff.select(*keys), keys, "left_anti")
+    key = F.struct(*keys)
+    kept = old.withColumn("_on", key).join(diff.select(key.alias("_on")), "_on", "left_anti").drop("_on")
     return kept.unionByName(diff.filter("change <> 'D'").drop("change"))
 
 
