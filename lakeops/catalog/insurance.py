@@ -46,11 +46,17 @@ def _(spark, d):
     return rounded(I.loss_ratio(claims, policies, ["product", "month"]), 2, loss_ratio=6)
 
 
-@query("distinct_user_sketch", "O6")
+@query(
+    "distinct_user_sketch", "O6",
+    sql="SELECT event_type, count(DISTINCT user_id) AS users, 1 AS within_five_percent FROM events GROUP BY 1",
+)
 def _(spark, d):
-    """Daily sketches merged to one estimate per event type."""
+    """Daily sketches merged to one estimate per event type, next to the exact count."""
     ev = R.events(spark, d).withColumn("day", F.to_date("ts"))
-    return I.merge_sketches(I.distinct_sketch(ev, ["event_type", "day"], "user_id"), ["event_type"])
+    merged = I.merge_sketches(I.distinct_sketch(ev, ["event_type", "day"], "user_id"), ["event_type"])
+    exact = ev.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"))
+    close = F.abs(F.col("distinct_estimate") - F.col("users")) <= 0.05 * F.col("users")
+    return exact.join(merged, "event_type").select("event_type", "users", close.cast("int").alias("within_five_percent"))
 
 
 @query(

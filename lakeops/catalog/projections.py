@@ -123,7 +123,7 @@ def _(spark, d):
     return R.policies(spark, d).select("policy_id", status.alias("status"))
 
 
-@query("threshold_flag", "C16", sql="SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 'high-value' ELSE 'regular' END AS kind FROM orders")
+@query("threshold_flag", "C16", "N1", sql="SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 'high-value' ELSE 'regular' END AS kind FROM orders")
 def _(spark, d):
     kind = cases.flag_above(F.col("o_totalprice"), 250000, "high-value", "regular")
     return table(spark, d, "orders").select("o_orderkey", kind.alias("kind"))

@@ -81,7 +81,10 @@ def _(spark, d):
     return _flat(V.embed(fan_out(table(spark, d, "documents")), "doc_id", "text", digest_model))
 
 
-@query("embed_hashed_tfidf", "M4")
+@query(
+    "embed_hashed_tfidf", "M4",
+    sql=r"SELECT doc_id, 64 AS dims, CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM documents",
+)
 def _(spark, d):
     e = V.hash_embed(fan_out(table(spark, d, "documents")), "doc_id", "text", 64)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
@@ -179,6 +182,12 @@ def _(spark, d):
     return rounded(V.hybrid_topk(V.vector_topk(asked, index, 20), V.keyword_scores(questions, docs), 10))
 
 
+FUSED_SQL = """
+lists AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS r, 0 AS l FROM a0
+  UNION ALL SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id), 1 FROM b0),
+fused AS (SELECT query_id, id, sum(1.0::DOUBLE / (60 + r)) AS score FROM lists WHERE r <= 10 GROUP BY 1, 2)"""
+
+
 # two scored "indexes" over the documents: by length and by benchmark words
 MERGE_SQL = f"""{BM25_SQL},
 a0 AS (SELECT query_id, id, round(score, 6) AS score, 0 AS pos FROM bm),
@@ -191,13 +200,28 @@ merged AS (SELECT *, CASE pos WHEN 0 THEN 'words' ELSE 'density' END AS source,
   row_number() OVER (PARTITION BY query_id ORDER BY norm_score DESC, pos, r) AS rank FROM once)"""
 
 
-def _merged(spark, d):
+def _two_lists(spark, d):
     scored = materialise(rounded(V.keyword_scores(_questions(spark, d), _texts(spark, d))), "scores")
     length = _texts(spark, d).select("id", F.size(V.words(F.col("text"))).alias("_n"))
     density = scored.join(length, "id").withColumn("score", F.col("score") / (1 + F.col("_n"))).drop("_n")
+    return scored, density
+
+
+def _merged(spark, d):
+    scored, density = _two_lists(spark, d)
     return V.merge_indexes({"words": scored, "density": density}, texts=_texts(spark, d))
 
 
+@query(
+    "reciprocal_rank_fusion", "M7",
+    sql=f"""WITH {MERGE_SQL}, {FUSED_SQL} SELECT query_id, id, round(score, 9) AS score FROM fused
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) <= 10""",
+)
+def _(spark, d):
+    scored, density = _two_lists(spark, d)
+    return rounded(V.hybrid_topk(scored, density, 10).drop("rank"), 9)
+
+
 @query(
     "merge_index_hits", "M8", "F10", "H1", "H2", "G4",
     sql=f"WITH {MERGE_SQL} SELECT query_id, id, source, round(norm_score, 6) AS norm_score, rank FROM merged WHERE rank <= 10",

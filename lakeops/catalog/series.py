@@ -186,6 +186,30 @@ def _(spark, d):
     return rounded(FC.trend_line(R.bars(spark, d)))
 
 
+@query(
+    "forecast_order_one", "L9", "I12",
+    sql=f"""WITH {R.BARS_SQL}, n AS (SELECT symbol, date, close, close - lag(close) OVER w AS s FROM bars {W}),
+    l AS (SELECT *, lag(s) OVER w AS p FROM n {W}),
+    f AS (SELECT symbol, sum(s * p) / sum(p * p) AS phi, arg_max(close, date) AS close, arg_max(s, date) AS s, max(date)::DATE AS last FROM l GROUP BY 1)
+    SELECT symbol, h AS step, (last + h::INT)::DATE::VARCHAR AS date, round(close + s * phi * (1 - pow(phi, h)) / (1 - phi), 4) AS forecast
+    FROM f, (SELECT unnest(generate_series(1, 30)) AS h)""",
+)
+def _(spark, d):
+    return rounded(FC.forecast_ar(R.bars(spark, d), p=1, horizon=30), 4)
+
+
+@query(
+    "forecast_trend_only", "L10", "I12",
+    sql=f"""WITH {R.BARS_SQL}, z AS (SELECT symbol, min(epoch_us(date)) AS z FROM bars GROUP BY 1),
+    t AS (SELECT symbol, close, date, (epoch_us(date) - z) / 86400e6 AS t FROM bars JOIN z USING (symbol)),
+    f AS (SELECT symbol, regr_slope(close, t) AS a, regr_intercept(close, t) AS b, max(t) AS last_t, max(date)::DATE AS last FROM t GROUP BY 1)
+    SELECT symbol, h AS step, (last + h::INT)::DATE::VARCHAR AS date, round(b + a * (last_t + h), 4) AS forecast
+    FROM f, (SELECT unnest(generate_series(1, 30)) AS h)""",
+)
+def _(spark, d):
+    return rounded(FC.forecast_trend_seasonal(R.bars(spark, d), horizon=30, periods=()), 4)
+
+
 @query("forecast_forest", "L11")
 def _(spark, d):
     return rounded(FC.forecast_forest(R.bars(spark, d), horizon=30), 4)
