@@ -275,7 +275,8 @@ def golden_cross(
 ) -> DataFrame:
     """Bars where the fast mean crosses the slow one: 1 upwards, -1 downwards."""
     b = _add_moving_averages(_blocks(df, symbol, date, slow, size, chunk), symbol, (fast, slow))
-    b = b.withColumn("_side", F.signum(F.col(f"ma{fast}") - F.col(f"ma{slow}")))
+    # means closer than rounding noise count as equal
+    b = b.withColumn("_side", F.signum(F.round(F.col(f"ma{fast}") - F.col(f"ma{slow}"), 9)))
     before = F.lag("_side").over(block_window(symbol))
     crossed = F.when((before <= 0) & (F.col("_side") > 0), 1).when((before >= 0) & (F.col("_side") < 0), -1)
     return drop_halo(b.withColumn("cross", F.coalesce(crossed, F.lit(0)))).drop("_side")
