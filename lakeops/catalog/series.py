@@ -336,7 +336,7 @@ def _(spark, d):
 
 
 @query(
-    "indicator_pipeline", "L23", "L1", "L2", "L3", "L4",
+    "indicator_table", "L23", "L1", "L2", "L3", "L4",
     sql=f"""WITH RECURSIVE {R.BARS_SQL}, {RSI_SQL}, {ATR_SQL}, {MACD_SQL},
     ma AS (SELECT symbol, date, close, {_mean('close', 50)} AS ma50, {_mean('close', 200)} AS ma200 FROM bars)
     SELECT symbol, {AT}, round(ma50, 9) AS ma50, round(ma200, 9) AS ma200, round(rsi, 6) AS rsi, round(atr14, 6) AS atr14,
