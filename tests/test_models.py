@@ -113,4 +113,4 @@ def test_merge_drops_repeated_and_empty_text(spark):
 def test_headline_substrings(spark):
     news = spark.createDataFrame([(1, "ABCD rises, EFGH falls"), (2, "nothing"), (3, "")], "id int, title string")
     tickers = spark.createDataFrame([("ABCD",), ("EFGH",), ("QRSTUV",), ("",)], "ticker string")
-    assert sorted((r.id, r.ticker) for r in V.headline_filter(news, tickers).collect()) == [(1, "EFGH"), (1, "ABCD")]
+    assert sorted((r.id, r.ticker) for r in V.headline_filter(news, tickers).collect()) == [(1, "ABCD"), (1, "EFGH")]
