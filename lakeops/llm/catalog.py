@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import mixing, pii, quality, urls
+from lakeops.llm import mixing, packing, pii, quality, tokens, urls
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,11 +40,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_report(table(spark, sf_dir, "documents"))
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 @query("op5_source_mix")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+@query("op9_sequence_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_MODEL)
+
+
 @query("op10_url_filter")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
