@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import credentials, fingerprints, licenses, mixing, neardup, packing, pii, quality, tokens, urls
+from lakeops.llm import credentials, fingerprints, licenses, mixing, neardup, oracle, packing, pii, quality, tokens, urls
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,12 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_quality_cascade")
+@query("op1_quality_cascade", sql=oracle.QUALITY)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
-@query("op2_personal_data")
+@query("op2_personal_data", sql=oracle.PERSONAL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_report(table(spark, sf_dir, "documents"))
 
@@ -65,7 +65,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
-@query("op8_near_duplicates")
+@query("op8_near_duplicates", sql=oracle.NEAR)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -75,6 +75,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_MODEL)
 
 
-@query("op10_url_filter")
+@query("op10_url_filter", sql=oracle.URLS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
