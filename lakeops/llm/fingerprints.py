@@ -105,8 +105,8 @@ def _with_successors(docs: DataFrame, ranges: int) -> DataFrame:
     any bounds give the same successors.
     """
     value = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
-    ids = docs.select(value.alias("v"))
-    points = ids.where("v > double('-infinity')").approxQuantile("v", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    points = docs.agg(F.percentile_approx(F.col("doc_id").cast("double"), shares, 8 * ranges)).first()[0] or []
     splits = [float("-inf"), *sorted(set(points)), float("inf")]
 
     def slotted(df: DataFrame) -> DataFrame:
