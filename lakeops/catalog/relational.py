@@ -231,8 +231,8 @@ def _(spark, d):
 )
 def _(spark, d):
     li = table(spark, d, "lineitem")
-    keys = A.distinct_values(li.filter("l_linestatus = 'O'"), "l_returnflag")
-    return A.keyed_totals(li.filter(F.col("l_returnflag").isin(keys)), ["l_returnflag"], {"n": F.count(F.lit(1))})
+    kept = A.with_keys_of(li, li.filter("l_linestatus = 'O'"), "l_returnflag")
+    return A.keyed_totals(kept, ["l_returnflag"], {"n": F.count(F.lit(1))})
 
 
 @query(

@@ -308,6 +308,22 @@ def _(spark, d):
     return T.delete_where(spark, name, F.col("c_mktsegment") == "BUILDING").drop("c_mktsegment")
 
 
+@query(
+    "partitioned_update_delete_reload", "B22", "B4",
+    sql="""SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 AND o_orderstatus <> 'O' THEN -1 ELSE o_totalprice END AS o_totalprice,
+    o_orderstatus FROM orders WHERE o_orderstatus <> 'P' AND (o_orderkey % 5 <> 0 OR o_orderstatus = 'O')""",
+)
+def _(spark, d):
+    """Update and delete in place, then one partition loaded again; the others stay whole."""
+    name = f"{scratch_db(spark)}.orders"
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    T.write_table(rows, name, partition_by="o_orderstatus")
+    T.update_where(spark, name, F.col("o_custkey") % 7 == 0, {"o_totalprice": F.lit(-1.0)})
+    T.delete_where(spark, name, (F.col("o_orderkey") % 5 == 0) | (F.col("o_orderstatus") == "P"))
+    T.overwrite_partition(rows.filter("o_orderstatus = 'O'"), name, "o_orderstatus")
+    return spark.table(name).select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
 @query(
     "incremental_sum_rollup", "E12",
     sql="""SELECT ts::DATE::VARCHAR AS day, user_id, round(sum(value), 4) AS value, count(*) AS n FROM events GROUP BY 1, 2""",

@@ -44,6 +44,25 @@ def _(spark, d):
     return W.rank_overall(s, ["-avg_price"]).drop("avg_price")
 
 
+@query(
+    "rank_by_text_key", "F1", "F2",
+    sql="SELECT c_custkey, rank() OVER (ORDER BY c_mktsegment DESC) AS rank, rank() OVER (ORDER BY c_name) AS by_name FROM customer",
+)
+def _(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    ranked = W.rank_overall(c, ["-c_mktsegment"])
+    return W.rank_overall(ranked, ["c_name"], "by_name").select("c_custkey", "rank", "by_name")
+
+
+@query(
+    "surrogate_key_by_name", "C20", "F3",
+    sql="SELECT p_name, p_partkey, row_number() OVER (ORDER BY p_name DESC, p_partkey) AS part_sk FROM part",
+)
+def _(spark, d):
+    parts = table(spark, d, "part").select("p_name", "p_partkey")
+    return W.batch_ids(parts, ["-p_name", "p_partkey"], 1).select("p_name", "p_partkey", F.col("row_num").alias("part_sk"))
+
+
 @query(
     "ordered_batch_ids", "F3",
     sql="""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_num,

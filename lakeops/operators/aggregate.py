@@ -75,12 +75,9 @@ def distinct_dim(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def distinct_values(df: DataFrame, col: str, limit: int = 10_000) -> list:
-    """Distinct values on the driver, for partition lists and the like; refuses a large set."""
-    rows = df.select(col).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} distinct values")
-    return sorted((r[0] for r in rows), key=lambda v: (v is not None, v))
+def with_keys_of(df: DataFrame, keys: DataFrame, col: str) -> DataFrame:
+    """Rows whose ``col`` is among the values of ``keys``; the key list stays in the cluster."""
+    return df.join(keys.select(col).distinct(), col, "left_semi")
 
 
 def avg_between(df: DataFrame, col: str, date: str, lo, hi) -> DataFrame:

@@ -27,10 +27,6 @@ from lakeops.session import materialise
 
 CHUNK, CELL, ROW, BLOCK, HALO = "_chunk", "_cell", "_row", "_block", "_halo"
 
-# A counted table of at most this many rows may meet in one task.
-SMALL = 200_000
-
-
 def names(cols: str | Sequence[str] | None) -> list[str]:
     if cols is None:
         return []
@@ -55,11 +51,25 @@ def time_chunk(col: str, unit: str = "hour") -> Column:
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
+    """A double that never decreases while the column increases, for any orderable type.
+
+    Text is compared byte by byte, so six of its bytes as one number do; they are taken behind the
+    prefix that the least and the greatest value share, and with them all values.
+    """
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(F.col(name)).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
+        raw = F.col(name).cast("binary")
+        low, high = df.agg(F.min(raw), F.max(raw)).first()
+        low, high = bytes(low or b""), bytes(high or b"")
+        same = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+        code = F.rpad(F.hex(F.substring(raw, same + 1, 6)), 12, "0")
+        return F.conv(code, 16, 10).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int").cast("double")
     return F.col(name).cast("double")
 
 
@@ -176,21 +186,17 @@ def ranks(
     out: str = "rank",
     chunk: Column | str | None = None,
     stage: bool = True,
-    small: int = SMALL,
 ) -> DataFrame:
     """``rank()`` with gaps per key (or overall), by counting rows that sort before.
 
     Rows with equal order values are first folded into one row with a count, so
     neither a huge group nor a huge tie meets in one task.  The input is read
     several times; it is written once before (``stage``), because what is ranked
-    is mostly an aggregate that is dear to compute and small to keep.  A staged
-    input counted at no more than ``small`` rows is ranked by one plain window.
+    is mostly an aggregate that is dear to compute and small to keep.
     """
     by, keys = names(by), bare(order)
     if stage:
         df = materialise(df, "rank")
-        if df.count() <= small:  # read from the file footers
-            return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(*sort_columns(order))))
     values = [k for k in keys if k not in by]
     folded = df.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("_n"))
     counted = running(folded, by, order, {"_through": F.col("_n")}, chunk=chunk)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.text import template, text_or
-from lakeops.operators.aggregate import distinct_values
 from lakeops.operators.joins import keep_not_in
 from lakeops.operators.topk import dedup_keep_first, top_n_per_group, union_tagged
 from lakeops.operators.windows import max_normalise
@@ -289,23 +288,22 @@ def build_context(
     return ranked.groupBy(query_id).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), "\n").alias("context"))
 
 
-def headline_filter(df: DataFrame, tickers: DataFrame, title: str = "title", ticker: str = "ticker") -> DataFrame:
+def headline_filter(
+    df: DataFrame, tickers: DataFrame, title: str = "title", ticker: str = "ticker", head: int = 4
+) -> DataFrame:
     """Headlines paired with every ticker their text contains.
 
-    Each headline lists its substrings of the lengths that occur among the
-    tickers (a handful of numbers) and an equality join finds the matches, so
-    neither side is compared pair by pair.
+    Tickers meet headlines by equality on their first ``head`` characters (shorter ones whole), of
+    which a headline has at most ``head`` per position; the match is then confirmed on the text.
     """
     wanted = tickers.select(ticker).filter(F.length(ticker) > 0).distinct()
-    found = distinct_values(wanted.select(F.length(ticker).alias("n")), "n")
-    lengths = F.array(*[F.lit(n) for n in found]) if found else F.array().cast("array<int>")
-    last_start = lambda n: F.length(title) - n + 1
+    keyed = wanted.withColumn("_head", F.substring(ticker, 1, head))
+    n = F.length(title)
     pieces = F.flatten(
         F.transform(
-            F.filter(lengths, lambda n: n <= F.length(title)),
-            lambda n: F.transform(F.sequence(F.lit(1), last_start(n)), lambda i: F.substr(F.col(title), i, n)),
+            F.filter(F.array(*[F.lit(k) for k in range(1, head + 1)]), lambda k: k <= n),
+            lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(F.col(title), i, k)),
         )
     )
-    cut = df.withColumn(ticker, F.explode(F.array_distinct(pieces)))
-    return cut.join(wanted, ticker)
-
+    cut = df.withColumn("_head", F.explode(F.array_distinct(pieces)))
+    return cut.join(keyed, "_head").filter(F.contains(F.col(title), F.col(ticker))).drop("_head")

@@ -21,7 +21,9 @@ def top_n_per_group(
     """First n rows per group.
 
     The ``row_number <= n`` filter lets the optimizer cut every map task's rows
-    to n per group before the shuffle, so a hot group costs n rows per task.
+    to n per group before the shuffle, so a hot group costs n rows per task.  It does
+    so up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 unless raised;
+    ``build_session`` raises it.
     """
     name = out or "_rn"
     w = Window.partitionBy(*names(group)).orderBy(*sort_columns(order))

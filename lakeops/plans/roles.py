@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from lakeops.functions.cases import lookup
 from lakeops.operators.series import bars_from_ticks
-from lakeops.session import fan_out
 
 # Event kinds read as alert kinds.
 ALERT_KINDS = {"error": "overspeed", "click": "harsh_brake", "view": "idling"}
@@ -133,7 +132,7 @@ def race_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "race_month", F.month("o_orderdate")
     )
     return star_join(
-        fan_out(fact, "l_orderkey"),
+        fact,
         [
             (orders, {"l_orderkey": "o_orderkey"}, ["o_custkey", "race_year", "race_month"]),
             (read("customer"), {"o_custkey": "c_custkey"}, ["c_name", "c_nationkey", "c_mktsegment"]),

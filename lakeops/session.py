@@ -25,6 +25,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.ui.enabled": "false",
+    # Up to this n, "first n per group" is cut in the map tasks before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
@@ -83,17 +85,6 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark).rstrip('/')}/lakeops/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def fan_out(df, *keys: str):
-    """Spread a plain scan over all cores when it has fewer splits than cores.
-
-    Such an input is small (less than one split per core), so the extra shuffle is
-    cheap next to per-row text or vector work; larger scans pass unchanged.  Call
-    it on scans only.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialise(df, name: str = "stage"):
     """Cut lineage by writing ``df`` once to the shared folder and reading it back.
 

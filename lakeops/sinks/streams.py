@@ -20,17 +20,19 @@ def to_messages(df: DataFrame, key_cols: Sequence[str] | None = None) -> DataFra
     return df.select(F.to_json(F.struct(*key_cols)).alias("key"), value)
 
 
-def finish(query, timeout: int = 600) -> None:
-    """Wait for an available-now query; it is stopped and reported if it overruns."""
+def finish(query, timeout: int | None = None) -> None:
+    """Wait for an available-now query; with ``timeout`` seconds given, an overrun is stopped and reported."""
     try:
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             raise TimeoutError(f"stream did not finish in {timeout} s")
     finally:
         query.stop()
 
 
 def stream_to_table(
-    stream: DataFrame, target: str, checkpoint: str, trigger: str = "available", timeout: int = 600
+    stream: DataFrame, target: str, checkpoint: str, trigger: str = "available", timeout: int | None = None
 ) -> None:
     """Exactly-once append of a stream to a table or, with a slash, a Parquet folder."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
@@ -50,7 +52,7 @@ def for_each_batch(
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
     mode: str = "append",
-    timeout: int = 600,
+    timeout: int | None = None,
 ) -> None:
     """Run an available-now stream whose batches ``write`` stores."""
     query = (
@@ -73,7 +75,7 @@ def row_sink(
     fmt: str | None = None,
     options: dict[str, str] | None = None,
     buckets: int = 64,
-    timeout: int = 600,
+    timeout: int | None = None,
 ) -> None:
     """Rows of a stream into a keyed table, set by set.
 
@@ -94,7 +96,7 @@ def row_sink(
     for_each_batch(stream, write, checkpoint, mode, timeout)
 
 
-def keep_last_result(stream: DataFrame, path: str, checkpoint: str, timeout: int = 600) -> None:
+def keep_last_result(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> None:
     """Store the full result table of a complete-mode query after each batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -109,7 +111,7 @@ def route(df: DataFrame, rules: dict[str, Column]) -> dict[str, DataFrame]:
 
 
 def route_stream(
-    stream: DataFrame, rules: dict[str, Column], root: str, checkpoint: str, timeout: int = 600
+    stream: DataFrame, rules: dict[str, Column], root: str, checkpoint: str, timeout: int | None = None
 ) -> None:
     """Fan a stream out to ``root/<target>``; each batch is read once and kept for all rules."""
 

@@ -6,7 +6,6 @@ the shared scratch folder and then moved in by one write.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,25 +74,12 @@ def overwrite_partition(df: DataFrame, table: str, part: str | Sequence[str]) ->
         spread(ordered, parts).write.mode("overwrite").insertInto(table)
 
 
-def replace_partitions_by_drop(df: DataFrame, table: str, part: str, max_values: int = 10_000) -> None:
-    """Drop the partitions present in ``df`` and append it.
+def replace_partitions_by_drop(df: DataFrame, table: str, part: str | Sequence[str]) -> None:
+    """Clear the partitions present in ``df`` and load it, as one dynamic overwrite.
 
-    The partition values come to the driver, so their number is checked first;
-    beyond ``max_values`` the dynamic overwrite does the same without them.
+    No partition value comes to the driver, and there is no moment between drop and append.
     """
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        write_table(partition_last(df, part), table, partition_by=part)
-        return
-    found = df.select(part).distinct().limit(max_values + 1).collect()
-    if len(found) > max_values:
-        overwrite_partition(df, table, part)
-        return
-    for row in found:
-        value = str(row[0]).replace("'", "''")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part}='{value}')")
-    columns = spark.table(table).columns
-    spread(df.select(*columns), [part]).write.mode("append").insertInto(table)
+    overwrite_partition(df, table, part)
 
 
 def append_evolving(df: DataFrame, path: str) -> None:
@@ -114,16 +100,43 @@ def align_columns(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return {r.col_name: r.data_type for r in rows if r.col_name}
+
+
 def rebuild_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Drop and re-create a derived table from a query that may read the old one."""
-    staged = f"{name}__{uuid.uuid4().hex[:8]}"
-    df.write.saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    """Replace all rows of a table by a query that may read the old ones; create it if it isn't there.
+
+    The new rows are first written to the shared folder, so a failed load can be repeated from
+    there.  With the same columns they are loaded into the table as it is: format, partitioning
+    and properties stay.  With other columns the table is created anew, partitioned and stored as
+    before.
+    """
+    exists = spark.catalog.tableExists(name)
+    rows = materialise(df, "rebuild")
+    columns = spark.table(name).columns if exists else []
+    if exists and sorted(columns) == sorted(rows.columns):
+        parts = partition_columns(spark, name)
+        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+            spread(rows.select(*columns), parts).write.mode("overwrite").insertInto(name)
+    else:
+        parts = [c for c in partition_columns(spark, name) if c in rows.columns] if exists else []
+        fmt = _described(spark, name).get("Provider", "parquet") if exists else "parquet"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        write_table(partition_last(rows, parts), name, mode="errorifexists", partition_by=parts, fmt=fmt)
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
@@ -158,9 +171,14 @@ def load_csv_to_table(
 
 
 def compact(spark: SparkSession, table: str, target_files: int) -> None:
-    """Rewrite an unpartitioned table into ``target_files`` files."""
-    rows = spark.table(table).repartition(target_files)
-    rebuild_table(spark, table, rows)
+    """Rewrite a table into ``target_files`` files, or so many per partition value."""
+    parts = partition_columns(spark, table)
+    rows = materialise(spark.table(table), "compact")
+    deal = [*parts, F.pmod(F.xxhash64(*rows.columns), F.lit(target_files))] if parts else []
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        dealt = rows.repartition(*deal) if parts else rows.repartition(target_files)
+        dealt.write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -222,41 +240,97 @@ def write_resorted(df: DataFrame, target: str, sort_keys: Sequence[str]) -> None
 
 
 def update_where(spark: SparkSession, table: str, cond: Column, changes: dict[str, Column]) -> DataFrame:
-    """Set columns on the rows where ``cond`` is true; other rows stay as they are."""
+    """Set columns on the rows where ``cond`` is true; other rows stay as they are.
+
+    Of a partitioned table only the partitions with such rows are rewritten, unless a partition
+    column itself changes.
+    """
     rows = spark.table(table)
     hit = F.coalesce(cond, F.lit(False))
     kinds = {f.name: f.dataType for f in rows.schema.fields}
-    changed = rows.select(
-        *[
-            F.when(hit, changes[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in changes else F.col(c)
-            for c in rows.columns
-        ]
-    )
-    return rebuild_table(spark, table, changed)
+
+    def changed(df: DataFrame) -> DataFrame:
+        return df.select(
+            *[
+                F.when(hit, changes[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in changes else F.col(c)
+                for c in df.columns
+            ]
+        )
+
+    parts = partition_columns(spark, table)
+    if not parts or set(parts) & set(changes):
+        return rebuild_table(spark, table, changed(rows))
+    touched = materialise(rows.filter(hit).select(F.struct(*parts).alias("_on")).distinct(), "touched")
+    return _replace_touched(spark, table, parts, changed(_in_partitions(rows, parts, touched)))
 
 
 def delete_where(spark: SparkSession, table: str, cond: Column) -> DataFrame:
-    """Remove the rows where ``cond`` is true; a null condition keeps the row."""
-    return rebuild_table(spark, table, spark.table(table).filter(~F.coalesce(cond, F.lit(False))))
+    """Remove the rows where ``cond`` is true; a null condition keeps the row.
+
+    Of a partitioned table only the partitions with such rows are rewritten, and those left
+    without a row are dropped.
+    """
+    rows = spark.table(table)
+    hit = F.coalesce(cond, F.lit(False))
+    parts = partition_columns(spark, table)
+    if not parts:
+        return rebuild_table(spark, table, rows.filter(~hit))
+    touched = materialise(rows.filter(hit).select(F.struct(*parts).alias("_on")).distinct(), "touched")
+    left = materialise(_in_partitions(rows, parts, touched).filter(~hit), "left")
+    out = _replace_touched(spark, table, parts, left, staged=True)
+    still = left.select(F.struct(*parts).alias("_on")).distinct()
+    # catalog entries to drop: a part of the table's own list of partitions
+    for row in touched.join(still, "_on", "left_anti").select("_on.*").toLocalIterator():
+        spec = ", ".join(
+            f"{p} = " + ("null" if row[p] is None else f"'{_quoted(str(row[p]))}'") for p in parts
+        )
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    return out
+
+
+def _in_partitions(rows: DataFrame, parts: Sequence[str], touched: DataFrame) -> DataFrame:
+    return rows.withColumn("_on", F.struct(*parts)).join(touched, "_on", "left_semi").drop("_on")
+
+
+def _replace_touched(
+    spark: SparkSession, table: str, parts: Sequence[str], rows: DataFrame, staged: bool = False
+) -> DataFrame:
+    """Load rows read from the table itself back into their partitions."""
+    rows = rows if staged else materialise(rows, "touched")
+    with session_conf(spark, DYNAMIC):
+        spread(rows.select(*spark.table(table).columns), parts).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+BUCKETS_KEY = "lakeops.buckets"
+
+
 def upsert_batch(
     df: DataFrame, table: str, keys: str | Sequence[str], order_col: str, buckets: int = 64
 ) -> None:
     """Merge rows into a table that holds one row per key; the highest ``order_col`` wins.
 
-    The table is partitioned by a hash of the key, so a batch rewrites only the
-    buckets it touches.  Repeating a batch changes nothing.
+    The table is partitioned by a hash of the key, so a batch rewrites only the buckets it
+    touches.  ``buckets`` is used when the table is created and kept with it; later calls take the
+    stored number.  Repeating a batch changes nothing.
     """
     spark, keys = df.sparkSession, names(keys)
-    fresh = _latest(df, keys, order_col).withColumn(BUCKET, _bucket(keys, buckets))
     if not spark.catalog.tableExists(table):
+        fresh = _latest(df, keys, order_col).withColumn(BUCKET, _bucket(keys, buckets))
         write_table(fresh, table, partition_by=BUCKET)
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_KEY}' = '{buckets}')")
         return
+    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if BUCKETS_KEY not in stored:
+        raise ValueError(f"{table} was not created by upsert_batch: it has no {BUCKETS_KEY}")
+    fresh = materialise(
+        _latest(df, keys, order_col).withColumn(BUCKET, _bucket(keys, int(stored[BUCKETS_KEY]))), "merge-batch"
+    )
     current = spark.table(table)
     touched = fresh.select(BUCKET).distinct()
     old = current.join(touched, BUCKET, "left_semi")

@@ -62,7 +62,7 @@ def ingest_available(
     target: str,
     fmt: str = "csv",
     max_files: int | None = None,
-    timeout: int = 600,
+    timeout: int | None = None,
     schema: StructType | str | None = None,
     **options,
 ) -> None:
@@ -86,11 +86,9 @@ def ingest_available(
         .trigger(availableNow=True)
         .toTable(target)
     )
-    try:
-        if not query.awaitTermination(timeout):
-            raise TimeoutError(f"{name}: ingest did not finish in {timeout} s")
-    finally:
-        query.stop()
+    from lakeops.sinks.streams import finish
+
+    finish(query, timeout)
 
 
 def consume_at_most(df: DataFrame, order: list[str], n: int = 100) -> DataFrame:

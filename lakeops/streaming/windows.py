@@ -250,7 +250,7 @@ def pair_stream(
 
 
 def continuous_view(
-    source: DataFrame, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, timeout: int = 600
+    source: DataFrame, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, timeout: int | None = None
 ) -> None:
     """Raw lines through a transform into a table: one streaming query instead of a trigger per topic."""
     stream_to_table(transform(source), target, checkpoint, timeout=timeout)

@@ -230,10 +230,9 @@ def test_profile_and_flatten(spark):
     assert flatten_struct(nested).columns == ["a.x.y", "a.z", "b"]
 
 
-def test_distinct_values_refuses_many(spark):
-    assert A.distinct_values(spark.range(5), "id") == [0, 1, 2, 3, 4]
-    with pytest.raises(ValueError):
-        A.distinct_values(spark.range(20), "id", limit=10)
+def test_rows_with_keys_of_another(spark):
+    keys = spark.createDataFrame([(1,), (1,), (None,)], "id long")
+    assert [r.id for r in A.with_keys_of(spark.range(5), keys, "id").collect()] == [1]
 
 
 def test_coverage_gaps_and_overlaps(spark):

@@ -78,14 +78,14 @@ def test_running(skewed, kind, fold, inclusive):
 @pytest.mark.parametrize("by", ["key", None])
 @pytest.mark.parametrize("order", [["-t"], ["t", "-value"]])
 def test_ranks_in_pieces(skewed, by, order):
-    got = O.ranks(skewed, by, order, "r", small=0)
+    got = O.ranks(skewed, by, order, "r")
     w = Window.partitionBy(*([by] if by else [])).orderBy(*O.sort_columns(order))
     same(got, skewed.withColumn("r", F.rank().over(w)))
 
 
 def test_ranks_all_equal(spark):
     df = spark.range(500).withColumn("v", F.lit(1.0))
-    assert O.ranks(df, None, ["-v"], "r", small=0).agg(F.max("r")).first()[0] == 1
+    assert O.ranks(df, None, ["-v"], "r").agg(F.max("r")).first()[0] == 1
 
 
 def test_fill_both_ways(skewed):
@@ -123,3 +123,22 @@ def test_ema_blocks_equal_one_run(spark):
     for _, t, x in rows:
         y = y if t == 0 else y + (x - y) * 2 / 6
         assert got[t] == pytest.approx(y, abs=1e-11)
+
+
+@pytest.mark.parametrize("kind", ["text", "date", "decimal", "flag", "bytes"])
+@pytest.mark.parametrize("sign", ["", "-"])
+def test_any_orderable_type(spark, kind, sign):
+    cast = {
+        "text": "IF(id % 50 = 0, NULL, concat('Name é', format_string('%04d', id % 700)))",
+        "date": "date_add(date'2020-01-01', int(id % 300))",
+        "decimal": "CAST(id % 400 AS DECIMAL(20, 3))",
+        "flag": "id % 2 = 0",
+        "bytes": "CAST(concat('x', id % 90) AS BINARY)",
+    }[kind]
+    df = spark.range(3000).selectExpr("id", f"{cast} AS s")
+    order = [f"{sign}s"]
+    w = Window.orderBy(*O.sort_columns(order))
+    same(O.ranks(df, None, order, "r"), df.withColumn("r", F.rank().over(w)))
+    both = [f"{sign}s", "id"]
+    w = Window.orderBy(*O.sort_columns(both))
+    same(O.row_numbers(df, None, both, "r"), df.withColumn("r", F.row_number().over(w).cast("long")))

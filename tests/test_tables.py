@@ -22,14 +22,67 @@ def test_partition_replacement_is_idempotent(spark):
         assert rows(spark.table(name)) == rows(spark.createDataFrame([(9, "a", 9), (3, "b", 3)], first.schema))
 
 
-def test_many_partition_values_take_the_other_way(spark):
+def test_many_partition_values(spark):
     name = f"{scratch_db(spark)}.t"
     df = spark.range(30).selectExpr("id", "id % 10 AS p")
-    T.replace_partitions_by_drop(df, name, "p", max_values=3)
-    T.replace_partitions_by_drop(df, name, "p", max_values=3)
+    for _ in range(2):
+        T.replace_partitions_by_drop(df, name, "p")
     assert spark.table(name).count() == 30
 
 
+def partitioned(spark):
+    name = f"{scratch_db(spark)}.t"
+    df = spark.range(30).selectExpr("id", "id AS v", "IF(id % 3 = 0, NULL, concat('p ', id % 3, chr(39))) AS p")
+    T.write_table(df, name, partition_by="p")
+    return name
+
+
+def test_update_and_delete_keep_the_partitions(spark):
+    name = partitioned(spark)
+    T.update_where(spark, name, F.col("id") == 4, {"v": F.lit(-1)})
+    T.delete_where(spark, name, F.col("id") == 7)
+    assert T.partition_columns(spark, name) == ["p"]
+    one = spark.createDataFrame([(100, 100, "p 1'")], "id bigint, v bigint, p string")
+    T.overwrite_partition(one, name, "p")
+    want = {(i, i) for i in range(30) if i % 3 != 1} | {(100, 100)}
+    assert {(r.id, r.v) for r in spark.table(name).collect()} == want
+
+
+def test_delete_of_whole_partitions(spark):
+    name = partitioned(spark)
+    T.delete_where(spark, name, F.col("p").isNull() | (F.col("id") % 3 == 2))
+    assert sorted(r.id for r in spark.table(name).collect()) == list(range(1, 30, 3))
+    assert T.partition_columns(spark, name) == ["p"]
+
+
+def test_delete_rewrites_only_what_it_touches(spark):
+    name = partitioned(spark)
+    files = lambda: {r[0] for r in spark.table(name).filter("p = 'p 2' || chr(39)").select(F.input_file_name()).distinct().collect()}
+    before = files()
+    T.delete_where(spark, name, F.col("id") == 7)
+    assert before and files() == before
+
+
+def test_rebuild_keeps_format_and_properties(spark):
+    name = f"{scratch_db(spark)}.t"
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, p STRING) USING json PARTITIONED BY (p) TBLPROPERTIES ('owner.team' = 'ours')")
+    T.write_table(spark.range(4).selectExpr("id", "string(id % 2) AS p"), f"{name}_in")
+    T.rebuild_table(spark, name, spark.table(f"{name}_in"))
+    kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert kept["owner.team"] == "ours" and T.partition_columns(spark, name) == ["p"]
+    assert T._described(spark, name)["Provider"].lower() == "json" and spark.table(name).count() == 4
+    T.compact(spark, name, 1)
+    assert spark.table(name).count() == 4
+
+
+def test_upsert_keeps_its_bucket_count(spark):
+    name = f"{scratch_db(spark)}.t"
+    df = spark.range(50).selectExpr("id AS k", "1 AS ver")
+    for buckets in (8, 16):
+        T.upsert_batch(df, name, "k", "ver", buckets=buckets)
+    assert spark.table(name).count() == 50
+
+
 def test_upsert_last_write_wins_and_replay(spark):
     name = f"{scratch_db(spark)}.t"
     frames = [
