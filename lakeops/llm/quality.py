@@ -191,10 +191,12 @@ def plan_cascade(
 ) -> list[Measured]:
     """Rules ordered by rejections per cost, as measured on at most ``sample_rows`` rows.
 
-    Only the order depends on the sample.  The sample is written once; each
-    rule's cost is the time of an aggregate over it beyond that of the bare scan.
+    Only the order depends on the sample.  It is taken from as few partitions as hold
+    it and written once; each rule's cost is the time of an aggregate over it beyond
+    that of the bare scan.
     """
-    sample = materialise(docs.select(F.col(text_col).alias("text")).limit(sample_rows), "quality-sample")
+    rows = docs.select(F.col(text_col).alias("text")).head(sample_rows)
+    sample = materialise(docs.sparkSession.createDataFrame(rows, "text string"), "quality-sample")
     of = measures(F.col("text"))
 
     def timed(column: Column) -> tuple[int, int, float]:
