@@ -155,7 +155,10 @@ def alike_by_sketch(sketches: np.ndarray, sizes: np.ndarray, percent: int, sampl
 
 
 def shared(sets: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
-    """Sizes of all intersections, by products of incidence matrices over slices of the shingles."""
+    """Sizes of the intersections of different sets, by products of incidence matrices over slices of the shingles.
+
+    Shingles that only one set has are left out, so the diagonal is not the sets' sizes.
+    """
     n = len(sets)
     rows = np.repeat(np.arange(n), [len(s) for s in sets])
     values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -321,7 +324,7 @@ def confirmed_edges(
     )
     texts = docs.select(F.struct(F.col(id_col).alias("rep")).alias("of"), F.col(text_col).alias("text"))
     sets = (
-        texts.join(wanted, "of").select("family", "blocks", "node", "class", "text")
+        texts.join(wanted.hint("merge"), "of").select("family", "blocks", "node", "class", "text")
         .mapInArrow(full, "family bigint, blocks bigint, node bigint, set binary")
     )
     paired = _in_blocks(sets, "family", F.col("blocks")).drop("blocks")
@@ -379,5 +382,5 @@ def near_duplicates(
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows whose id stands for their component, with their columns as they are."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("doc_id").distinct()
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("doc_id").distinct().hint("merge")
     return docs.join(kept, docs[id_col].eqNullSafe(kept["doc_id"]), "left_semi")
