@@ -163,7 +163,7 @@ def _(spark, d):
 @query(
     "volume_monitor", "O10",
     sql="""WITH c AS (SELECT ts::DATE AS day, count(*) AS row_count FROM events GROUP BY 1),
-    m AS (SELECT *, avg(row_count) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_mean FROM c)
+    m AS (SELECT *, avg(row_count) OVER (ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS trailing_mean FROM c)
     SELECT day::VARCHAR AS day, row_count, round(trailing_mean, 6) AS trailing_mean, CASE WHEN row_count < trailing_mean * 0.98 THEN 1 ELSE 0 END AS low_volume FROM m""",
 )
 def _(spark, d):
@@ -175,7 +175,7 @@ def _(spark, d):
     sql="""WITH l AS (SELECT o_custkey, count(*) AS left_rows, sum(o_totalprice) AS ls FROM orders GROUP BY 1),
     r AS (SELECT o_custkey, count(*) AS right_rows, sum(o_totalprice) AS rs FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1)
     SELECT o_custkey, left_rows, round(ls, 2) AS left_sum, right_rows, round(rs, 2) AS right_sum FROM l FULL JOIN r USING (o_custkey)
-    WHERE left_rows IS DISTINCT FROM right_rows OR abs(coalesce(ls, 0) - coalesce(rs, 0)) >= 1e-6""",
+    WHERE left_rows IS DISTINCT FROM right_rows OR abs(coalesce(ls, 0) - coalesce(rs, 0)) > greatest(abs(coalesce(ls, 0)), abs(coalesce(rs, 0)), 1) * 1e-9""",
 )
 def _(spark, d):
     orders = table(spark, d, "orders")

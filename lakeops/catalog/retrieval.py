@@ -11,7 +11,6 @@ from lakeops.functions.text import clause, strip_markup
 from lakeops.operators import markup as MK
 from lakeops.operators import retrieval as V
 from lakeops.plans import roles as R
-from lakeops.session import materialise
 
 ORDER_TEXT_SQL = """'Order ' || o_orderkey::VARCHAR || ' by ' || c_name || ' is ' || {state}
 || CASE WHEN o_totalprice > 300000 THEN '. High value, priority ' || o_orderpriority ELSE '' END
@@ -58,10 +57,10 @@ def _(spark, d):
     return V.render_sections(R.events(spark, d), sections).select("event_id", "text")
 
 
-@query("metadata_struct", "M3", sql="SELECT doc_id, lang, source, n_chars FROM documents WHERE lang = 'en'")
+@query("metadata_struct", "M3", sql="SELECT doc_id, lang, source, n_chars FROM documents")
 def _(spark, d):
     rows = V.metadata_struct(table(spark, d, "documents"), ["lang", "source", "n_chars"])
-    return rows.filter("metadata.lang = 'en'").select("doc_id", "metadata.*")
+    return rows.select("doc_id", "metadata.*")
 
 
 def digest_model(texts: list[str]) -> list[list[float]]:
@@ -157,29 +156,36 @@ def _questions(spark, d):
 
 
 def _texts(spark, d):
-    return fan_out(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 @query(
     "keyword_scores", "M7",
-    sql=f"WITH {BM25_SQL} SELECT query_id, id, round(score, 6) AS score FROM bm",
+    sql=f"""WITH {BM25_SQL} SELECT query_id, id, round(score, 6) AS score,
+    row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM bm QUALIFY rank <= 10""",
 )
 def _(spark, d):
-    return rounded(V.keyword_scores(_questions(spark, d), _texts(spark, d)))
+    return V.keyword_topk(_questions(spark, d), _texts(spark, d), 10)
 
 
-@query("hybrid_top_k", "M7", "M6", "M4")
+@query(
+    "hybrid_top_k", "M7", "M6",
+    sql=f"""WITH {BM25_SQL}, q AS (SELECT item_id, embedding::DOUBLE[] AS v FROM benchmark JOIN embeddings ON vec_id = item_id),
+    near AS (SELECT item_id AS query_id, vec_id AS id, list_cosine_similarity(v, embedding::DOUBLE[]) AS score FROM q, embeddings),
+    words AS (SELECT query_id, id, round(score, 6) AS score FROM bm),
+    lists AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS r FROM near
+      UNION ALL SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) FROM words),
+    fused AS (SELECT query_id, id, sum(1.0::DOUBLE / (60 + r)) AS score FROM lists WHERE r <= 10 GROUP BY 1, 2)
+    SELECT query_id, id, round(score, 9) AS score FROM fused
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) <= 10""",
+)
 def _(spark, d):
-    """Vector and keyword hits of every benchmark text, fused by reciprocal rank."""
-    questions, docs = _questions(spark, d), _texts(spark, d)
-    both = docs.select(F.concat(F.lit("d"), "id").alias("key"), "text").unionByName(
-        questions.select(F.concat(F.lit("q"), "query_id").alias("key"), "text")
-    )
-    vectors = V.hash_embed(both, "key", "text", 128)
-    key = F.substring("key", 2, 20).cast("bigint")
-    asked = vectors.filter(F.col("key").startswith("q")).select(key.alias("query_id"), "embedding")
-    index = vectors.filter(F.col("key").startswith("d")).select(key.alias("id"), "embedding")
-    return rounded(V.hybrid_topk(V.vector_topk(asked, index, 20), V.keyword_scores(questions, docs), 10))
+    """Vector and keyword hits of every benchmark item, fused by reciprocal rank."""
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    items = _questions(spark, d)
+    asked = items.join(vectors, F.col("query_id") == F.col("id")).select("query_id", "embedding")
+    near = V.vector_topk(asked, vectors, 10)
+    return rounded(V.hybrid_topk(near, V.keyword_topk(items, _texts(spark, d), 10), 10).drop("rank"), 9)
 
 
 FUSED_SQL = """
@@ -191,7 +197,7 @@ fused AS (SELECT query_id, id, sum(1.0::DOUBLE / (60 + r)) AS score FROM lists W
 # two scored "indexes" over the documents: by length and by benchmark words
 MERGE_SQL = f"""{BM25_SQL},
 a0 AS (SELECT query_id, id, round(score, 6) AS score, 0 AS pos FROM bm),
-b0 AS (SELECT query_id, id, round(score, 6) / (1 + n) AS score, 1 AS pos FROM bm JOIN (SELECT id, len(w) AS n FROM docs) USING (id)),
+b0 AS (SELECT query_id, id, round(score / (1 + n), 9) AS score, 1 AS pos FROM bm JOIN (SELECT id, len(w) AS n FROM docs) USING (id)),
 u AS (SELECT *, row_number() OVER (PARTITION BY query_id, pos ORDER BY score DESC, id) AS r FROM (FROM a0 UNION ALL FROM b0)),
 v AS (SELECT *, score / greatest(max(score) OVER (PARTITION BY query_id, pos), 1.0::DOUBLE) AS norm_score FROM u WHERE r <= 8),
 once AS (SELECT v.*, text FROM v JOIN documents ON doc_id = id WHERE text <> ''
@@ -200,15 +206,14 @@ merged AS (SELECT *, CASE pos WHEN 0 THEN 'words' ELSE 'density' END AS source,
   row_number() OVER (PARTITION BY query_id ORDER BY norm_score DESC, pos, r) AS rank FROM once)"""
 
 
-def _two_lists(spark, d):
-    scored = materialise(rounded(V.keyword_scores(_questions(spark, d), _texts(spark, d))), "scores")
-    length = _texts(spark, d).select("id", F.size(V.words(F.col("text"))).alias("_n"))
-    density = scored.join(length, "id").withColumn("score", F.col("score") / (1 + F.col("_n"))).drop("_n")
-    return scored, density
+def _two_lists(spark, d, k):
+    questions, docs = _questions(spark, d), _texts(spark, d)
+    scored = V.keyword_topk(questions, docs, k).drop("rank")
+    return scored, V.keyword_topk(questions, docs, k, per_length=True, digits=9).drop("rank")
 
 
 def _merged(spark, d):
-    scored, density = _two_lists(spark, d)
+    scored, density = _two_lists(spark, d, 8)
     return V.merge_indexes({"words": scored, "density": density}, texts=_texts(spark, d))
 
 
@@ -218,7 +223,7 @@ def _merged(spark, d):
     QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) <= 10""",
 )
 def _(spark, d):
-    scored, density = _two_lists(spark, d)
+    scored, density = _two_lists(spark, d, 10)
     return rounded(V.hybrid_topk(scored, density, 10).drop("rank"), 9)
 
 

@@ -8,6 +8,7 @@ from lakeops.catalog.base import query, rounded, table
 from lakeops.operators import forecast as FC
 from lakeops.operators import portfolio as P
 from lakeops.operators import series as S
+from lakeops.operators.ordered import row_numbers
 from lakeops.plans import roles as R
 from lakeops.plans import signals
 
@@ -215,6 +216,46 @@ def _(spark, d):
     return rounded(FC.forecast_forest(R.bars(spark, d), horizon=30), 4)
 
 
+@query(
+    "forecast_forest_bounds", "L11",
+    sql=f"""WITH {R.BARS_SQL}, a AS (SELECT *, row_number() OVER {W.replace('WINDOW w AS ', '')} AS i, count(*) OVER (PARTITION BY symbol) AS n FROM bars),
+    t AS (SELECT * FROM a WHERE i <= greatest(5, n - 30)), b AS (SELECT symbol, arg_max(close, i) AS base FROM t GROUP BY 1)
+    SELECT symbol, 30 AS steps, 1 AS levels, true AS in_bounds FROM b""",
+)
+def _(spark, d):
+    """A forest cannot leave the range of its training labels, closes relative to each symbol's last one."""
+    bars = R.bars(spark, d)
+    told = FC.forecast_forest(bars, horizon=30)
+    sizes = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    placed = row_numbers(bars, "symbol", ["date"], "i").join(sizes, "symbol").filter("i <= greatest(5, n - 30)")
+    base = placed.groupBy("symbol").agg(F.max_by("close", "i").alias("base"))
+    ratio = placed.join(base, "symbol").select((F.col("close") / F.col("base")).alias("r"))
+    low, high = ratio.agg(F.min("r")).scalar(), ratio.agg(F.max("r")).scalar()
+    inside = (F.col("forecast") >= low * F.col("base") - 1e-6) & (F.col("forecast") <= high * F.col("base") + 1e-6)
+    return told.join(base, "symbol").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("steps"), F.countDistinct("forecast").alias("levels"), F.bool_and(inside).alias("in_bounds")
+    )
+
+
+@query(
+    "forecast_decisions", "L9", "L10", "L11", "L14", "L15", "L16", "L19", "L23", "G5",
+    sql=f"""WITH {R.BARS_SQL} SELECT symbol, arg_max(close, date) AS current_price, true AS has_model, true AS has_error,
+    true AS dates_ahead, true AS has_decision FROM bars GROUP BY 1""",
+)
+def _(spark, d):
+    """Fitted forecasts, hold-out error, best model, dates on its forecast and decision in one plan."""
+    bars = R.bars(spark, d)
+    last = bars.groupBy("symbol").agg(F.max("date").cast("date").alias("last"))
+    ahead = lambda c: F.col(c).between(F.date_add("last", 1), F.date_add("last", 30))
+    return signals.forecast_decisions(bars, trees=50).join(last, "symbol").select(
+        "symbol", "current_price",
+        F.col("best_model").isin("autoregressive", "forest", "trend_seasonal").alias("has_model"),
+        (F.col("best_rmse") >= 0).alias("has_error"),
+        (ahead("buy_date") & ahead("sell_date")).alias("dates_ahead"),
+        F.col("decision").rlike("^(Potential (Buy|Sell)|Hold) [|] Confidence: ").alias("has_decision"),
+    )
+
+
 # ---- errors, weights, allocation: three simple predictors of the next close ----
 
 

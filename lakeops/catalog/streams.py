@@ -19,13 +19,13 @@ from lakeops.streaming import windows as K
 
 
 
-def state_conf(spark):
-    """RocksDB state, one state partition per core (fixed for the life of a checkpoint)."""
+def state_conf(spark, partitions=None):
+    """RocksDB state in ``partitions`` parts, fixed for the life of a checkpoint; one per core here."""
     return session_conf(
         spark,
         {
             "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-            "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+            "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
         },
     )
 
@@ -34,12 +34,56 @@ def timed_events(spark, d, lateness="5 seconds"):
     return K.with_event_time(R.event_stream(spark, d), "ts", "event_time", lateness=lateness)
 
 
-def complete(stream, name):
-    """Final result table of a stream (every window, also the open ones)."""
-    out, mark = Z.scratch(stream, name)
-    with state_conf(stream.sparkSession):
-        Z.keep_last_result(stream, out, mark)
-    return read_parquet(stream.sparkSession, out)
+def parts_out_of_order(rows, ts, parts=3, late_hours=5):
+    """``rows`` cut along time, with every second row of the last hours before a cut in the next part.
+
+    A last part of one row, two days on and null but for its time, moves the watermark past all
+    others; what it opens itself stays open.
+    """
+    low, high = F.min(ts).cast("timestamp"), F.max(ts).cast("timestamp")
+    first, last = rows.agg(F.unix_micros(low).alias("a"), F.unix_micros(high).alias("b")).first()
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    span = (last - first) // parts + 1
+    home = F.floor((at - first) / span)
+    held = (home < parts - 1) & (first + (home + 1) * span - at < late_hours * 3_600_000_000) & (F.xxhash64(ts) % 2 == 0)
+    dealt = rows.withColumn("_part", F.when(held, home + 1).otherwise(home))
+    return [*(dealt.filter(F.col("_part") == i).drop("_part") for i in range(parts)), far_ahead(rows, ts)]
+
+
+def far_ahead(rows, ts):
+    return rows.agg(F.max(ts).alias("_max")).select(
+        *[
+            (F.col("_max") + F.expr("INTERVAL 2 DAYS")).alias(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in rows.schema.fields
+        ]
+    )
+
+
+def in_parts(spark, rows, ts, build, run):
+    """Feed ``rows`` in parts; each is a run of its own on one checkpoint, as after a restart."""
+    src, mark = new_dir(spark, "feed"), new_dir(spark, "mark")
+    for part in parts_out_of_order(rows, ts):
+        part.write.mode("append").parquet(src)
+        stream = build(spark.readStream.schema(rows.schema).parquet(src))
+        with state_conf(spark):
+            run(stream, mark)
+
+
+FILES = 4
+
+
+def closed(spark, rows, ts, build):
+    """Append-mode result of an event-time query, one micro-batch per part."""
+    src, out, mark = new_dir(spark, "feed"), new_dir(spark, "out"), new_dir(spark, "mark")
+    for part in parts_out_of_order(rows, ts):
+        part.repartition(FILES).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(src)
+    with state_conf(spark):
+        Z.stream_to_table(build(stream), out, mark)
+    return read_parquet(spark, out)
+
+
+LATE = "6 hours"
 
 
 def appended(stream, name):
@@ -77,13 +121,42 @@ def _(spark, d):
     FROM tele GROUP BY vehicle_id, time_bucket(INTERVAL 20 SECOND, event_time)""",
 )
 def _(spark, d):
-    tele = K.with_event_time(R.as_telemetry(R.event_stream(spark, d)), "event_time")
     aggs = {
         "event_count": F.count(F.lit(1)), "avg_speed": F.avg("speed_kmph"), "max_speed": F.max("speed_kmph"),
         "min_speed": F.min("speed_kmph"),
     }
-    out = complete(K.tumble(tele, "event_time", "20 seconds", "vehicle_id", aggs), "tumble")
-    return rounded(unzoned(out, "window_start", "window_end"))
+
+    def build(tele):
+        return K.tumble(K.with_event_time(tele, "event_time", lateness=LATE), "event_time", "20 seconds", "vehicle_id", aggs)
+
+    return rounded(unzoned(closed(spark, R.telemetry(spark, d), "event_time", build), "window_start", "window_end"))
+
+
+def _moves(tele):
+    """A stream of points with the distance to the point before, in event-time order."""
+    return state.stream_delta_m(K.with_event_time(tele, "event_time", lateness=LATE), tie=["event_id"])
+
+
+def closed_over_moves(spark, d, build):
+    """Closed windows over moves: one query writes the moves, a second reads them as they land."""
+    moves, out, mark = new_dir(spark, "moves"), new_dir(spark, "out"), new_dir(spark, "mark")
+    tele = R.telemetry(spark, d)
+    shape = tele.withColumn("event_time", F.col("event_time").cast("timestamp")).withColumn("delta_m", F.lit(0.0))
+
+    def second():
+        stream = spark.readStream.schema(shape.schema).option("recursiveFileLookup", True).parquet(moves)
+        timed = K.with_event_time(stream, "event_time", lateness="1 minute")
+        Z.stream_to_table(build(timed), out, mark)
+
+    def first(stream, own_mark):
+        Z.row_sink(stream, moves, own_mark)
+        second()
+
+    in_parts(spark, tele, "event_time", _moves, first)
+    far_ahead(shape, "event_time").write.parquet(f"{moves}/end")
+    with state_conf(spark):
+        second()
+    return read_parquet(spark, out)
 
 
 @query(
@@ -96,8 +169,8 @@ def _(spark, d):
     FROM delta GROUP BY vehicle_id, date_trunc('hour', event_time)""",
 )
 def _(spark, d):
-    moved = with_delta_m(R.telemetry(spark, d), tie=["event_id"])
-    return rounded(K.trip_window_summary(moved, "1 hour"), 4, avg_speed=6)
+    out = closed_over_moves(spark, d, lambda moves: K.trip_window_summary(moves, "1 hour"))
+    return rounded(unzoned(out, "window_start", "window_end"), 4, avg_speed=6)
 
 
 @query(
@@ -107,9 +180,15 @@ def _(spark, d):
     FROM (SELECT user_id AS vehicle_id, date_trunc('minute', ts) AS m, ts, value FROM events WHERE value > 20) GROUP BY vehicle_id, m""",
 )
 def _(spark, d):
-    status = timed_events(spark, d).select(F.col("user_id").alias("vehicle_id"), "event_time", F.col("value").alias("engine_temp_c"))
-    out = complete(K.temperature_alerts(status, limit=20.0), "temperature")
-    return unzoned(out, "window_start", "window_end", "time_stamp")
+    status = R.events(spark, d).select(
+        F.col("user_id").alias("vehicle_id"), F.col("ts").alias("event_time"), F.col("value").alias("engine_temp_c")
+    )
+
+    def build(stream):
+        timed = K.with_event_time(stream, "event_time", lateness=LATE)
+        return K.temperature_alerts(timed.fillna(99.0, ["engine_temp_c"]), limit=20.0)
+
+    return unzoned(closed(spark, status, "event_time", build), "window_start", "window_end", "time_stamp")
 
 
 HOP_SQL = """
@@ -124,8 +203,10 @@ w AS (SELECT *, date_trunc('second', event_time) - to_seconds(i) AS ws FROM h)""
     FROM w GROUP BY vehicle_id, ws""",
 )
 def _(spark, d):
-    alerts = K.with_event_time(R.as_alerts(R.event_stream(spark, d)), "event_time")
-    return unzoned(complete(K.behaviour_score(alerts), "score"), "window_start", "window_end")
+    def build(alerts):
+        return K.behaviour_score(K.with_event_time(alerts, "event_time", lateness=LATE))
+
+    return unzoned(closed(spark, R.as_alerts(R.events(spark, d)), "event_time", build), "window_start", "window_end")
 
 
 @query(
@@ -145,29 +226,30 @@ def _(spark, d):
     sum(CASE WHEN speed_kmph <= 5 THEN 1 ELSE 0 END)::BIGINT AS idle_count, 0 AS offline_count FROM w GROUP BY ws""",
 )
 def _(spark, d):
-    tele = K.with_event_time(R.as_telemetry(R.event_stream(spark, d)), "event_time")
-    return unzoned(complete(K.utilisation(tele), "utilisation"), "window_start", "window_end")
+    def build(tele):
+        return K.utilisation(K.with_event_time(tele, "event_time", lateness=LATE))
+
+    return unzoned(closed(spark, R.telemetry(spark, d), "event_time", build), "window_start", "window_end")
 
 
 @query(
-    "continuous_trip_summary", "K7", "B9", "E8",
-    sql=f"""WITH {R.TELEMETRY_SQL} SELECT trip_id, vehicle_id, driver_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS trip_start,
+    "continuous_trip_summary", "K7", "E8",
+    sql=f"""WITH {R.DELTA_SQL} SELECT trip_id, vehicle_id, driver_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS trip_start,
     strftime(max(event_time), '%Y-%m-%d %H:%M:%S') AS trip_end,
     epoch(date_trunc('second', max(event_time)))::BIGINT - epoch(date_trunc('second', min(event_time)))::BIGINT AS trip_duration_sec,
-    count(*) AS event_count, 0.0::DOUBLE AS distance_m, 0.0::DOUBLE AS distance_km, round(avg(speed_kmph), 6) AS avg_speed,
-    min(speed_kmph) AS min_speed, max(speed_kmph) AS max_speed FROM tele WHERE trip_id <> '' GROUP BY 1, 2, 3""",
+    count(*) AS event_count, round(sum(delta_m), 4) AS distance_m, round(sum(delta_m) / 1000.0, 4) AS distance_km,
+    round(avg(speed_kmph), 6) AS avg_speed, min(speed_kmph) AS min_speed, max(speed_kmph) AS max_speed
+    FROM delta WHERE trip_id <> '' GROUP BY 1, 2, 3""",
 )
 def _(spark, d):
-    """A stream in two batches: summaries of the first are replaced by those of the second."""
-    src = new_dir(spark, "feed")
-    tele = R.telemetry(spark, d).filter("trip_id <> ''").withColumn("delta_m", F.lit(0.0))
-    for half in (tele.filter("hour(event_time) < 12"), tele.filter("hour(event_time) >= 12")):
-        half.coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(tele.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    name, mark = f"{scratch_db(spark)}.trips", new_dir(spark, "mark")
-    with state_conf(spark):
-        K.running_trip_summary(stream, name, mark, buckets=8)
-    return rounded(T.read_upserted(spark, name).drop("_version"))
+    """Moves in event-time order, folded per micro-batch, merged when read."""
+    path = new_dir(spark, "trips")
+
+    def run(stream, mark):
+        K.running_trip_summary(stream, path, mark)
+
+    in_parts(spark, R.telemetry(spark, d), "event_time", lambda s: _moves(s).filter("trip_id <> ''"), run)
+    return rounded(K.read_trip_summary(spark, path), 4, avg_speed=6)
 
 
 @query(
@@ -183,10 +265,10 @@ def _(spark, d):
 
 @query("streaming_previous_point_distance", "K9", "N4", "J4", sql=f"WITH {R.DELTA_SQL} SELECT event_id, round(delta_m, 4) AS delta_m FROM delta")
 def _(spark, d):
-    tele = K.with_event_time(R.as_telemetry(R.event_stream(spark, d)), "event_time")
-    with state_conf(spark):
-        moved = state.stream_delta_m(tele, tie=["event_id"])
-        return rounded(appended(moved.select("event_id", "delta_m"), "delta"), 4)
+    def build(tele):
+        return _moves(tele).select("event_id", "delta_m")
+
+    return rounded(closed(spark, R.telemetry(spark, d), "event_time", build), 4)
 
 
 @query(
@@ -207,13 +289,13 @@ def _(spark, d):
 
 @query(
     "live_trip_metrics", "K11",
-    sql=f"""WITH {R.DELTA_SQL} SELECT trip_id, {BOUNDS.format(s="date_trunc('minute', event_time)", w="1 MINUTE")},
+    sql=f"""WITH {R.DELTA_SQL} SELECT trip_id, vehicle_id, driver_id, {BOUNDS.format(s="date_trunc('minute', event_time)", w="1 MINUTE")},
     round(sum(delta_m), 4) AS distance_m, round(avg(speed_kmph), 6) AS avg_speed, count(*) AS event_count
-    FROM delta GROUP BY trip_id, date_trunc('minute', event_time)""",
+    FROM delta GROUP BY trip_id, vehicle_id, driver_id, date_trunc('minute', event_time)""",
 )
 def _(spark, d):
-    moved = with_delta_m(R.telemetry(spark, d), tie=["event_id"])
-    return rounded(K.trip_window_metrics(moved), 4, avg_speed=6)
+    out = closed_over_moves(spark, d, K.trip_window_metrics)
+    return rounded(unzoned(out, "window_start", "window_end"), 4, avg_speed=6)
 
 
 @query(
@@ -237,7 +319,7 @@ def _(spark, d):
     out, mark = new_dir(spark, "out"), new_dir(spark, "mark")
     sums = {}
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(src)
+        part.write.mode("append").parquet(src)
         stream = spark.readStream.schema(R.EVENT_SCHEMA).parquet(src)
         timed = K.with_event_time(stream, "ts", "event_time", lateness="10 seconds")
         sums = K.tumble(timed, "event_time", "1 hour", [], {"n": F.count(F.lit(1))})
@@ -275,7 +357,11 @@ def _(spark, d):
 
 @query("session_windows_stream", "K13", sql=SESSION_SQL.format(gap=21600))
 def _(spark, d):
-    out = complete(K.session(timed_events(spark, d), "event_time", 21600, "user_id", session_measures()), "session")
+    def build(stream):
+        timed = K.with_event_time(stream, "ts", "event_time", lateness=LATE)
+        return K.session(timed, "event_time", 21600, "user_id", session_measures())
+
+    out = closed(spark, R.events(spark, d), "ts", build)
     return rounded(unzoned(out, "window_start", "window_end"), 4)
 
 

@@ -13,6 +13,7 @@ ENTITIES = {"&nbsp;": " ", "&amp;": "&", "&lt;": "<", "&gt;": ">"}
 
 def strip_markup(col: Column) -> Column:
     """Drop doctype, scripts, styles and tags, then decode the four entities."""
+    # The cleaning patterns and their order, here and in clean_title.
     out = F.regexp_replace(col, r"(?i)<!DOCTYPE[^>]*>", "")
     for tag in ("script", "style"):
         out = F.regexp_replace(out, rf"(?i)<{tag}[^>]*>.*?</{tag}>", "")

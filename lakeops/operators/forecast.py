@@ -13,7 +13,7 @@ from math import pi
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,11 +180,13 @@ def forecast_forest(
     date=DATE,
     chunk=None,
 ) -> DataFrame:
-    """One random forest over all symbols: five indicators and the symbol as features.
+    """One random forest over all symbols, on five indicators relative to the symbol's own level.
 
-    The last ``hold_out`` bars of each symbol (keeping at least five) are left
-    out of the training set.  The future holds the last known features, so each
-    symbol gets one predicted level; under 20 rows the last price is held.
+    Prices and price-like indicators are divided by the symbol's last training close, so that
+    symbols of any level share one model whose width does not grow with their number.  The last
+    ``hold_out`` bars of each symbol (keeping at least five) are left out of the training set.  The
+    future holds the last known features, so each symbol gets one predicted level; under 20 rows
+    the last price is held.
     """
     src = df.withColumnsRenamed({symbol: SYMBOL, date: DATE}).filter("close is not null")
     cut = _chunk(src, DATE, chunk)
@@ -193,17 +195,21 @@ def forecast_forest(
     placed = join_null_safe(row_numbers(feats, SYMBOL, [DATE], "_at", cut), sizes, [SYMBOL])
     # the fit reads the features many times: write them once instead of redoing the windows
     placed = materialise(placed, "forest")
-    train = placed.filter(F.col("_at") <= F.greatest(F.lit(5), F.col("n") - hold_out))
-    last = placed.filter(F.col("_at") == F.col("n"))
+    in_train = F.col("_at") <= F.greatest(F.lit(5), F.col("n") - hold_out)
+    bases = placed.filter(in_train).groupBy(SYMBOL).agg(F.max_by("close", "_at").alias("_base"))
+    scaled = join_null_safe(placed, bases, [SYMBOL])
+    relative = {c: F.try_divide(F.col(c), F.col("_base")) for c in FEATURES if c != "rsi"}
+    scaled = scaled.withColumns({**relative, "_label": F.try_divide(F.col("close"), F.col("_base"))})
+    train = scaled.filter(in_train & F.col("_label").isNotNull())
+    last = scaled.filter(F.col("_at") == F.col("n"))
     stages = [
-        StringIndexer(inputCol=SYMBOL, outputCol="_sym", handleInvalid="keep"),
-        OneHotEncoder(inputCol="_sym", outputCol="_one", dropLast=False),
-        VectorAssembler(inputCols=[*FEATURES, "_one"], outputCol="_feats", handleInvalid="skip"),
-        RandomForestRegressor(featuresCol="_feats", labelCol="close", numTrees=trees, seed=seed),
+        VectorAssembler(inputCols=FEATURES, outputCol="_feats", handleInvalid="skip"),
+        RandomForestRegressor(featuresCol="_feats", labelCol="_label", numTrees=trees, seed=seed),
     ]
     fitted = Pipeline(stages=stages).fit(train)
-    level = F.when(F.col("n") < MIN_ROWS_FOREST, F.col("close")).otherwise(F.col("prediction"))
-    one = fitted.transform(last).select(
+    told = fitted.transform(last).select(SYMBOL, (F.col("prediction") * F.col("_base")).alias("_told"))
+    level = F.when(F.col("n") < MIN_ROWS_FOREST, F.col("close")).otherwise(F.coalesce("_told", "close"))
+    one = join_null_safe(last, told, [SYMBOL]).select(
         SYMBOL, F.col(DATE).alias("last_date"), F.array_repeat(level, horizon).alias("_f")
     )
     return _future(one, horizon)

@@ -105,22 +105,29 @@ def freshness(df: DataFrame, ts: str, as_of: Column) -> DataFrame:
 
 
 def volume_check(df: DataFrame, ts: str, trailing: int = 7, low: float = 0.5) -> DataFrame:
-    """Rows per day against the mean of the days before; the daily table is small."""
-    from pyspark.sql import Window
+    """Rows per day against the mean of the days with rows among the ``trailing`` calendar days before.
 
+    Each day's count is handed to the days after it, so no task orders all days.
+    """
     daily = df.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("row_count"))
-    w = Window.orderBy("day").rowsBetween(-trailing, -1)
-    out = daily.withColumn("trailing_mean", F.avg("row_count").over(w))
+    later = F.explode(F.sequence(F.lit(1), F.lit(trailing))).alias("_k")
+    handed = daily.select("day", "row_count", later).select(F.date_add("day", F.col("_k")).alias("day"), "row_count")
+    means = handed.groupBy("day").agg(F.avg("row_count").alias("trailing_mean"))
+    out = daily.join(means, "day", "left")
     return out.withColumn("low_volume", indicator(F.col("row_count") < F.col("trailing_mean") * low))
 
 
-def reconcile(left: DataFrame, right: DataFrame, key: str, amount: str) -> DataFrame:
-    """Keys whose row count or sum differs between two layers."""
+def reconcile(left: DataFrame, right: DataFrame, key: str, amount: str, tolerance: float = 1e-9) -> DataFrame:
+    """Keys whose row count differs between two layers, or whose sums do by more than their share ``tolerance``.
+
+    Sums of doubles depend on their order; the share allows for that on large keys too.
+    """
     l = left.groupBy(key).agg(F.count(F.lit(1)).alias("left_rows"), F.sum(amount).alias("left_sum"))
     r = right.groupBy(key).agg(F.count(F.lit(1)).alias("right_rows"), F.sum(amount).alias("right_sum"))
     both = l.join(r, key, "full_outer")
+    a, b = F.coalesce("left_sum", F.lit(0.0)), F.coalesce("right_sum", F.lit(0.0))
     same = F.col("left_rows").eqNullSafe(F.col("right_rows")) & (
-        F.abs(F.coalesce("left_sum", F.lit(0.0)) - F.coalesce("right_sum", F.lit(0.0))) < 1e-6
+        F.abs(a - b) <= F.greatest(F.abs(a), F.abs(b), F.lit(1.0)) * tolerance
     )
     return both.filter(~same)
 

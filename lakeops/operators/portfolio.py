@@ -89,6 +89,7 @@ RISK_UNIT = {"Low": 1.0, "Medium": 0.6, "High": 0.3}
 def raw_allocation(ret: Column, vol: Column, conf: Column, strength: Column, risk: Column) -> Column:
     """Positive return scaled down by volatility, confidence, pattern and risk; 0 to 100."""
     zero = F.lit(0.0)
+    # The scale 100, the damping 10, the halves, and the pattern range -2 to 2.
     gain = F.lit(100.0) * F.greatest(F.coalesce(ret, zero), zero)
     calm = F.lit(1.0) / (F.lit(1.0) + 10.0 * F.greatest(F.coalesce(vol, zero), zero))
     sure = 0.5 + 0.5 * (clamp(F.coalesce(conf, zero), -1.0, 1.0) + 1.0) / 2.0

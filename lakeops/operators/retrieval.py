@@ -17,7 +17,6 @@ from lakeops.functions.text import template, text_or
 from lakeops.operators.joins import keep_not_in
 from lakeops.operators.topk import dedup_keep_first, top_n_per_group, union_tagged
 from lakeops.operators.windows import max_normalise
-from lakeops.session import materialise
 
 
 def render_text(
@@ -116,6 +115,28 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(norm, F.lit(0.0))
 
 
+QUERY_BLOCK = 2_048
+
+
+def _blocks(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """Deal both sides into blocks so that every left block meets every right block in one group.
+
+    There are as many left blocks as hold ``size`` rows each, and as many right blocks as the
+    session has shuffle partitions.  A row of one side is repeated once per block of the other.
+    """
+    spark = left.sparkSession
+    n = max(1, -(-left.count() // size))
+    m = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def every(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    own = lambda name, count: F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
+    l = left.withColumn("_i", own(left_id, n)).withColumn("_j", every(m))
+    r = right.withColumn("_j", own(right_id, m)).withColumn("_i", every(n))
+    return l, r
+
+
 def vector_topk(
     queries: DataFrame,
     index: DataFrame,
@@ -123,96 +144,60 @@ def vector_topk(
     query_id: str = "query_id",
     index_id: str = "id",
     vector: str = "embedding",
-    max_queries: int = 4096,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """The k most similar index rows of every query, with ``score`` and ``rank``.
 
-    The queries travel to the index: a slice of at most ``max_queries`` query
-    vectors is shipped to every task, which scores its own index rows with one
-    matrix product per Arrow batch and keeps its k best per query.  Only those
-    meet in the shuffle.  More queries are answered slice by slice, each by its
-    own pass, so the result is exact for any number.
+    Blocks of queries meet blocks of the index; a group scores its rows with one matrix product
+    and keeps its k best per query.  Only those meet in the last shuffle.  Neither side passes the
+    driver, the plan is the same for any number of queries, and rows without a vector match nothing.
     """
-    asked = queries.select(F.col(query_id), F.col(vector).alias("_v"))
-    groups = [asked.limit(max_queries + 1).collect()]
-    if len(groups[0]) > max_queries:
-        # hash slices at a quarter of the bound on average, so that none exceeds it
-        width = 4 * -(-asked.count() // max_queries)
-        part = F.pmod(F.xxhash64(query_id), F.lit(width))
-        groups = [asked.filter(part == s).limit(max_queries + 1).collect() for s in range(width)]
-        if max(map(len, groups)) > max_queries:
-            raise ValueError("query ids are not unique enough to slice")
-    kept = None
-    for rows in groups:
-        if not rows:
-            continue
-        part = _slice_topk(rows, queries.schema[query_id].dataType, index, k, query_id, index_id, vector)
-        kept = part if kept is None else kept.unionByName(part)
-    if kept is None:
-        kept = _slice_topk([], queries.schema[query_id].dataType, index, k, query_id, index_id, vector)
-    return top_n_per_group(kept, query_id, ["-score", index_id], k, out="rank")
-
-
-def _slice_topk(rows, id_type, index, k, query_id, index_id, vector) -> DataFrame:
-    ids = [r[0] for r in rows]
-    matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    lengths = np.linalg.norm(matrix, axis=1, keepdims=True) if len(rows) else matrix
-    unit = np.divide(matrix, lengths, out=np.full_like(matrix, np.nan), where=lengths > 0) if len(rows) else matrix
-    shared = index.sparkSession.sparkContext.broadcast((ids, unit))
+    asked = queries.filter(F.col(vector).isNotNull()).select(query_id, F.col(vector).cast("array<double>").alias("_v"))
+    found = index.filter(F.col(vector).isNotNull()).select(index_id, F.col(vector).cast("array<double>").alias("_v"))
+    left, right = _blocks(asked, found, query_id, index_id, query_block)
     schema = T.StructType(
         [
-            T.StructField(query_id, id_type),
+            T.StructField(query_id, queries.schema[query_id].dataType),
             T.StructField(index_id, index.schema[index_id].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids, q = shared.value
-        best: list[tuple] = [None] * len(qids)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            m = np.array(pdf[vector].tolist(), dtype=np.float64)
-            norm = np.linalg.norm(m, axis=1, keepdims=True)
-            m = np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
-            scores, keys = q @ m.T, pdf[index_id].to_numpy()
-            for i in range(len(qids)):
-                s, ids_ = scores[i], keys
-                if best[i] is not None:
-                    s, ids_ = np.concatenate([best[i][0], s]), np.concatenate([best[i][1], ids_])
-                good = np.flatnonzero(~np.isnan(s))
-                pick = good[np.lexsort((ids_[good], -s[good]))[:k]]
-                best[i] = (s[pick], ids_[pick])
-        frames = [
-            pd.DataFrame({query_id: [qid] * len(b[1]), index_id: b[1], "score": b[0]})
-            for qid, b in zip(qids, best)
-            if b is not None
-        ]
-        if frames:
-            yield pd.concat(frames, ignore_index=True)
+    def unit(vectors) -> np.ndarray:
+        m = np.array(vectors.tolist(), dtype=np.float64)
+        norm = np.linalg.norm(m, axis=1, keepdims=True)
+        return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
 
-    return index.filter(F.col(vector).isNotNull()).select(index_id, vector).mapInPandas(run, schema)
+    def best(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or x.empty:
+            return pd.DataFrame({query_id: q[query_id].iloc[:0], index_id: x[index_id].iloc[:0], "score": []})
+        return _keep_best(unit(q["_v"]) @ unit(x["_v"]).T, q[query_id], x[index_id], k, query_id, index_id)
 
+    kept = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(best, schema)
+    return top_n_per_group(kept, query_id, ["-score", index_id], k, out="rank")
 
-def keyword_scores(
-    queries: DataFrame,
-    docs: DataFrame,
-    query_id: str = "query_id",
-    doc_id: str = "id",
-    text: str = "text",
-    k1: float = 1.2,
-    b: float = 0.75,
+
+def _keep_best(scores: np.ndarray, rows: pd.Series, cols: pd.Series, k: int, row_name: str, col_name: str) -> pd.DataFrame:
+    """Highest k of each row of a score matrix, ties to the smallest column id; NaN is no score."""
+    order = np.argsort(cols.to_numpy(), kind="stable")
+    scores, ids = scores[:, order], cols.to_numpy()[order]
+    ranked = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    at = np.repeat(np.arange(len(scores)), ranked.shape[1])
+    picked = ranked.ravel()
+    value = scores[at, picked]
+    good = ~np.isnan(value)
+    return pd.DataFrame({row_name: rows.to_numpy()[at[good]], col_name: ids[picked[good]], "score": value[good]})
+
+
+def _shares(
+    queries: DataFrame, docs: DataFrame, doc_id: str, text: str, k1: float, b: float, per_length: bool
 ) -> DataFrame:
-    """BM25 score of every (query, document) that share a word.
+    """What each word that the queries hold adds to a document's BM25 score.
 
-    Document words are reduced to the queries' vocabulary by a semi join before
-    they are counted, so only matching postings are shuffled, once, by document.
-    Each posting's share of the score is computed before it meets the queries.
+    Document words are reduced to the queries' vocabulary by a semi join before they are counted.
     """
-    asked = queries.select(query_id, F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
-    vocabulary = asked.select("term").distinct()
-    lens = docs.select(doc_id, words(F.col(text)).alias("_w")).withColumn("_len", F.size("_w"))
+    vocabulary = queries.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term")).distinct()
+    lens = docs.select(doc_id, words(F.coalesce(F.col(text), F.lit(""))).alias("_w")).withColumn("_len", F.size("_w"))
     postings = (
         lens.select(doc_id, "_len", F.explode("_w").alias("term"))
         .join(vocabulary, "term", "left_semi")
@@ -220,15 +205,77 @@ def keyword_scores(
         .groupBy(doc_id, "_len", "term")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
-    # the postings are read for the word counts and for the scores
-    postings = materialise(postings, "postings")
-    sizes = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("mean")).first()
-    n_docs, mean_len = F.lit(sizes["n"]), F.lit(sizes["mean"])
+    n_docs = lens.agg(F.count(F.lit(1))).scalar()
+    mean_len = lens.agg(F.avg("_len")).scalar()
     df_per_term = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    joined = postings.join(df_per_term, "term")
     idf = F.log(1 + (n_docs - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     tf = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_len") / mean_len))
-    shares = postings.join(df_per_term, "term").select(doc_id, "term", (idf * tf).alias("_share"))
-    return shares.join(asked, "term").groupBy(query_id, doc_id).agg(F.sum("_share").alias("score"))
+    scale = F.lit(1) + F.col("_len") if per_length else F.lit(1)
+    return joined.select(doc_id, "term", (idf * tf / scale).alias("_share"))
+
+
+def keyword_topk(
+    queries: DataFrame,
+    docs: DataFrame,
+    k: int,
+    query_id: str = "query_id",
+    doc_id: str = "id",
+    text: str = "text",
+    k1: float = 1.2,
+    b: float = 0.75,
+    per_length: bool = False,
+    digits: int = 6,
+    query_block: int = QUERY_BLOCK,
+) -> DataFrame:
+    """The k documents with the best BM25 score of every query, with ``score`` and ``rank``.
+
+    Blocks of queries meet blocks of documents; a group adds up the shares of the words a query and
+    its documents have in common and keeps k documents per query, so pairs never leave the group.
+    Scores are rounded to ``digits`` before they are ranked, so that equal ones tie.  With
+    ``per_length`` a score is divided by one more than the document's number of words.
+    """
+    asked = queries.select(query_id, F.array_sort(F.array_distinct(words(F.col(text)))).alias("_terms"))
+    asked = asked.filter(F.size("_terms") > 0)
+    shares = _shares(queries, docs, doc_id, text, k1, b, per_length)
+    per_doc = shares.groupBy(doc_id).agg(  # at most a document's own words
+        F.array_sort(F.collect_list(F.struct("term", "_share"))).alias("_p")
+    )
+    found = per_doc.select(
+        doc_id, F.transform("_p", lambda x: x["term"]).alias("_t"), F.transform("_p", lambda x: x["_share"]).alias("_s")
+    )
+    left, right = _blocks(asked, found, query_id, doc_id, query_block)
+    schema = T.StructType(
+        [
+            T.StructField(query_id, queries.schema[query_id].dataType),
+            T.StructField(doc_id, docs.schema[doc_id].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+
+    def best(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({query_id: q[query_id].iloc[:0], doc_id: x[doc_id].iloc[:0], "score": np.array([], float)})]
+        x = x.sort_values(doc_id, ignore_index=True)
+        holders: dict[str, tuple[list[int], list[float]]] = {}
+        for row, (terms, parts) in enumerate(zip(x["_t"], x["_s"])):
+            for term, part in zip(terms, parts):
+                at, value = holders.setdefault(term, ([], []))
+                at.append(row)
+                value.append(part)
+        for qid, terms in zip(q[query_id], q["_terms"]):
+            hits = [holders[t] for t in terms if t in holders]
+            if not hits:
+                continue
+            at = np.concatenate([np.array(h[0]) for h in hits])
+            score = np.bincount(at, np.concatenate([np.array(h[1]) for h in hits]))
+            rows = np.unique(at)
+            score = np.round(score[rows], digits)
+            pick = np.argsort(-score, kind="stable")[:k]
+            out.append(pd.DataFrame({query_id: [qid] * len(pick), doc_id: x[doc_id].to_numpy()[rows[pick]], "score": score[pick]}))
+        return pd.concat(out, ignore_index=True)
+
+    kept = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(best, schema)
+    return top_n_per_group(kept, query_id, ["-score", doc_id], k, out="rank")
 
 
 def hybrid_topk(

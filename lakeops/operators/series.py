@@ -197,6 +197,7 @@ def pattern_conditions() -> dict[str, Column]:
     small_star = F.try_divide(F.abs(c1 - o1), F.abs(c2 - o2)) < 0.5
     middle2 = (o2 + c2) / 2
     thin = F.try_divide(body0, span)
+    # The twenty conditions, and their order, which decides between equal strengths.
     return {
         "Bullish Engulfing": dn1 & up0 & (c0 > c1) & (o0 < o1),
         "Bearish Engulfing": up1 & dn0 & (c0 < c1) & (o0 > o1),

@@ -1,7 +1,9 @@
 """From bars to one decision row per symbol: model errors, weighted forecast, risk, allocation.
 
-Three plain predictors of the next close stand in for fitted models, so the whole
-plan has a SQL twin: the last close, the mean of 5 and the mean of 20.
+``forecast_decisions`` runs on fitted models (autoregression, trend with seasons,
+forest), chosen and weighted by their error on held-out bars.  ``signals`` alone runs
+on three plain predictors of the next close, so that plan has a SQL twin: the last
+close, the mean of 5 and the mean of 20.
 """
 
 from __future__ import annotations
@@ -9,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators import forecast as FC
 from lakeops.operators import portfolio as P
 from lakeops.operators import series as S
-from lakeops.operators.ordered import with_previous
+from lakeops.operators.ordered import join_null_safe, row_numbers, with_previous
+from lakeops.operators.topk import union_tagged
 from lakeops.operators.windows import _chunk
 from lakeops.session import materialise
 
@@ -50,14 +54,69 @@ def weighted(bars: DataFrame) -> DataFrame:
     return P.weighted_forecast(per_model)
 
 
-def signals(bars: DataFrame) -> DataFrame:
-    """Expected return, confidence, risk and decision per symbol."""
+HOLD = 30
+LEAST = 5
+
+
+def fitted_forecasts(bars: DataFrame, horizon: int = 30, trees: int = 200) -> DataFrame:
+    """Long table (symbol, model, step, date, forecast) of the three fitted models."""
+    fitted = {
+        "autoregressive": FC.forecast_ar(bars, 5, horizon),
+        "forest": FC.forecast_forest(bars, horizon, trees),
+        "trend_seasonal": FC.forecast_trend_seasonal(bars, horizon),
+    }
+    return union_tagged(fitted, "model").select("symbol", "model", "step", "date", "forecast")
+
+
+def hold_out_errors(bars: DataFrame, hold: int = HOLD, trees: int = 200) -> DataFrame:
+    """RMSE per symbol and model over the last ``hold`` bars, fitted on the bars before them.
+
+    At least ``LEAST`` bars stay for the fit; the i-th step of a forecast meets the i-th bar held out.
+    """
+    sizes = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = join_null_safe(row_numbers(bars, "symbol", ["date"], "_at"), sizes, ["symbol"])
+    numbered = materialise(numbered.withColumn("_fit", F.greatest(F.lit(LEAST), F.col("_n") - hold)), "hold-out")
+    train = numbered.filter("_at <= _fit").select(*bars.columns)
+    kept = numbered.filter("_at > _fit").select(
+        "symbol", (F.col("_at") - F.col("_fit")).cast("int").alias("step"), F.col("close").alias("actual")
+    )
+    told = fitted_forecasts(train, hold, trees).withColumn("step", F.col("step").cast("int"))
+    return P.rmse(told.join(kept, ["symbol", "step"]), ["symbol", "model"], "actual", "forecast")
+
+
+def forecast_decisions(bars: DataFrame, horizon: int = 30, hold: int = HOLD, trees: int = 200) -> DataFrame:
+    """One row per symbol: best fitted model, dates to buy and sell on its forecast, and the decision.
+
+    The forecast of a model is the mean over the horizon; they are weighted by 1/RMSE on the
+    held-out bars.  Without held-out bars the first model by name is taken and weights are equal.
+    """
+    bars = materialise(bars, "bars")
+    ahead = materialise(fitted_forecasts(bars, horizon, trees), "forecasts")
+    means = ahead.groupBy("symbol", "model").agg(F.avg("forecast").alias("forecast"))
+    per_model = materialise(means.join(hold_out_errors(bars, hold, trees), ["symbol", "model"], "left"), "errors")
+    order = F.struct(F.coalesce("rmse", F.lit(float("inf"))).alias("e"), F.col("model"))
+    best = per_model.groupBy("symbol").agg(F.min_by("model", order).alias("model"), F.min("rmse").alias("best_rmse"))
+    path = ahead.join(best, ["symbol", "model"])
+    days = path.groupBy("symbol").agg(
+        F.first("model").alias("best_model"), F.first("best_rmse").alias("best_rmse"),
+        F.min_by("date", F.struct("forecast", "date")).alias("buy_date"),
+        F.min_by("date", F.struct(-F.col("forecast"), F.col("date"))).alias("sell_date"),
+    )
+    return signals(bars, P.weighted_forecast(per_model)).join(days, "symbol")
+
+
+def signals(bars: DataFrame, forecasts: DataFrame | None = None) -> DataFrame:
+    """Expected return, confidence, risk and decision per symbol.
+
+    ``forecasts`` has ``symbol, weighted_forecast``; by default the plain predictors give it.
+    """
     bars = materialise(bars, "bars")  # four branches read them
+    forecasts = weighted(bars) if forecasts is None else forecasts
     price = S.atr(bars).groupBy("symbol").agg(
         F.max_by("close", "date").alias("current_price"), F.max_by("atr14", "date").alias("atr14")
     )
     base = (
-        price.join(weighted(bars), "symbol")
+        price.join(forecasts, "symbol")
         .join(S.annualised_volatility(bars), "symbol")
         .join(S.best_pattern(bars), "symbol", "left")
     )

@@ -76,17 +76,23 @@ def row_sink(
     options: dict[str, str] | None = None,
     buckets: int = 64,
     timeout: int | None = None,
+    clear: Callable[[int], None] | None = None,
 ) -> None:
     """Rows of a stream into a keyed table, set by set.
 
     With ``keys`` the table keeps one row per key; ``fmt`` sends the batches to
-    an outside row store (JDBC and the like) instead.
+    an outside row store (JDBC and the like) instead.  Rows sent outside carry their batch in
+    ``_batch``, and ``clear(batch_id)`` is called first to remove what an earlier attempt of the
+    batch has left there; without it a replayed batch is stored twice.
     """
     keys = names(keys)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if fmt:
-            batch.write.format(fmt).options(**(options or {})).mode("append").save()
+            if clear:
+                clear(batch_id)
+            marked = batch.withColumn("_batch", F.lit(int(batch_id)))
+            marked.write.format(fmt).options(**(options or {})).mode("append").save()
         elif keys:
             upsert_batch(batch, target, keys, order_col, buckets)
         else:

@@ -348,29 +348,88 @@ def read_upserted(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).drop(BUCKET)
 
 
+def store_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Store one micro-batch's rows under its id; a replayed batch replaces itself.
+
+    A batch that :func:`compact_batches` has folded into the base is not stored again.
+    """
+    spark = df.sparkSession
+    if batch_id <= _folded_through(spark, path):
+        return
+    with session_conf(spark, DYNAMIC):
+        df.withColumn("_batch", F.lit(int(batch_id))).write.mode("overwrite").partitionBy("_batch").parquet(path)
+
+
+def _pointer(path: str) -> str:
+    return f"{path.rstrip('/')}__base"
+
+
+def _folded_through(spark: SparkSession, path: str) -> int:
+    base = _newest_base(spark, path)
+    return -1 if base is None else base[0]
+
+
+def _newest_base(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """Highest batch folded and the folder of that base; a base counts once its success mark is there."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_pointer(path))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    done = []
+    for status in fs.listStatus(root):
+        place = status.getPath()
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(place, "_SUCCESS")):
+            done.append((int(place.getName().split("=")[1]), place.toString()))
+    return max(done, default=None)
+
+
+def compact_batches(spark: SparkSession, path: str, through: int, fold) -> None:
+    """Fold the base and all batches up to ``through`` into a new base with ``fold(rows)``.
+
+    Readers see either the old base with its tail or the new one: a base is valid from its success
+    mark on, and batches it covers are skipped by number.
+    """
+    rows = read_batches(spark, path, through)
+    fold(rows).write.mode("overwrite").parquet(f"{_pointer(path)}/through={int(through)}")
+
+
+def read_batches(spark: SparkSession, path: str, through: int | None = None) -> DataFrame:
+    """The newest base and the batches after it, as plain rows."""
+    base = _newest_base(spark, path)
+    tail = spark.read.parquet(path)
+    if base is not None:
+        tail = tail.filter(F.col("_batch") > base[0])
+    if through is not None:
+        tail = tail.filter(F.col("_batch") <= through)
+    tail = tail.drop("_batch")
+    return tail if base is None else spark.read.schema(tail.schema).parquet(base[1]).unionByName(tail)
+
+
 def rollup_upsert(
     df: DataFrame, path: str, keys: Sequence[str], sums: Sequence[str], batch_id: int
 ) -> None:
     """Store the batch's partial sums per key; a repeated batch replaces its own part."""
-    partial = df.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
-    with session_conf(df.sparkSession, DYNAMIC):
-        partial.withColumn("_batch", F.lit(int(batch_id))).write.mode("overwrite").partitionBy(
-            "_batch"
-        ).parquet(path)
+    store_batch(df.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums]), path, batch_id)
 
 
 def read_rollup(spark: SparkSession, path: str, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Fold the partial sums of all batches."""
-    return spark.read.parquet(path).groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
+    """Fold the partial sums of the base and the batches after it."""
+    return read_batches(spark, path).groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
+
+
+def compact_rollup(spark: SparkSession, path: str, keys: Sequence[str], sums: Sequence[str], through: int) -> None:
+    compact_batches(spark, path, through, lambda rows: rows.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums]))
 
 
 def dedup_on_insert(df: DataFrame, path: str, batch_id: int) -> None:
     """Append the distinct rows of one batch; :func:`read_distinct` folds across batches."""
-    with session_conf(df.sparkSession, DYNAMIC):
-        df.distinct().withColumn("_batch", F.lit(int(batch_id))).write.mode("overwrite").partitionBy(
-            "_batch"
-        ).parquet(path)
+    store_batch(df.distinct(), path, batch_id)
 
 
 def read_distinct(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("_batch").distinct()
+    return read_batches(spark, path).distinct()
+
+
+def compact_distinct(spark: SparkSession, path: str, through: int) -> None:
+    compact_batches(spark, path, through, lambda rows: rows.distinct())

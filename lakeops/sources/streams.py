@@ -29,12 +29,19 @@ def stream_json(
     """Typed columns from a stream of JSON messages; unparsable messages are left out.
 
     ``source`` is a folder of JSON-line files, or the options of a broker topic.
-    ``starting='latest'`` on a folder reads the newest files first.
+    ``starting='latest'`` passes over what is there when the stream is first defined: on a folder
+    lines of files changed up to that moment are left out.  Keep the moment for a restart by giving
+    it as ``starting`` (``yyyy-MM-dd HH:mm:ss``, session time zone).
     """
     if isinstance(source, dict):
         lines = stream_messages(spark, {**source, **options}, starting)
+    elif starting == "earliest":
+        lines = stream_lines(spark, source, **options)
     else:
-        lines = stream_lines(spark, source, latestFirst=str(starting == "latest").lower(), **options)
+        now = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+        since = F.lit(now if starting == "latest" else starting).cast("timestamp")
+        read = spark.readStream.options(**options).format("text").load(source)
+        lines = read.filter(F.col("_metadata.file_modification_time") > since).select("value")
     good, _ = parse_json_tolerant(lines, "value", schema)
     return good
 

@@ -1,74 +1,110 @@
-"""Keyed state over streams: the previous row of each key."""
+"""Keyed state over streams: the previous row of each key, in event-time order."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from datetime import datetime, timezone
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lakeops.operators.windows import delta_expr
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def micros(t: datetime) -> int:
+    """Epoch microseconds; a time without a zone (as rows arrive) is in the worker's own."""
+    d = (t if t.tzinfo else t.astimezone(timezone.utc)) - EPOCH
+    return (d.days * 86_400 + d.seconds) * 1_000_000 + d.microseconds
+
 
 class PreviousRow(StatefulProcessor):
-    """Emits each row with chosen columns of the row before it, across micro-batches.
+    """Emits each row with chosen columns of the row before it by event time.
 
-    Rows are ordered by event time inside a micro-batch.  A row older than the
-    last one already emitted for its key cannot be placed any more and is left
-    out (``drop_late``) or compared with that last row.
+    Rows wait in state until the watermark has passed them: no earlier row of their
+    key can come any more, so they leave in order whatever order they arrived in.
+    Rows behind the watermark are dropped by the engine.  A key without rows for
+    ``idle_seconds`` of event time is forgotten; its next row has no previous one.
     """
 
-    def __init__(self, ts: str, tie: Sequence[str], cols: Sequence[str], kinds: list, drop_late: bool = True):
-        self.ts, self.tie, self.cols, self.kinds, self.drop_late = ts, list(tie), list(cols), kinds, drop_late
+    def __init__(
+        self, names: Sequence[str], schema: T.StructType, ts: str, tie: Sequence[str], cols: Sequence[str],
+        idle_seconds: int | None = None,
+    ):
+        self.names, self.schema, self.ts, self.idle = list(names), schema, ts, idle_seconds
+        self.order, self.cols = [ts, *tie], list(cols)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         fields = [T.StructField("seen", T.LongType())]
-        fields += [T.StructField(c, k) for c, k in zip(self.cols, self.kinds)]
+        fields += [T.StructField(c, self.schema[c].dataType) for c in self.cols]
         self.last = handle.getValueState("last", T.StructType(fields))
+        self.waiting = handle.getListState("waiting", self.schema)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        fresh = [tuple(row[c] for c in self.names) for row in rows]
+        self.waiting.appendList(fresh)
+        self._wake_at(fresh)
+        return iter(())
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # one key's rows of one micro-batch, bounded by the source's per-trigger limit
-        frames = list(rows)
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        keys = [batch[c].to_numpy() for c in (*self.tie[::-1], self.ts)]
-        batch = batch.take(np.lexsort(keys))
-        micros = batch[self.ts].to_numpy().astype("datetime64[us]").astype("int64")
+    def _wake_at(self, rows: list[tuple]) -> None:
+        """Have the key called as soon as the watermark has passed the first of the rows."""
+        at = self.names.index(self.ts)
+        self.handle.registerTimer(min(micros(r[at]) for r in rows) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
         before = self.last.get() if self.last.exists() else None
-        if before is not None and self.drop_late and micros[0] < before[0]:
-            keep = micros >= before[0]
-            batch, micros = batch[keep], micros[keep]
-            if batch.empty:
-                return
-        values = []
-        for i, c in enumerate(self.cols):
-            col = batch[c].astype(object).to_numpy()
-            first = None if before is None else before[i + 1]
-            batch[f"prev_{c}"] = pd.Series([first, *col[:-1]], index=batch.index, dtype=object)
-            end = batch[c].iloc[-1]
-            values.append(None if pd.isna(end) else end.item() if hasattr(end, "item") else end)
-        newest = int(micros[-1]) if before is None else max(int(micros[-1]), before[0])
-        self.last.update((newest, *values))
-        yield batch
+        ready, later = [], []
+        for row in self.waiting.get() if self.waiting.exists() else ():
+            row = dict(zip(self.names, row))
+            (ready if micros(row[self.ts]) <= passed else later).append(row)
+        if not ready:
+            # whatever waits is later than the watermark, so it is far from the last row as well
+            if self.idle is not None and before is not None and before[0] + self.idle * 1_000_000 <= passed:
+                self.last.clear()
+            return
+        # nulls of a tie column go first
+        ready.sort(key=lambda r: [(r[c] is not None, r[c]) for c in self.order])
+        if later:
+            rest = [tuple(r[c] for c in self.names) for r in later]
+            self.waiting.put(rest)
+            self._wake_at(rest)
+        else:
+            self.waiting.clear()
+        out = Row(*self.names, *[f"prev_{c}" for c in self.cols])
+        seen, prev = (None, None) if before is None else (before[0], list(before[1:]))
+        for row in ready:
+            at = micros(row[self.ts])
+            if self.idle is not None and seen is not None and at - seen > self.idle * 1_000_000:
+                prev = None
+            yield out(*[row[c] for c in self.names], *(prev or [None] * len(self.cols)))
+            seen, prev = at, [row[c] for c in self.cols]
+        self.last.update((seen, *prev))
+        if self.idle is not None:
+            self.handle.registerTimer(seen // 1000 + self.idle * 1000 + 1)
 
     def close(self) -> None:
         pass
 
 
 def stream_with_previous(
-    stream: DataFrame, key: str, ts: str, cols: Sequence[str], tie: Sequence[str] = (), drop_late: bool = True
+    stream: DataFrame, key: str, ts: str, cols: Sequence[str], tie: Sequence[str] = (), idle_seconds: int | None = None
 ) -> DataFrame:
-    """``prev_*`` columns on a stream (needs the RocksDB state store)."""
-    kinds = [stream.schema[c].dataType for c in cols]
-    added = [T.StructField(f"prev_{c}", k) for c, k in zip(cols, kinds)]
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in stream.schema.fields], *added])
-    return stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=PreviousRow(ts, tie, cols, kinds, drop_late),
-        outputStructType=schema,
+    """``prev_*`` columns on a stream with a watermark on ``ts`` (needs the RocksDB state store).
+
+    Rows leave when the watermark has passed them, so event-time windows over them belong to a
+    second query that reads what this one wrote.
+    """
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
+    added = [T.StructField(f"prev_{c}", schema[c].dataType) for c in cols]
+    return stream.groupBy(key).transformWithState(
+        statefulProcessor=PreviousRow(stream.columns, schema, ts, tie, cols, idle_seconds),
+        outputStructType=T.StructType([*schema.fields, *added]),
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
 
 
@@ -78,8 +114,8 @@ def stream_delta_m(
     ts: str = "event_time",
     trip: str = "trip_id",
     tie: Sequence[str] = (),
-    drop_late: bool = True,
+    idle_seconds: int | None = None,
 ) -> DataFrame:
     """Distance to the previous point on an unbounded stream; the rule itself stays an expression."""
-    prev = stream_with_previous(stream, key, ts, ["lat", "lon", trip], tie, drop_late)
+    prev = stream_with_previous(stream, key, ts, ["lat", "lon", trip], tie, idle_seconds)
     return prev.withColumn("delta_m", delta_expr(trip)).drop("prev_lat", "prev_lon", f"prev_{trip}")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.cases import indicator
-from lakeops.operators.aggregate import trip_summary
+from lakeops.functions.times import text_seconds_between
 from lakeops.operators.joins import pair_within
-from lakeops.operators.ordered import names, time_chunk
-from lakeops.sinks.streams import row_sink, stream_to_table
+from lakeops.operators.ordered import names, running, time_chunk
+from lakeops.sinks.streams import for_each_batch, stream_to_table
+from lakeops.sinks.tables import read_batches, store_batch
 
 
 def with_event_time(
@@ -43,19 +44,17 @@ def hop(
 ) -> DataFrame:
     """Sums per sliding window and key.
 
-    A batch frame is first summed per slide-wide pane, and only the panes are
-    copied to the windows that hold them; copying the rows themselves would
-    multiply the input by size/slide.  A stream copies rows, its partial
-    aggregation runs before the shuffle.
+    Rows are first summed per slide-wide pane, and only the panes are copied to the
+    windows that hold them; copying the rows themselves would multiply the input by
+    size/slide.  On a stream both steps keep state until the watermark closes them,
+    so results come once per window, in append mode.
     """
     keys = names(keys)
-    if df.isStreaming:
-        out = df.groupBy(F.window(ts, size, slide), *keys).agg(*[F.sum(s).alias(n) for n, s in sums.items()])
-        return _window_bounds(out, keys, list(sums))
     panes = df.groupBy(F.window(ts, slide).alias("_pane"), *keys).agg(
         *[F.sum(s).alias(n) for n, s in sums.items()]
     )
-    at = panes.withColumn("_at", F.col("_pane.start")).drop("_pane")
+    start = F.window_time("_pane") if df.isStreaming else F.col("_pane.start")
+    at = panes.select(start.alias("_at"), *keys, *sums)
     out = at.groupBy(F.window("_at", size, slide), *keys).agg(*[F.sum(n).alias(n) for n in sums])
     return _window_bounds(out, keys, list(sums))
 
@@ -137,27 +136,68 @@ def trip_window_summary(
 
 
 def trip_window_metrics(
-    df: DataFrame, size: str = "1 minute", ts: str = "event_time", trip: str = "trip_id"
+    df: DataFrame,
+    size: str = "1 minute",
+    ts: str = "event_time",
+    keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id"),
 ) -> DataFrame:
-    """Live distance and average speed per trip and window."""
+    """Live distance and average speed per trip, vehicle, driver and window."""
     aggs = {
         "distance_m": F.sum("delta_m"),
         "avg_speed": F.avg("speed_kmph"),
         "event_count": F.count(F.lit(1)),
     }
-    return tumble(df, ts, size, trip, aggs)
+    return tumble(df, ts, size, keys, aggs)
+
+
+# Parts of a trip summary that can be merged, and how.
+_TRIP_PARTS = {
+    "_start": (F.min, "event_time"), "_end": (F.max, "event_time"), "_n": (F.count, "event_time"),
+    "_distance": (F.sum, "delta_m"), "_speeds": (F.sum, "speed_kmph"), "_timed": (F.count, "speed_kmph"),
+    "_slowest": (F.min, "speed_kmph"), "_fastest": (F.max, "speed_kmph"),
+}
 
 
 def running_trip_summary(
     stream: DataFrame,
-    table: str,
+    path: str,
     checkpoint: str,
     keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id"),
-    buckets: int = 64,
 ) -> None:
-    """Trip summary re-emitted on every change and merged into a table by trip."""
-    out = trip_summary(stream, keys).withColumn("_version", F.col("event_count"))
-    row_sink(out, table, checkpoint, list(keys), "_version", mode="update", buckets=buckets)
+    """Keep a trip summary up to date from a stream of moves.
+
+    Each micro-batch is folded to one mergeable row per trip and stored under its batch id, so a
+    replayed batch replaces itself and no trip stays in streaming state.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parts = batch.groupBy(*keys).agg(*[fold(c).alias(n) for n, (fold, c) in _TRIP_PARTS.items()])
+        store_batch(parts, path, batch_id)
+
+    for_each_batch(stream, write, checkpoint)
+
+
+def read_trip_summary(
+    spark: SparkSession, path: str, keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id")
+) -> DataFrame:
+    """The summaries as of the last stored batch."""
+    merge = {F.min: F.min, F.max: F.max, F.count: F.sum, F.sum: F.sum}
+    whole = read_batches(spark, path).groupBy(*keys).agg(
+        *[merge[fold](n).alias(n) for n, (fold, _) in _TRIP_PARTS.items()]
+    )
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return whole.select(
+        *keys,
+        F.date_format("_start", fmt).alias("trip_start"),
+        F.date_format("_end", fmt).alias("trip_end"),
+        text_seconds_between(F.col("_start"), F.col("_end"), fmt).alias("trip_duration_sec"),
+        F.col("_n").alias("event_count"),
+        F.col("_distance").alias("distance_m"),
+        (F.col("_distance") / 1000.0).alias("distance_km"),
+        (F.col("_speeds") / F.col("_timed")).alias("avg_speed"),
+        F.col("_slowest").alias("min_speed"),
+        F.col("_fastest").alias("max_speed"),
+    )
 
 
 def session(
@@ -174,7 +214,8 @@ def session(
     uses the built-in session window.  A batch frame is first folded to session
     pieces inside each (key, chunk).  A piece ends with a pause or at a chunk
     border, so a key has at most (time span / gap) + (time span / chunk) pieces
-    however many rows it has; only the pieces are then ordered per key.
+    however many rows it has.  The pieces are joined by running folds that are
+    themselves cut by day, so no task orders all pieces of a key.
     """
     keys = names(keys)
     folds = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -197,9 +238,11 @@ def session(
         F.min("_us").alias("_from"), F.max("_us").alias("_to"), F.min("_ts").alias("_start"), F.max("_ts").alias("_last"),
         *[folds[kind](n).alias(n) for n, (kind, _) in aggs.items()],
     )
-    per_key = Window.partitionBy(*keys).orderBy("_from")
-    start = indicator(F.coalesce(F.col("_from") - F.lag("_to").over(per_key) > limit, F.lit(True)))
-    numbered = pieces.withColumn("_start_flag", start).withColumn("_session", F.sum("_start_flag").over(per_key))
+    day = F.date_trunc("day", F.col("_start"))
+    before = running(pieces, keys, ["_from"], {"_before": F.col("_to")}, "max", day, inclusive=False)
+    start = indicator(F.coalesce(F.col("_from") - F.col("_before") > limit, F.lit(True)))
+    flagged = before.withColumn("_start_flag", start)
+    numbered = running(flagged, keys, ["_from"], {"_session": F.col("_start_flag")}, "sum", day)
     out = numbered.groupBy(*keys, "_session").agg(
         F.min("_start").alias("window_start"),
         (F.max("_last") + F.expr(f"interval {gap_seconds} seconds")).alias("window_end"),

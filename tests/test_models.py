@@ -68,13 +68,46 @@ def test_vector_topk_equals_brute_force(spark, vectors, bound):
     index, asked = vectors
     idf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(index)], "id long, embedding array<double>")
     qdf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id long, embedding array<double>")
-    got = V.vector_topk(qdf, idf.repartition(5), 4, max_queries=bound).collect()
+    got = V.vector_topk(qdf, idf.repartition(5), 4, query_block=bound).collect()
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
     scores = unit(asked) @ unit(index).T
     want = {(q, r + 1): int(i) for q in range(len(asked)) for r, i in enumerate(np.argsort(-scores[q])[:4])}
     assert {(r.query_id, r["rank"]): r.id for r in got} == want
 
 
+def test_null_vectors_and_no_queries(spark):
+    idx = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "id long, embedding array<double>")
+    q = spark.createDataFrame([(1, [1.0, 1.0]), (2, None)], "query_id long, embedding array<double>")
+    assert sorted((r.query_id, r.id, r["rank"]) for r in V.vector_topk(q, idx, 5).collect()) == [(1, 1, 1), (1, 3, 2)]
+    for none, some in ((q.limit(0), idx), (q, idx.limit(0))):
+        out = V.vector_topk(none, some, 5)
+        assert out.columns == ["query_id", "id", "score", "rank"] and out.count() == 0
+
+
+@pytest.mark.parametrize("bound", [2048, 2])
+def test_keyword_topk_equals_brute_force(spark, bound):
+    docs = {i: " ".join(f"w{(i * k) % 11}" for k in range(1, 3 + i % 5)) for i in range(60)} | {99: "", 98: None}
+    asked = {1: "w1 w2 W3", 2: "nothing here", 3: "w5 w5", 4: None, 5: "w0 w7"}
+    d = spark.createDataFrame(list(docs.items()), "id long, text string").repartition(4)
+    q = spark.createDataFrame(list(asked.items()), "query_id long, text string")
+    got = V.keyword_topk(q, d, 7, query_block=bound).collect()
+    split = {i: (t or "").split() for i, t in docs.items()}
+    n, mean = len(docs), np.mean([len(w) for w in split.values()])
+    want = {}
+    for qid, text in asked.items():
+        scores = {}
+        for term in set((text or "").lower().split()):
+            df = sum(term in w for w in split.values())
+            for i, w in split.items():
+                tf = w.count(term)
+                if tf:
+                    part = np.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / mean))
+                    scores[i] = scores.get(i, 0) + part
+        ranked = sorted(scores, key=lambda i: (-round(scores[i], 6), i))[:7]
+        want |= {(qid, r + 1): (i, round(scores[i], 6)) for r, i in enumerate(ranked)}
+    assert {(r.query_id, r["rank"]): (r.id, r.score) for r in got} == want
+
+
 def test_zero_vector_scores_nothing(spark):
     idx = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "id long, embedding array<double>")
     q = spark.createDataFrame([(1, [1.0, 1.0])], "query_id long, embedding array<double>")
@@ -114,3 +147,23 @@ def test_headline_substrings(spark):
     news = spark.createDataFrame([(1, "ABCD rises, EFGH falls"), (2, "nothing"), (3, "")], "id int, title string")
     tickers = spark.createDataFrame([("ABCD",), ("EFGH",), ("QRSTUV",), ("",)], "ticker string")
     assert sorted((r.id, r.ticker) for r in V.headline_filter(news, tickers).collect()) == [(1, "ABCD"), (1, "EFGH")]
+
+
+def test_decisions_pick_the_model_with_the_smallest_held_out_error(spark):
+    from lakeops.plans import signals
+
+    line = series(spark, "line", [10 + 0.5 * i for i in range(120)])
+    wave = series(spark, "wave", [50 + 10 * np.sin(2 * np.pi * i / 30) + 0.1 * i for i in range(150)])
+    short = series(spark, "short", [7.0, 7.5, 8.0])
+    bars = line.unionByName(wave).unionByName(short)
+    errors = {(r.symbol, r.model): r.rmse for r in signals.hold_out_errors(bars, trees=5).collect()}
+    assert errors["line", "trend_seasonal"] < 1e-3 and errors["wave", "trend_seasonal"] < 1e-2
+    assert errors["line", "forest"] > 1 and not any(s == "short" for s, _ in errors)
+    got = {r.symbol: r for r in signals.forecast_decisions(bars, trees=5).collect()}
+    assert set(got) == {"line", "wave", "short"}
+    assert got["wave"].best_model == "trend_seasonal" and got["short"].best_rmse is None
+    assert str(got["line"].sell_date) == "2024-05-29" and got["line"].expected_return > 0
+    # the wave's next crest and trough, by its own formula
+    ahead = [50 + 10 * np.sin(2 * np.pi * i / 30) + 0.1 * i for i in range(150, 180)]
+    day = lambda i: str(np.datetime64("2024-01-01") + 150 + int(i))
+    assert (str(got["wave"].buy_date), str(got["wave"].sell_date)) == (day(np.argmin(ahead)), day(np.argmax(ahead)))

@@ -36,22 +36,41 @@ def run_append(spark, stream, fresh):
     return spark.read.parquet(out)
 
 
+def moves(stream, idle=None):
+    return state.stream_delta_m(stream.withWatermark("event_time", "5 seconds"), tie=["lon"], idle_seconds=idle)
+
+
+END = (10**6, "end", "a", 0.0, 0.0)
+
+
 def test_previous_row_crosses_micro_batches(spark, fresh):
-    one = points(spark, [(3, "v", "a", 1.0, 3.0), (1, "v", "a", 1.0, 1.0), (2, "w", "b", 0.0, 0.0)])
-    two = points(spark, [(5, "v", "a", 1.0, 6.0), (4, "v", "a", 1.0, 5.0), (9, "w", "c", 0.0, 9.0)])
+    """Out of order inside the watermark, in several batches: every row is kept and placed as in a batch."""
+    one = points(spark, [(3, "v", "a", 1.0, 3.0), (1, "v", "a", 1.0, 1.0), (2, "w", "b", 0.0, 0.0), (10, "v", "a", 1.0, 9.0)])
+    two = points(spark, [(8, "v", "a", 1.0, 8.0), (11, "v", "a", 1.0, 5.0), (9, "w", "c", 0.0, 9.0), (11, "v", "a", 1.0, 4.0)])
+    three = points(spark, [(12, "v", "a", 1.0, 2.0), (7, "w", "b", 0.0, 1.0)])
     with session_conf(spark, STATE):
-        got = run_append(spark, state.stream_delta_m(feed(spark, fresh("in"), [one, two])), fresh)
-    want = with_delta_m(one.unionByName(two))
-    key = lambda df: {(r.vehicle_id, r.s): round(r.delta_m, 6) for r in df.collect()}
+        got = run_append(spark, moves(feed(spark, fresh("in"), [one, two, three, points(spark, [END])])), fresh)
+    want = with_delta_m(one.unionByName(two).unionByName(three), tie=["lon"])
+    key = lambda df: sorted((r.vehicle_id, r.s, r.lon, round(r.delta_m, 6)) for r in df.collect())
     assert key(got) == key(want)
 
 
-def test_late_row_is_left_out(spark, fresh):
+def test_only_rows_behind_the_watermark_are_left_out(spark, fresh):
     one = points(spark, [(10, "v", "a", 1.0, 1.0)])
-    two = points(spark, [(4, "v", "a", 1.0, 9.0), (11, "v", "a", 1.0, 1.0)])
+    two = points(spark, [(8, "v", "a", 1.0, 2.0), (20, "v", "a", 1.0, 1.0)])
+    three = points(spark, [(4, "v", "a", 1.0, 9.0), (16, "v", "a", 1.0, 1.0)])
+    with session_conf(spark, STATE):
+        got = run_append(spark, moves(feed(spark, fresh("in"), [one, two, three, points(spark, [END])])), fresh)
+    assert sorted(r.s for r in got.collect()) == [8, 10, 16, 20]
+
+
+@pytest.mark.parametrize("idle,moved", [(None, True), (3600, True), (30, False)])
+def test_idle_keys_are_forgotten(spark, fresh, idle, moved):
+    parts = [[(10, "v", "a", 1.0, 1.0)], [(100, "w", "a", 1.0, 1.0)], [(200, "v", "a", 1.0, 2.0)], [END]]
     with session_conf(spark, STATE):
-        got = run_append(spark, state.stream_delta_m(feed(spark, fresh("in"), [one, two])), fresh)
-    assert {(r.s, r.delta_m) for r in got.collect()} == {(10, 0.0), (11, 0.0)}
+        stream = feed(spark, fresh("in"), [points(spark, p) for p in parts])
+        got = run_append(spark, moves(stream, idle), fresh)
+    assert (got.filter("s = 200").first().delta_m > 0) == moved
 
 
 @pytest.fixture()
@@ -60,29 +79,31 @@ def ticks(spark):
     return spark.createDataFrame(data, "k string, s long, v double").withColumn("ts", F.timestamp_seconds("s"))
 
 
-def complete(spark, stream, fresh):
-    out = fresh("out")
-    with session_conf(spark, STATE):
-        Z.keep_last_result(stream, out, fresh("mark"))
-    return spark.read.parquet(out)
-
-
 def halves(df):
     return [df.filter("v < 6"), df.filter("v >= 6")]
 
 
+def closing(spark, df):
+    end = df.limit(1).withColumns({"k": F.lit("end"), "ts": F.timestamp_seconds(F.lit(10**6))})
+    return [*halves(df), end.select(*df.columns)]
+
+
+def timed(stream):
+    return stream.withWatermark("ts", "200 seconds")
+
+
 def test_hop_stream_equals_panes(spark, ticks, fresh):
     sums = lambda: {"n": F.lit(1), "total": F.col("v")}
-    stream = feed(spark, fresh("in"), halves(ticks))
-    got = complete(spark, K.hop(stream, "ts", "15 seconds", "5 seconds", "k", sums()), fresh)
+    stream = timed(feed(spark, fresh("in"), closing(spark, ticks)))
+    got = run_append(spark, K.hop(stream, "ts", "15 seconds", "5 seconds", "k", sums()), fresh)
     assert rows(got) == rows(K.hop(ticks, "ts", "15 seconds", "5 seconds", "k", sums()))
 
 
 @pytest.mark.parametrize("gap", [1, 3, 7, 50])
 def test_session_stream_equals_batch(spark, ticks, fresh, gap):
     aggs = lambda: {"n": ("sum", F.lit(1)), "top": ("max", F.col("v"))}
-    stream = feed(spark, fresh("in"), halves(ticks))
-    got = complete(spark, K.session(stream, "ts", gap, "k", aggs()), fresh)
+    stream = timed(feed(spark, fresh("in"), closing(spark, ticks)))
+    got = run_append(spark, K.session(stream, "ts", gap, "k", aggs()), fresh)
     assert rows(got) == rows(K.session(ticks, "ts", gap, "k", aggs()))
 
 
@@ -121,3 +142,45 @@ def test_rebase_first_row_is_the_anchor(spark):
     got = K.rebase_times(df, ["p", "d"], "i", F.lit("2024-01-01 00:00:00")).orderBy("i").collect()
     assert (got[0].p, got[0].d) == ("2024-01-01T00:00:00", "2024-01-01T00:30:00")
     assert (got[1].p, got[1].d) == ("2024-01-01T00:05:00", None)
+
+
+def test_latest_start_passes_over_the_backlog(spark, fresh):
+    import time
+
+    src = fresh("in")
+    write = lambda n: spark.createDataFrame([(f'{{"a": {n}}}',)], "value string").coalesce(1).write.mode("append").text(src)
+    write(1)
+    time.sleep(1.5)
+    since = spark.sql("SELECT string(current_timestamp())").first()[0]
+    time.sleep(1.5)
+    write(2)
+    assert rows(run_append(spark, stream_json(spark, src, "a INT", starting=since), fresh)) == [(2,)]
+    assert rows(run_append(spark, stream_json(spark, src, "a INT", starting="latest"), fresh)) == []
+    assert rows(run_append(spark, stream_json(spark, src, "a INT"), fresh)) == [(1,), (2,)]
+
+
+def test_outside_sink_replaces_a_replayed_batch(spark, fresh):
+    """A row store that can delete by batch: here a folder per batch."""
+    out, seen = fresh("out"), []
+    stream = feed(spark, fresh("in"), [spark.range(3), spark.range(3, 5)])
+    Z.row_sink(stream, "unused", fresh("mark"), fmt="json", options={"path": out}, clear=seen.append)
+    assert seen == [0, 1] and {(r["_batch"], r.id) for r in spark.read.json(out).collect()} == {(0, 0), (0, 1), (0, 2), (1, 3), (1, 4)}
+
+
+def test_hot_key_with_a_short_gap(spark):
+    """A key with a third of the rows and a one-second gap: many pieces, joined across chunks and days."""
+    df = spark.range(9000).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('k', id % 50)) AS k", "timestamp_seconds(1700000000 + (id * 37) % 200000) AS ts", "id AS v"
+    )
+    aggs = {"n": ("sum", F.lit(1)), "top": ("max", F.col("v"))}
+    got = {(r.k, r.window_start): (r.window_end, r.n, r.top) for r in K.session(df, "ts", 1, "k", aggs).collect()}
+    want = {}
+    last = {}
+    for r in sorted(df.collect(), key=lambda r: (r.k, r.ts)):
+        if r.k not in last or (r.ts - last[r.k][0]).total_seconds() > 1:
+            last[r.k] = [r.ts, r.ts, 0, -1]
+            want[r.k, r.ts] = last[r.k]
+        last[r.k][0] = r.ts
+        last[r.k][2] += 1
+        last[r.k][3] = max(last[r.k][3], r.v)
+    assert {k: (v[1], v[2]) for k, v in got.items()} == {k: (v[2], v[3]) for k, v in want.items()}

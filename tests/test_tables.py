@@ -127,6 +127,23 @@ def test_rollup_replay_of_a_batch(spark, fresh):
     assert rows(T.read_rollup(spark, path, ["k"], ["v"])) == [("a", 6.0)]
 
 
+def test_compaction_of_batches(spark, fresh):
+    path, total = fresh(), 0
+    for batch in range(6):
+        T.rollup_upsert(spark.createDataFrame([("a", batch), ("b", 1)], "k string, v long"), path, ["k"], ["v"], batch)
+        total += batch
+        if batch in (2, 4):
+            T.compact_rollup(spark, path, ["k"], ["v"], batch)
+        # a replay of a batch that is already in the base
+        T.rollup_upsert(spark.createDataFrame([("a", batch), ("b", 1)], "k string, v long"), path, ["k"], ["v"], batch)
+        assert rows(T.read_rollup(spark, path, ["k"], ["v"])) == [("a", total), ("b", batch + 1)]
+    distinct = fresh()
+    for batch, ids in enumerate([(1, 2), (2, 3), (1, 3)]):
+        T.dedup_on_insert(spark.createDataFrame([(i,) for i in ids], "i int"), distinct, batch)
+    T.compact_distinct(spark, distinct, 1)
+    assert rows(T.read_distinct(spark, distinct)) == [(1,), (2,), (3,)]
+
+
 def test_hot_partition_is_written_whole(spark, fresh):
     path = fresh()
     df = spark.range(30000).selectExpr("id", "IF(id < 20000, 'hot', concat('d', id % 7)) AS p")
