@@ -9,7 +9,6 @@ import numpy as np
 import public_tokenizers
 import pytest
 from brute import near_components, quality, redacted, targets
-from pyspark.sql import functions as F
 from test_text_filters import DOCS, empty, texts_of, with_edges
 
 import corpus_pipeline
