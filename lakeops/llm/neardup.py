@@ -9,11 +9,11 @@ class; the work goes on with one row per class.
    similarity well.
 2. Buckets with the same members are looked at once.  Inside a bucket, sketches and
    set sizes sort out pairs that are clearly below the limit (``MARGIN`` under it,
-   five standard deviations of the estimate); of the rest only a spanning forest is
-   passed on.
-3. The connected families of that forest hold every link that the bands found.  Each
-   family's full sets are compared exactly, and a spanning forest of the true links
-   gives the components.
+   five standard deviations of the estimate); what remains connected is passed on as
+   stars, one edge a row.
+3. The connected families of those stars hold every link that the bands found.  Each
+   family's full sets are compared exactly, and the stars of the true links give the
+   components.
 
 No step lists the pairs of a group: buckets and families are dealt in blocks, every
 two blocks meet in one task, and a task returns at most as many edges as it has rows.
@@ -128,23 +128,24 @@ def estimate(differing: np.ndarray, samples: int, bits: int = BITS) -> np.ndarra
     return 1 + bits / (4 * samples) * np.log(rest)
 
 
-def forest(links: np.ndarray) -> tuple[list[int], list[int]]:
-    """Edges of a spanning forest of a symmetric boolean matrix."""
+def stars(links: np.ndarray, nodes: np.ndarray) -> tuple[list[int], list[int]]:
+    """Ties every node to the smallest of its component; ``links`` is symmetric."""
+    order = np.argsort(nodes, kind="stable")
+    links, nodes = links[np.ix_(order, order)], nodes[order]
     left = np.ones(len(links), bool)
-    one, other = [], []
+    centre, tied = [], []
     for root in range(len(links)):
         if not left[root]:
             continue
         left[root] = False
         queue = [root]
         while queue:
-            u = queue.pop()
-            new = np.flatnonzero(links[u] & left)
+            new = np.flatnonzero(links[queue.pop()] & left)
             left[new] = False
             queue.extend(new.tolist())
-            one.extend([u] * len(new))
-            other.extend(new.tolist())
-    return one, other
+            centre.extend([int(nodes[root])] * len(new))
+            tied.extend(nodes[new].tolist())
+    return centre, tied
 
 
 def alike_by_sketch(sketches: np.ndarray, sizes: np.ndarray, percent: int, samples: int) -> np.ndarray:
@@ -206,7 +207,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 
 
 def _edges(batches: Iterator[pa.RecordBatch], alike) -> Iterator[pa.RecordBatch]:
-    """Spanning forest of each group's links; columns: three keys, node, block, and what ``alike`` reads."""
+    """Stars of each group's linked rows; columns: three keys, node, block, and what ``alike`` reads."""
     one: list[int] = []
     other: list[int] = []
 
@@ -218,10 +219,9 @@ def _edges(batches: Iterator[pa.RecordBatch], alike) -> Iterator[pa.RecordBatch]
 
     for group in _groups(batches, 3):
         if group.num_rows > 1:
-            node = group.column("node").to_numpy()
-            a, b = forest(alike(group))
-            one.extend(node[a].tolist())
-            other.extend(node[b].tolist())
+            a, b = stars(alike(group), group.column("node").to_numpy())
+            one.extend(a)
+            other.extend(b)
             if len(one) > 10_000:
                 yield flush()
     yield flush()
@@ -275,7 +275,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
 
 
 def candidate_edges(classes: DataFrame, percent: int, samples: int, block: int) -> DataFrame:
-    """Spanning forests of the pairs that share a bucket and pass sketch and size."""
+    """Stars of what is connected by pairs that share a bucket and pass sketch and size."""
     placed = classes.select("node", F.explode("bands").alias("key"))
     buckets = placed.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"), F.min("node").alias("first")
@@ -299,7 +299,7 @@ def candidate_edges(classes: DataFrame, percent: int, samples: int, block: int)
 def confirmed_edges(
     docs: DataFrame, families: DataFrame, id_col: str, text_col: str, percent: int, block: int, block_shingles: int
 ) -> DataFrame:
-    """Spanning forests of the true links inside each family, on full sets.
+    """Stars of what true links connect inside each family, on full sets.
 
     ``families`` has ``node, class, rep, n_shingles, family`` per class.
     """
