@@ -122,15 +122,16 @@ class Measures:
     n_capitals: Column
 
 
-def measures(text: Column) -> Measures:
-    """Every measure as an expression of its own over a text (null: empty)."""
+def measures(text: Column, split: Column | None = None) -> Measures:
+    """Every measure as an expression of its own over a text (null: empty); ``split`` are its words."""
     t = F.coalesce(text, F.lit(""))
+    w = words(t) if split is None else split
     return Measures(
-        n_words=F.size(words(t)).cast("bigint"),
-        word_chars=F.length(F.concat_ws("", words(t))).cast("bigint"),
+        n_words=F.size(w).cast("bigint"),
+        word_chars=F.length(F.concat_ws("", w)).cast("bigint"),
         n_symbols=F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("bigint"),
         n_dup_lines=let(_word_lines(t), _repeats),
-        n_repeat_words=let(words(t), repeat_words),
+        n_repeat_words=let(words(t), repeat_words) if split is None else repeat_words(w),
         n_lines=F.size(_word_lines(t)).cast("bigint"),
         n_capitals=(F.length(t) - F.length(F.regexp_replace(t, "[A-Z]+", ""))).cast("bigint"),
     )
@@ -226,9 +227,10 @@ def first_rejection(of: Measures, ordered: Sequence[Rule]) -> Column:
 def quality_filter(
     docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text", sample_rows: int = 1000
 ) -> DataFrame:
-    """The rows that no rule rejects, with their columns as they are."""
+    """The rows that no rule rejects, with their columns as they are.  A text is split into words once."""
     ordered = [m.rule for m in plan_cascade(docs, rules, text_col, sample_rows)]
-    return docs.where(first_rejection(measures(docs[text_col]), ordered).isNull())
+    text = docs[text_col]
+    return docs.where(let(words(text), lambda w: first_rejection(measures(text, w), ordered)).isNull())
 
 
 def quality_report(
