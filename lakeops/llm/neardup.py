@@ -21,10 +21,13 @@ The share of links lost by the bands is (1 - s^ROWS)^BANDS, 3e-9 at a similarity
 0.85, and a document is lost to its component only when all its links are.
 
 Defined results: without words or text a set is empty, linked with nothing, and kept;
-with fewer words than a shingle the whole sequence is the one shingle.  Rows that
-repeat an id share its verdict.  Null ids are never a component's id unless it has
-no other; such rows are kept only then.  An empty table gives an empty table; other
-columns are ignored.
+with fewer words than a shingle the whole sequence is the one shingle.  In the report
+rows that repeat an id and a set share a verdict, and null ids are never a component's
+id unless it has no other; such rows are kept only then.  The filter decides by row:
+of each component exactly one row stays, that of the smallest id (null last), then of
+the smallest class, then of the smallest row key; of rows equal in all columns any one.
+Every row without words stays.  An empty table gives an empty table; other columns are
+ignored but for that key.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.exprs import NOT_SPACE
 from lakeops.llm.graph import components
 from lakeops.session import materialise
 
@@ -242,8 +246,18 @@ def _dealt(paired: DataFrame) -> DataFrame:
     return paired.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, class, bands, sketch``; the class is a 128-bit hash of the set, null for an empty one."""
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """128-bit hash of all columns but the id."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    # JSON escapes control characters, so the mark before it is the last one
+    return F.unhex(F.md5(F.concat_ws("\x1f", F.col(text_col), F.to_json(F.struct(*rest)) if rest else F.lit(""))))
+
+
+def signatures(keyed: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``doc_id, row, n_shingles, class, bands, sketch`` of ``doc_id, text, row``.
+
+    The class is a 128-bit hash of the set, null for an empty one.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -261,16 +275,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
             keys, sketches = band_keys(samples, bands, rows), odd_sketches(samples)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(classes, pa.binary()),
+                    batch.column("doc_id"), batch.column("row"), pa.array(count, pa.int64()), pa.array(classes, pa.binary()),
                     pa.array(list(keys), pa.list_(pa.int64())), pa.array([s.tobytes() for s in sketches], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "class", "bands", "sketch"],
+                ["doc_id", "row", "n_shingles", "class", "bands", "sketch"],
             )
 
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(
-        sign, f"doc_id {kind}, n_shingles bigint, class binary, bands array<bigint>, sketch binary"
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+    return keyed.mapInArrow(
+        sign, f"doc_id {kind}, row binary, n_shingles bigint, class binary, bands array<bigint>, sketch binary"
     )
 
 
@@ -338,41 +351,55 @@ def confirmed_edges(
     return _dealt(paired).mapInArrow(compare, "a bigint, b bigint")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    percent: int = PERCENT,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    block: int = BLOCK,
-    block_shingles: int = BLOCK_SHINGLES,
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
-    signed = materialise(signatures(docs, id_col, text_col, bands, rows), "near-signatures")
+def _resolved(
+    docs: DataFrame, id_col: str, text_col: str, key: Column, percent: int, bands: int, rows: int, block: int,
+    block_shingles: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and ``class, rep, rep_row, component`` per class; equal components belong together."""
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), key.alias("row"))
+    signed = materialise(signatures(keyed, bands, rows), "near-signatures")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     classes = materialise(
         signed.where("class is not null").groupBy("class").agg(
-            F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n_shingles"),
+            first, F.any_value("n_shingles").alias("n_shingles"),
             F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"),
-        ).withColumn("node", F.monotonically_increasing_id()),
+        ).select(
+            "class", F.col("first.doc_id").alias("rep"), F.col("first.row").alias("rep_row"), "n_shingles", "bands",
+            "sketch", F.monotonically_increasing_id().alias("node"),
+        ),
         "near-classes",
     )
     families = components(candidate_edges(classes, percent, bands * rows, block), "near-families")
     named = materialise(
         families.withColumnRenamed("component", "family").join(
-            classes.select("node", "class", "rep", "n_shingles"), "node"
+            classes.select("node", "class", "rep", "rep_row", "n_shingles"), "node"
         ),
         "near-named",
     )
     linked = components(
         confirmed_edges(docs, named, id_col, text_col, percent, block, block_shingles), "near-components"
     )
-    joined = linked.join(named.select("node", "class", "rep"), "node")
-    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    grouped = joined.join(least, "component").select("class", "component_id")
-    of_class = classes.select("class", "rep").join(grouped, "class", "left").select(
-        "class", F.coalesce("component_id", "rep").alias("component_id")
+    of_class = classes.select("node", "class", "rep", "rep_row").join(linked, "node", "left").select(
+        "class", "rep", "rep_row", F.coalesce("component", "node").alias("component")
     )
+    return signed, of_class
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = BLOCK,
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row."""
+    key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    signed, classes = _resolved(docs, id_col, text_col, key, percent, bands, rows, block, block_shingles)
+    least = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = classes.join(least, "component").select("class", "component_id")
     out = signed.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
@@ -380,7 +407,26 @@ def near_duplicates(
     )
 
 
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows whose id stands for their component, with their columns as they are."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("doc_id").distinct().hint("merge")
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["doc_id"]), "left_semi")
+def without_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = BLOCK,
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """One row of each component and every row without words, with their columns as they are."""
+    key = row_key(docs, id_col, text_col)
+    signed, classes = _resolved(docs, id_col, text_col, key, percent, bands, rows, block, block_shingles)
+    first = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "class", "rep_row")).alias("first")
+    chosen = classes.groupBy("component").agg(first).select(F.struct("first.rep", "first.rep_row"))
+    wordless = signed.where("class is null").select(F.struct("doc_id", "row")).distinct()
+    wanted = chosen.union(wordless).toDF("of").hint("merge")
+    # rows without words are all told apart, others by id and key alone
+    alone = F.when(~F.coalesce(F.col(text_col).rlike(NOT_SPACE), F.lit(False)), F.monotonically_increasing_id())
+    whole = docs.select(
+        F.struct(F.col(id_col), key).alias("of"), alone.alias("alone"), F.struct("*").alias("whole")
+    )
+    return whole.join(wanted, "of", "left_semi").dropDuplicates(["of", "alone"]).select("whole.*")
