@@ -1,7 +1,7 @@
 """Personal data: patterns propose, checksums confirm, context words adjust.
 
 Each kind has a pattern that proposes spans, an optional check (part limits,
-digit counts, Luhn, mod 97) and a starting score.  Words of the kind within
+digit counts, Luhn, mod 97 on every length) and a starting score.  Words of the kind within
 ``REACH`` code points before the span raise the score.  Four base kinds (email,
 ip, card, phone) are kept whenever their check holds; the kinds added by the
 method are kept from ``THRESHOLD`` on.
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.exprs import let, running, spans
+from lakeops.llm.exprs import SPAN, let, running, spans
 
 REACH = 40
 THRESHOLD = 0.6
@@ -39,6 +39,7 @@ class Kind:
     score: float
     context: str
     base: bool = False
+    extent: Callable[[Column, Column], Column] | None = None  # from proposed to confirmed spans
 
 
 def _digits(m: Column) -> Column:
@@ -81,8 +82,70 @@ def _valid_phone(m: Column) -> Column:
     return F.length(_digits(m)).between(9, 15)
 
 
-def _valid_iban(m: Column) -> Column:
-    return let(F.replace(m, F.lit(" "), F.lit("")), lambda c: F.when(F.length(c).between(15, 34), mod97(c)).otherwise(F.lit(False)))
+# The lengths that countries have given their account numbers.
+IBAN_LENGTHS = {
+    code: int(part[:2])
+    for part in (
+        "15NO 16BE 18DKFKFOFINLSD 19MKSI 20ATBAEEKZLTLUMNXK 21CHHRLILV 22BABGBHCRDEGBGEIEMERSVA 23AEGIILIQOMSOTL"
+        " 24ADCZESMDPKROSASESKTNVG 25LYPTST 26ISTR 27BIDJFRGRITMCMRSM 28ALAZBYCYDOGTHNHULBNIPLSV 29BREGPSQAUA"
+        " 30JOKWMUYE 31MTSC 32LC 33RU"
+    ).split()
+    for code in (part[i : i + 2] for i in range(2, len(part), 2))
+}
+IBAN_GROUPS = "^[A-Z]{2}[0-9]{2}[A-Z0-9]*+(?![a-z])(?: [A-Z0-9]++(?![a-z]))*+"
+
+
+def _ibans(text: Column, heads: Column) -> Column:
+    """The account numbers that start at the heads.
+
+    What follows a head may be words or numbers of the text, so every stretch of 15 to
+    34 characters that ends with a group is tried: the country's length first, then
+    the longest.  A head inside an account number before it starts none.
+    """
+    lengths = F.create_map(*(F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair))
+
+    def whole(x: Column) -> Column:
+        # 34 characters in groups stay below 68 with their spaces, so a group that this cuts is never taken
+        groups = F.split(F.regexp_extract(F.substring(text, x["s"] + 1, F.lit(68)), IBAN_GROUPS, 0), " ")
+
+        def ends(g: Column) -> Column:
+            tried = F.transform(
+                F.sequence(F.lit(1), F.size(g)),
+                lambda k: F.struct(
+                    F.array_join(F.slice(g, F.lit(1), k), "").alias("code"),
+                    F.length(F.array_join(F.slice(g, F.lit(1), k), " ")).alias("width"),
+                ),
+            )
+            right = F.filter(
+                tried,
+                lambda c: F.when(F.length(c["code"]).between(15, 34), mod97(c["code"])).otherwise(F.lit(False)),
+            )
+            country = F.try_element_at(lengths, F.substring(x["m"], F.lit(1), F.lit(2)))
+            order = F.transform(
+                right,
+                lambda c: F.struct(
+                    (~F.length(c["code"]).eqNullSafe(country)).alias("other"), (-c["width"]).alias("less"),
+                ),
+            )
+            return F.array_min(order)["less"]
+
+        return F.struct(x["s"].alias("s"), (x["s"] - let(groups, ends)).alias("e"), x["m"].alias("m"))
+
+    def apart(at: Column) -> Column:
+        return F.aggregate(
+            at, F.array().cast(SPAN),
+            lambda done, x: F.when(
+                (F.size(done) > 0) & (x["s"] < F.try_element_at(done, F.lit(-1))["e"]), done
+            ).otherwise(F.array_append(done, x)),
+        )
+
+    def settled(at: Column) -> Column:
+        nested = F.exists(
+            F.sequence(F.lit(1), F.size(at)), lambda i: F.try_element_at(at, i + 1)["s"] < at[i - 1]["e"]
+        )
+        return F.when(F.size(at) < 2, at).when(nested, apart(at)).otherwise(at)
+
+    return let(F.filter(F.transform(heads, whole), lambda x: x["e"].isNotNull()), settled)
 
 
 def _run(chars: str) -> str:
@@ -109,8 +172,8 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-        "[A-Z]{2}[0-9]{2}", _valid_iban, 0.8, r"iban|account|bank|konto|compte|cuenta",
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})",
+        "[A-Z]{2}[0-9]{2}", None, 0.8, r"iban|account|bank|konto|compte|cuenta", extent=_ibans,
     ),
     Kind(
         "ssn",
@@ -142,6 +205,8 @@ def found(text: Column, threshold: float = THRESHOLD) -> Column:
         at = spans(t, kind.pattern)
         if kind.valid is not None:
             at = F.filter(at, lambda x: kind.valid(x["m"]))
+        if kind.extent is not None:
+            at = kind.extent(t, at)
         scored = F.transform(
             at,
             lambda x: F.struct(
