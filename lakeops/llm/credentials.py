@@ -4,8 +4,11 @@ The base patterns find assignments, access ids and long hex strings.  The method
 looks at every value that follows a credential word and computes what a guesser
 would pay for it: dynamic programming over the value finds the cheapest way to
 cut it into known words, dates, repeats, keyboard walks, runs of the alphabet and
-brute-force stretches.  A value whose cheapest cost is ``LIMIT`` powers of ten or
-more is reported; a value that is easy to guess, such as an ordinary word, isn't.
+brute-force stretches.  A brute-force character costs what the alphabet of the whole
+value asks for, so eight mixed characters are dear, while words of one case, also
+joined by marks, cost one case.  A value whose cheapest cost is ``LIMIT`` powers of
+ten or more is reported; a value that is easy to guess, such as an ordinary word of
+eight letters, isn't.
 
 Defined results: a null text is empty and has no spans; spans of different kinds
 may overlap and are all reported, but a value that a base assignment already
@@ -17,13 +20,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LIMIT = 12.0
+LIMIT = 11.45  # above eight letters of one case, or seven and a mark; below eight mixed characters
 SEGMENT = math.log10(3)  # what a further segment costs
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -73,6 +76,20 @@ def brute_cost(c: str) -> float:
     return math.log10(26) if c.isalpha() else math.log10(33)
 
 
+WORDS = re.compile(r"[A-Z]?(?:[a-z]+|[A-Z]+)(?:[-_./:](?:[A-Z]?[a-z]+|[A-Z]+))*[.!?:]*")
+
+
+def alphabet_cost(value: str) -> Callable[[str], float]:
+    """The cost of a brute-force character by the alphabet that the value draws from."""
+    if WORDS.fullmatch(value):
+        return brute_cost
+    core = value.rstrip(".!?:")
+    marks = any(not c.isalpha() and not c.isdigit() for c in core)
+    size = 26 * any(map(str.islower, core)) + 26 * any(map(str.isupper, core)) + 10 * any(map(str.isdigit, core)) + 33 * marks
+    least = math.log10(max(size, 1))
+    return lambda c: max(brute_cost(c), least)
+
+
 def _run_ends(value: str, joined) -> list[int]:
     """For each place, the end of the longest run from it in which ``joined(i)`` holds for every i after the first."""
     ends = [0] * len(value)
@@ -84,7 +101,7 @@ def _run_ends(value: str, joined) -> list[int]:
     return ends
 
 
-def segments(value: str) -> Iterator[tuple[int, int, float]]:
+def segments(value: str, price: Callable[[str], float] = brute_cost) -> Iterator[tuple[int, int, float]]:
     """``(start, end, cost)`` of every stretch that a guesser has a shorter way to than brute force.
 
     Costs are powers of ten.  Runs of one kind are given whole and in all shorter
@@ -135,22 +152,22 @@ def segments(value: str) -> Iterator[tuple[int, int, float]]:
             times = (stop - i) // width + 1
             start = i - width
             if times >= 2 and times * width >= 3:
-                block = sum(map(brute_cost, value[start : start + width]))
+                block = sum(map(price, value[start : start + width]))
                 for k in {2, times} if width > 1 else {3, times}:
                     if k <= times:
                         yield start, start + k * width, block + math.log10(k)
             i = stop
 
 
-def guess_cost(value: str) -> float:
-    """Powers of ten of the cheapest cut of the value."""
+def guess_cost(value: str, price: Callable[[str], float] = brute_cost) -> float:
+    """Powers of ten of the cheapest cut of the value; ``price`` is that of a brute-force character."""
     by_end: dict[int, list[tuple[int, float]]] = {}
-    for start, end, cost in segments(value):
+    for start, end, cost in segments(value, price):
         by_end.setdefault(end, []).append((start, cost))
     # two states: the last segment is brute force (it can grow for the price of a character), or it isn't
     best, brute = [0.0] + [math.inf] * len(value), [math.inf] * (len(value) + 1)
     for end in range(1, len(value) + 1):
-        char = brute_cost(value[end - 1])
+        char = price(value[end - 1])
         enter = best[end - 1] + char + (SEGMENT if end > 1 else 0.0)
         brute[end] = min(brute[end - 1] + char, enter)
         best[end] = min(
@@ -170,7 +187,7 @@ def secret_spans(text: str, limit: float = LIMIT) -> list[tuple[int, int, str, i
                 out.append((m.start(), 0, "assign", m.end()))
                 covered.add(m.start(2))
         for m in CONTEXT.finditer(text):
-            if m.start(1) not in covered and guess_cost(m[1]) >= limit:
+            if m.start(1) not in covered and guess_cost(m[1], alphabet_cost(m[1])) >= limit:
                 out.append((m.start(1), 3, "credential", m.end(1)))
     if "AKIA" in text:
         out += [(m.start(), 1, "access", m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
