@@ -39,7 +39,8 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
 CONTEXT = re.compile(
     r"""(?:(?:passwords?|passwd|passphrase|passcode|pwd|secrets?|tokens?|api[_-]?keys?|access[_-]?keys?|private[_-]?keys?"""
-    r"""|authorization|credentials?)["']?(?:\x20{0,8}(?::=|=>|[:=])\x20{0,8}|\x20is\x20)(?:bearer\x20)?["'`]?|\bbearer\x20)"""
+    r"""|authorization|credentials?)["']?(?:[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+|[\x20\t]++is[\x20\t]++)(?:bearer[\x20\t]++)?["'`]?"""
+    r"""|\bbearer[\x20\t]++)"""
     r"""([^\s"'`,;<>()\[\]{}|]{8,})""",
     re.A | re.I,
 )

@@ -39,3 +39,14 @@ def test_common_words_are_no_secrets():
     for value in [*words.split(), "welcome12", "password1", "letmein2020", "12345678", "aaaaaaaaa", "qwertyuio"]:
         assert reported(f"pwd={value}") == [], value
         assert reported(f"the passphrase is {value}") == [], value
+
+
+def test_aligned_and_tabbed_settings():
+    value = "xK9mQ2vLpprT"
+    wide = " " * 30
+    for text in (
+        f"pwd{wide}={wide}{value}", f"passphrase:\t{value}", f"pwd\t=\t\t'{value}'", f"secret{wide}:= \t xK9#mQ2$pprT",
+        f"Authorization:\tBearer  {value}", f"bearer\t{value}", f"password \tis\t {value}",
+    ):
+        assert reported(text) == [text.split()[-1].strip("'")], text
+    assert reported("pwd" + " " * 200_000 + "x") == [] and reported("bearer \t" * 50_000) == []
