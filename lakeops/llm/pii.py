@@ -2,7 +2,7 @@
 
 Each kind has a pattern that proposes spans, an optional check (part limits,
 digit counts, Luhn, mod 97 on every length) and a starting score.  Words of the kind within
-``REACH`` code points before the span raise the score.  Four base kinds (email,
+``REACH`` code points before or after the span raise the score.  Four base kinds (email,
 ip, card, phone) are kept whenever their check holds; the kinds added by the
 method are kept from ``THRESHOLD`` on.
 
@@ -191,10 +191,11 @@ FOUND = "array<struct<s:int,rank:int,e:int,kind:string,score:double>>"
 
 
 def _score(text: Column, kind: Kind, at: Column) -> Column:
-    """Starting score, raised by 0.3 by a context word shortly before the span; at most 1."""
+    """Starting score, raised by 0.3 by a context word shortly before or after the span; at most 1."""
     left = F.greatest(at["s"] - REACH, F.lit(0))
     before = F.substring(text, left + 1, at["s"] - left)
-    near = F.lower(before).rlike(kind.context)
+    after = F.substring(text, at["e"] + 1, F.lit(REACH))
+    near = F.lower(before).rlike(kind.context) | F.lower(after).rlike(kind.context)
     return F.least(F.lit(kind.score) + F.when(near, F.lit(0.3)).otherwise(F.lit(0.0)), F.lit(1.0))
 
 

@@ -21,3 +21,14 @@ def test_iban_before_other_words(spark):
         f"iban:5:{5 + d}", f"iban:5:{5 + g}", f"iban:0:{d}", f"iban:0:{d}", f"iban:0:{d},iban:{d + 1}:{d + 1 + g}",
         f"iban:0:{g}", f"iban:5:{5 + g}", "", "iban:0:38", ",".join(f"iban:{i * 23}:{i * 23 + d}" for i in range(300)),
     ]
+
+
+def test_label_after_the_number(spark):
+    texts = [
+        "123-45-6789 (SSN)", "555-123-4567 is my mobile", "123-45-6789 | Social Security no.", "555-123-4567",
+        "123-45-6789" + " " * pii.REACH + "ssn", "ssn " + "x" * pii.REACH + " 123-45-6789 tax id",
+    ]
+    at = 4 + pii.REACH + 1
+    assert found(spark, texts) == [
+        "ssn:0:11", "local_phone:0:12", "ssn:0:11", "", "", f"ssn:{at}:{at + 11}",
+    ]
