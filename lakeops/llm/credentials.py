@@ -11,8 +11,8 @@ ten or more is reported; a value that is easy to guess, such as an ordinary word
 eight letters, isn't.
 
 Defined results: a null text is empty and has no spans; spans of different kinds
-may overlap and are all reported, but a value that a base assignment already
-covers is not reported again; repeated rows are treated alike; other columns are
+may overlap and are all reported, but a value that a base assignment covers
+to its end is not reported again; repeated rows are treated alike; other columns are
 ignored; an empty table gives an empty table.
 """
 
@@ -181,14 +181,14 @@ def secret_spans(text: str, limit: float = LIMIT) -> list[tuple[int, int, str, i
     """``(start, rank, kind, end)`` in order of start, then kind as listed."""
     out = []
     low = text.lower()
-    covered = set()
+    covered = {}  # start of a value in a base assignment -> its end
     if any(hint in low for hint in HINTS):
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= 8:
                 out.append((m.start(), 0, "assign", m.end()))
-                covered.add(m.start(2))
+                covered[m.start(2)] = m.end(2)
         for m in CONTEXT.finditer(text):
-            if m.start(1) not in covered and guess_cost(m[1], alphabet_cost(m[1])) >= limit:
+            if covered.get(m.start(1), -1) < m.end(1) and guess_cost(m[1], alphabet_cost(m[1])) >= limit:
                 out.append((m.start(1), 3, "credential", m.end(1)))
     if "AKIA" in text:
         out += [(m.start(), 1, "access", m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]

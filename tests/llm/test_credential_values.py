@@ -50,3 +50,9 @@ def test_aligned_and_tabbed_settings():
     ):
         assert reported(text) == [text.split()[-1].strip("'")], text
     assert reported("pwd" + " " * 200_000 + "x") == [] and reported("bearer \t" * 50_000) == []
+
+
+def test_value_that_goes_on_behind_a_base_assignment():
+    text = "secret=abcdefgh$9fK2#mmQx"
+    assert credentials.secret_spans(text) == [(0, 0, "assign", 15), (7, 3, "credential", len(text))]
+    assert reported("secret=xK9mQ2vLpprT") == [] and reported('token: "xK9mQ2vLpprT"') == []
