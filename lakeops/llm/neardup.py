@@ -309,35 +309,37 @@ def candidate_edges(classes: DataFrame, percent: int, samples: int, block: int)
     return _dealt(paired).mapInArrow(compare, "a bigint, b bigint")
 
 
+def class_texts(keyed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The columns of ``classes`` and a ``text`` of each class: that of the one row that stands for it."""
+    wanted = classes.withColumn("of", F.struct(F.col("rep").alias("doc_id"), F.col("rep_row").alias("row")))
+    texts = keyed.select(F.struct("doc_id", "row").alias("of"), "text")
+    return texts.join(wanted.hint("merge"), "of").dropDuplicates(["of"]).drop("of")
+
+
 def confirmed_edges(
-    docs: DataFrame, families: DataFrame, id_col: str, text_col: str, percent: int, block: int, block_shingles: int
+    keyed: DataFrame, families: DataFrame, percent: int, block: int, block_shingles: int
 ) -> DataFrame:
     """Stars of what true links connect inside each family, on full sets.
 
-    ``families`` has ``node, class, rep, n_shingles, family`` per class.
+    ``families`` has ``node, rep, rep_row, n_shingles, family`` per class, ``keyed`` has ``doc_id, text, row``.
     """
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         words = Words()
         for batch in batches:
             sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
-            # an id may be repeated with other texts: only the class's own set counts
-            same = [xxhash.xxh3_128_digest(s) == c for s, c in zip(sets, batch.column("class").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("family", "blocks", "node")] + [pa.array(sets, pa.binary())],
                 ["family", "blocks", "node", "set"],
-            ).filter(pa.array(same, pa.bool_()))
+            )
 
     many = families.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("total") / block_shingles))
     wanted = families.join(many.select("family", blocks.alias("blocks")), "family").select(
-        F.struct("rep").alias("of"), "family", "blocks", "node", "class"
+        "rep", "rep_row", "family", "blocks", "node"
     )
-    texts = docs.select(F.struct(F.col(id_col).alias("rep")).alias("of"), F.col(text_col).alias("text"))
     sets = (
-        texts.join(wanted.hint("merge"), "of").select("family", "blocks", "node", "class", "text")
+        class_texts(keyed, wanted).select("family", "blocks", "node", "text")
         .mapInArrow(full, "family bigint, blocks bigint, node bigint, set binary")
     )
     paired = _in_blocks(sets, "family", F.col("blocks")).drop("blocks")
@@ -372,12 +374,12 @@ def _resolved(
     families = components(candidate_edges(classes, percent, bands * rows, block), "near-families")
     named = materialise(
         families.withColumnRenamed("component", "family").join(
-            classes.select("node", "class", "rep", "rep_row", "n_shingles"), "node"
+            classes.select("node", "rep", "rep_row", "n_shingles"), "node"
         ),
         "near-named",
     )
     linked = components(
-        confirmed_edges(docs, named, id_col, text_col, percent, block, block_shingles), "near-components"
+        confirmed_edges(keyed, named, percent, block, block_shingles), "near-components"
     )
     of_class = classes.select("node", "class", "rep", "rep_row").join(linked, "node", "left").select(
         "class", "rep", "rep_row", F.coalesce("component", "node").alias("component")

@@ -32,3 +32,19 @@ def test_one_row_of_each_group_stays(spark, rows, want):
         assert collections.Counter(map(tuple, again)) == kept
     else:
         assert kept == collections.Counter(want)
+
+
+def test_one_text_of_each_class_is_fetched(spark):
+    texts = [f"{i} b c d e f g" for i in range(40)] * 2
+    for doc_id in (None, 5):
+        keyed = spark.createDataFrame([(doc_id, t, t.encode()) for t in texts], "doc_id long, text string, row binary")
+        classes = keyed.distinct().selectExpr("doc_id as rep", "row as rep_row", "text as own")
+        got = neardup.class_texts(keyed, classes).collect()
+        assert len(got) == 40 and all(r.text == r.own for r in got)
+
+
+def test_links_among_texts_of_one_null_id(spark):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base, f"end{i}"]) for i in range(12)] * 2 + [C]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert neardup.without_near_duplicates(docs).count() == 2
