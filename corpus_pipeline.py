@@ -58,8 +58,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# Hashing, token ids and the packing search are beyond SQL: tests/llm/test_pipeline.py holds
-# the stages against brute-force versions instead.
+# Hashing, token ids and the packing search are beyond SQL: tests/llm/test_corpus.py and
+# tests/llm/test_stages.py hold the stages against brute-force versions instead.
 ORACLE_SQL = None
 
 
