@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import credentials, fingerprints, licenses, mixing, neardup, oracle, packing, pii, quality, tokens, urls
+from lakeops.llm import (
+    audit, collocations, credentials, fingerprints, licenses, mixing, neardup, oracle, packing, pii, quality, tokens, urls, warc,
+)
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,3 +80,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_url_filter", sql=oracle.URLS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op11_warc_round_trip", sql=oracle.ARCHIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op12_collocations", sql=oracle.COLLOCATIONS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_filter_audit", sql=oracle.AUDIT)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -125,3 +125,94 @@ SELECT page_id, host, path, rule, CASE
   WHEN {_terms(STRICT)} >= 1 OR {_terms(SOFT)} >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+_BASE32 = (
+    "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "(((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1), 1)), '')"
+)
+
+ARCHIVES = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS holder FROM p)
+SELECT page_id, strlen(t)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM q
+"""
+
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+),
+piece AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\n-\r]')) AS p FROM d)),
+spot AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece),
+gram AS (
+  SELECT lang, 1 AS m, w[i] AS phrase FROM spot
+  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM spot WHERE i < len(w)
+  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM spot WHERE i < len(w) - 1
+),
+f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS a FROM gram GROUP BY ALL),
+c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 10),
+inner_ AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, a, w[1] || ' ' || w[2] AS part FROM c WHERE m = 3
+    UNION ALL SELECT lang, a, w[2] || ' ' || w[3] FROM c WHERE m = 3) GROUP BY ALL
+),
+alone AS (
+  SELECT c.* FROM c LEFT JOIN inner_ ON inner_.lang = c.lang AND part = phrase WHERE most IS NULL OR 100 * most < 50 * a
+),
+cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:m], ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM alone)
+),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, k, fx.a AS l, fy.a AS r, (1000000 * cut.a * cut.a) // (fx.a * fy.a) AS score
+  FROM cut JOIN f fx ON fx.lang = cut.lang AND fx.phrase = x JOIN f fy ON fy.lang = cut.lang AND fy.phrase = y
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest),
+total AS (SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY lang)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+AUDIT = r"""
+WITH RECURSIVE lab AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+),
+t AS (
+  SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents
+),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN len(w) < 100
+      WHEN 'B' THEN 100 * len(list_distinct(w)) < 80 * len(w)
+      WHEN 'C' THEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t)
+      WHEN 'D' THEN regexp_matches(t, '[#$%&*|]') ELSE coalesce(doc_id > first_id, false) END) AS fails
+  FROM t LEFT JOIN lab USING (doc_id)
+),
+orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE length(o) < 5 AND NOT contains(o, x)
+),
+place AS (SELECT o, unnest(range(1, 6)) AS step FROM orders WHERE length(o) = 5),
+kinds AS (SELECT part, fails, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+each AS (
+  SELECT part, o, step, n, good, toxic, fails, substr(o, step, 1) AS x, list_contains(fails, substr(o, step, 1)) AS bad,
+    len(list_filter(fails, lambda f: contains(substr(o, 1, step - 1), f))) > 0 AS gone
+  FROM kinds, place
+)
+SELECT part, o AS filter_order, step::INT AS step, sum(CASE WHEN NOT bad AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN bad AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN bad AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN fails = [x] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN bad AND NOT gone AND good = 1 THEN n ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN bad AND NOT gone AND toxic = 1 THEN n ELSE 0 END)::BIGINT AS toxic_lost,
+  sum(CASE WHEN bad THEN n * 120 // len(fails) ELSE 0 END)::BIGINT AS shapley
+FROM each GROUP BY ALL
+"""
