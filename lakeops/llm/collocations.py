@@ -3,10 +3,11 @@
 Words are counted, and the most frequent get ids by their rank within their language.
 A pair of ids is a cell of a matrix cut into tiles of 1,024 by 1,024.  In each task a
 tile that many occurrences fall into is an array filled by ``bincount``; the others
-are sorted coordinate lists with counts.  Tasks send sums per cell, which Spark adds
-up, so a pair that fills the corpus is one row per task.  The frequent pairs are then
-ranked in turn and stand for the rows of the matrix of triples, and so on up to the
-longest phrase: a phrase is the id of its first words and the id of its last.
+are sorted coordinate lists with counts.  Tasks send lists of sums per cell, cut into
+buckets by a hash of the cell, and the buckets are merged after a shuffle, so a pair
+that fills the corpus is one entry per task.  The frequent pairs are then ranked in
+turn and stand for the rows of the matrix of triples, and so on up to the longest
+phrase: a phrase is the id of its first words and the id of its last.
 
 Tables sent to the tasks are bounded by parameters, whatever the vocabulary: at most
 ``table`` words and phrases per level, and a bitmap of ``MEMBER_BITS`` that tells
@@ -22,6 +23,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -40,8 +42,12 @@ MEMBER_BITS = 26
 RARE, BREAK = -1, -2
 SIDE = 10  # a tile has 2 ** SIDE rows and columns
 CELLS = 1 << 2 * SIDE
-BUFFER, DENSE_FROM, MOST_DENSE = 1 << 21, CELLS // 64, 16
-SPELLED = 1 << 18
+BUFFER, DENSE_FROM, MOST_DENSE = 1 << 20, CELLS // 64, 8
+SPELLED = 1 << 17
+BUCKETS_PER_PARTITION = 8
+#: An odd factor spreads the codes over 64 bits, its inverse leads back.
+SPREAD = 0x9E3779B97F4A7C15
+UNSPREAD = pow(SPREAD, -1, 1 << 64)
 
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 TOKEN = re.compile(rb"[^\x20\x09.,;:!?\x0a-\x0d]+|[.,;:!?\x0a-\x0d]")
@@ -116,13 +122,17 @@ def unpacked(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def code_bit(code: np.ndarray) -> np.ndarray:
     """Place of a cell in the bitmap of its level."""
-    return (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - MEMBER_BITS)).astype(np.int64)
+    return (code.astype(np.uint64) * np.uint64(SPREAD) >> np.uint64(64 - MEMBER_BITS)).astype(np.int64)
 
 
 def spelled_bit(lang: str, phrase: bytes) -> int:
     return zlib.crc32(phrase, zlib.crc32(lang.encode())) >> (32 - MEMBER_BITS)
 
 
+def held(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 @dataclass
 class Level:
     """Frequent phrases of one length: codes in order with their ranks, and the bitmap of all."""
@@ -138,16 +148,14 @@ class Level:
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where(self.codes[at] == code, self.ranks[at], RARE)
 
-    def holds(self, bit: np.ndarray) -> np.ndarray:
-        return (self.bits[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-
 
 @dataclass
 class Tables:
-    """What tasks need to name phrases: ids of words per language, and the levels above."""
+    """What tasks need to name phrases: ids of words per language, all frequent words as a bitmap, the levels above."""
 
     langs: list[str]
     words: list[list[bytes]]
+    bits: np.ndarray
     levels: list[Level] = field(default_factory=list)
 
     def ids(self) -> dict[str, tuple[int, dict[bytes, int]]]:
@@ -164,67 +172,54 @@ class Tables:
 
 
 class Tiles:
-    """Counts per cell: arrays for crowded tiles, sorted coordinates for the rest."""
+    """Counts per cell: arrays for crowded tiles, sorted coordinates for the rest.
+
+    What is passed on are spread codes in order, with their counts.
+    """
 
     def __init__(self):
         self.waiting, self.size = [], 0
         self.dense: dict[int, np.ndarray] = {}
-        self.sparse: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, codes: np.ndarray) -> None:
+    def add(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         self.waiting.append(codes)
         self.size += len(codes)
         if self.size >= BUFFER:
-            self.fold()
+            yield self.fold()
 
-    def fold(self) -> None:
-        if not self.size:
-            return
-        codes = np.sort(np.concatenate(self.waiting))
+    def fold(self) -> tuple[np.ndarray, np.ndarray]:
+        """Adds what waits to the arrays, and gives back what lies in no crowded tile."""
+        codes = np.concatenate(self.waiting) if self.waiting else np.empty(0, np.int64)
         self.waiting, self.size = [], 0
         tiles = codes >> 2 * SIDE
-        starts = np.flatnonzero(np.concatenate(([True], tiles[1:] != tiles[:-1])))
-        lengths = np.diff(np.append(starts, len(codes)))
-        left = np.ones(len(codes), bool)
-        for i in np.flatnonzero(lengths >= DENSE_FROM):
-            tile, low, high = int(tiles[starts[i]]), starts[i], starts[i] + lengths[i]
-            if tile not in self.dense:
-                if len(self.dense) >= MOST_DENSE:
-                    continue
-                self.dense[tile] = np.zeros(CELLS, np.int64)
-            self.dense[tile] += np.bincount(codes[low:high] & (CELLS - 1), minlength=CELLS)
-            left[low:high] = False
-        rest = codes[left]
-        if rest.size:
-            self.sparse.append(self._sums(rest, np.ones(len(rest), np.int64)))
-
-    @staticmethod
-    def _sums(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Equal codes, which lie side by side, become one."""
-        first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
-        return codes[first], np.add.reduceat(n, first)
-
-    def full(self) -> bool:
-        """Folds the lists into one once they are long; whether they stay long."""
-        if sum(len(c) for c, _ in self.sparse) <= BUFFER:
-            return False
-        self._merge()
-        return len(self.sparse[0][0]) > BUFFER // 2
-
-    def _merge(self) -> None:
-        codes, n = (np.concatenate(p) for p in zip(*self.sparse))
-        order = np.argsort(codes, kind="stable")
-        self.sparse = [self._sums(codes[order], n[order])]
-
-    def out(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        self.fold()
+        # every sixteenth tells well enough which tiles are crowded
+        some, n = np.unique(tiles[::16], return_counts=True)
+        for tile in some[n * 16 >= DENSE_FROM].tolist():
+            if len(self.dense) < MOST_DENSE:
+                self.dense.setdefault(tile, np.zeros(CELLS, np.int64))
+        for tile, cells in self.dense.items():
+            inside = tiles == tile
+            cells += np.bincount(codes[inside] & (CELLS - 1), minlength=CELLS)
+            codes, tiles = codes[~inside], tiles[~inside]
+        spread = np.sort(codes.astype(np.uint64) * np.uint64(SPREAD))
+        return sums(spread, np.ones(len(spread), np.int64))
+
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield self.fold()
         for tile, cells in self.dense.items():
             at = np.flatnonzero(cells)
-            yield at + (tile << 2 * SIDE), cells[at]
-        if self.sparse:
-            self._merge()
-            yield self.sparse[0]
-        self.dense, self.sparse = {}, []
+            spread = (at + (tile << 2 * SIDE)).astype(np.uint64) * np.uint64(SPREAD)
+            order = np.argsort(spread)
+            yield spread[order], cells[at][order]
+        self.dense = {}
+
+
+def sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal keys, which lie side by side, become one."""
+    if not len(keys):
+        return keys, n
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(n, first)
 
 
 def _windows(found: list[bytes], lang: str, number: int, ids: dict[bytes, int], tables: Tables, length: int):
@@ -235,6 +230,10 @@ def _windows(found: list[bytes], lang: str, number: int, ids: dict[bytes, int],
     """
     word = np.fromiter((ids.get(t, RARE) for t in found), np.int64, len(found))
     rank, good = word, word != BREAK
+    unnamed = np.flatnonzero(word == RARE)
+    if unnamed.size:
+        bits = [spelled_bit(lang, found[t]) for t in unnamed.tolist()]
+        good[unnamed] = held(tables.bits, np.array(bits, np.int64))
     for size in range(2, length + 1):
         n = len(found) - size + 1
         good = good[:n] & good[1 : n + 1]
@@ -245,98 +244,134 @@ def _windows(found: list[bytes], lang: str, number: int, ids: dict[bytes, int],
         if size == length:
             return code, spelled
         level = tables.levels[size - 2]
-        held = np.zeros(n, bool)
-        held[tiled] = level.holds(code_bit(code))
+        good = np.zeros(n, bool)
+        good[tiled] = held(level.bits, code_bit(code))
         if spelled.size:
             bits = [spelled_bit(lang, b" ".join(found[t : t + size])) for t in spelled.tolist()]
-            held[spelled] = level.holds(np.array(bits, np.int64))
+            good[spelled] = held(level.bits, np.array(bits, np.int64))
         rank = np.full(n, RARE, np.int64)
         rank[tiled] = level.rank(code)
-        good = held
 
 
-def phrase_counts(
-    docs: DataFrame, tables, length: int, text_col: str = "text", lang_col: str = "lang", buffer: int = 1 << 20
-) -> DataFrame:
-    """``code, lang, phrase, n``: a phrase of ``length`` words has a code, or else language and words.
+BLOB = pa.schema([("bucket", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary()), ("spelled", pa.binary())])
 
-    ``tables`` is a broadcast :class:`Tables`; phrases that cannot be frequent may be missing.
-    """
+
+def _count_phrases(tables, length: int, buckets: int, buffer: int):
+    """What a task does with its texts: lists of cells and counts, and of spelled phrases, by bucket."""
+
+    def lists(cells: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+        cut = [0, *np.searchsorted(cells, edges).tolist(), len(cells)]
+        rows = [(i, cells[a:b].tobytes(), n[a:b].tobytes(), None) for i, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+        for low in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 256]), BLOB.types)], schema=BLOB)
+
+    def phrases(spelled: Counter) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, list] = {}
+        for (lang, phrase), n in spelled.items():
+            rows.setdefault(spelled_bit(lang, phrase) * buckets >> MEMBER_BITS, []).append((lang, phrase, n))
+        spelled.clear()
+        yield pa.RecordBatch.from_pylist([{"bucket": i, "spelled": pickle.dumps(r)} for i, r in rows.items()], BLOB)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Tables = tables.value
         ids, none = own.ids(), {bytes([b]): BREAK for b in BREAKS}
         tiles, spelled = Tiles(), Counter()
-        held: dict[str, list[bytes]] = {}
-
-        def batch_of(codes=None, n=None) -> pa.RecordBatch:
-            if codes is not None:
-                empty = pa.nulls(len(codes), pa.string())
-                return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), empty, empty, pa.array(n, pa.int64())], ["code", "lang", "phrase", "n"])
-            rows = _rows([k[0] for k in spelled], [k[1] for k in spelled], list(spelled.values()))
-            spelled.clear()
-            return pa.RecordBatch.from_arrays([pa.nulls(rows.num_rows, pa.int64()), *rows.columns], ["code", "lang", "phrase", "n"])
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for codes, n in tiles.out():
-                for low in range(0, len(codes), 1 << 16):
-                    yield batch_of(codes[low : low + (1 << 16)], n[low : low + (1 << 16)])
-
-        def count(keep: bool) -> None:
-            for lang, found in held.items():
+        open_: dict[str, list[bytes]] = {}
+
+        def count() -> Iterator[pa.RecordBatch]:
+            for lang, found in open_.items():
                 number, words = ids.get(lang, (0, none))
                 if len(found) >= length:
                     codes, places = _windows(found, lang, number, words, own, length)
-                    tiles.add(codes)
                     spelled.update((lang, b" ".join(found[t : t + length])) for t in places.tolist())
-                # a phrase may go on in the next slice of the same text
-                held[lang] = found[max(0, len(found) - length + 1) :] if keep else []
+                    for done in tiles.add(codes):
+                        yield from lists(*done)
+                    # a phrase may go on in the next slice of the same text
+                    del found[: len(found) - length + 1]
+            if len(spelled) > SPELLED:
+                yield from phrases(spelled)
 
         waiting = 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                found = held.setdefault(lang, [])
-                for some in tokens(text or b""):
-                    found += some
-                    waiting += len(some)
-                    if waiting >= buffer:
-                        count(keep=True)
-                        found, waiting = held[lang], 0
-                        if len(spelled) > SPELLED:
-                            yield batch_of()
-                        if tiles.full():
-                            yield from out()
-                found.append(b"\n")
-        count(keep=False)
-        yield from out()
-        yield batch_of()
-
-    counted = _docs(docs, text_col, lang_col).mapInArrow(work, "code bigint, lang string, phrase string, n bigint")
-    return counted.groupBy("code", "lang", "phrase").agg(F.sum("n").alias("n"))
-
-
-def spelled_out(counted: DataFrame, tables, length: int) -> DataFrame:
-    """The rows of :func:`phrase_counts` with language and phrase filled in, and their place in the bitmap."""
+            for low in range(0, batch.num_rows, 64):
+                some = batch.slice(low, 64)
+                for lang, text in zip(some.column("lang").to_pylist(), some.column("text").to_pylist()):
+                    found = open_.setdefault(lang, [])
+                    for words in tokens(text or b""):
+                        found += words
+                        waiting += len(words)
+                        if waiting >= buffer:
+                            yield from count()
+                            waiting = 0
+                    found.append(b"\n")
+        yield from count()
+        for done in tiles.rest():
+            yield from lists(*done)
+        yield from phrases(spelled)
+
+    return work
+
+
+def _merge_phrases(tables, length: int, min_count: int):
+    """Adds up the lists of one bucket after the other and spells out what is frequent."""
+
+    def named(own: Tables, cells: np.ndarray, n: np.ndarray, spelled: Counter) -> pa.RecordBatch:
+        often = n >= min_count
+        codes = (cells[often] * np.uint64(UNSPREAD)).astype(np.int64)
+        rows = [(k, c) for k, c in spelled.items() if c >= min_count]
+        lang = [own.langs[c >> 36] for c in codes.tolist()] + [k[0] for k, _ in rows]
+        phrase = [own.spell(c >> 36, c, length) for c in codes.tolist()] + [k[1] for k, _ in rows]
+        bits = np.concatenate((code_bit(codes), np.array([spelled_bit(*k) for k, _ in rows], np.int64)))
+        both = _rows(lang, phrase, n[often].tolist() + [c for _, c in rows])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(codes.tolist() + [None] * len(rows), pa.int64()), *both.columns, pa.array(bits, pa.int64())],
+            ["code", "lang", "phrase", "n", "bit"],
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Tables = tables.value
+        bucket, cells, counts, size, spelled = None, [], [], 0, Counter()
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, n = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((cells, np.uint64), (counts, np.int64)))
+            order = np.argsort(keys, kind="stable")
+            return sums(keys[order], n[order])
+
         for batch in batches:
-            lang, phrase, bit = [], [], []
-            for code, l, p in zip(*(batch.column(c).to_pylist() for c in ("code", "lang", "phrase"))):
-                if code is None:
-                    lang.append(l)
-                    phrase.append(p.encode())
-                    bit.append(spelled_bit(l, phrase[-1]))
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    yield named(own, *merged(), spelled)
+                    bucket, cells, counts, size, spelled = row["bucket"], [], [], 0, Counter()
+                if row["cells"] is not None:
+                    cells.append(np.frombuffer(row["cells"], np.uint64))
+                    counts.append(np.frombuffer(row["counts"], np.int64))
+                    size += len(cells[-1])
+                    if size > 4 * BUFFER and len(cells) > 1:
+                        one = merged()
+                        cells, counts, size = [one[0]], [one[1]], 0
                 else:
-                    lang.append(own.langs[code >> 36])
-                    phrase.append(own.spell(code >> 36, code, length))
-                    bit.append(int(code_bit(np.array([code]))[0]))
-            named = _rows(lang, phrase, batch.column("n").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("code"), *named.columns, pa.array(bit, pa.int64())], ["code", "lang", "phrase", "n", "bit"]
-            )
+                    for lang, phrase, n in pickle.loads(row["spelled"]):
+                        spelled[lang, phrase] += n
+        yield named(own, *merged(), spelled)
+
+    return work
+
 
-    return counted.mapInArrow(work, "code bigint, lang string, phrase string, n bigint, bit bigint")
+def phrase_counts(
+    docs: DataFrame, tables, length: int, min_count: int, text_col: str = "text", lang_col: str = "lang", buffer: int = 1 << 18
+) -> DataFrame:
+    """``code, lang, phrase, n, bit`` of the phrases of ``length`` words that occur ``min_count`` times.
+
+    ``tables`` is a broadcast :class:`Tables`; a phrase beyond them has a null code.
+    """
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    lists = _docs(docs, text_col, lang_col).mapInArrow(
+        _count_phrases(tables, length, buckets, buffer), "bucket int, cells binary, counts binary, spelled binary"
+    )
+    return lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _merge_phrases(tables, length, min_count), "code bigint, lang string, phrase string, n bigint, bit bigint"
+    )
 
 
 def most_frequent(df: DataFrame, most: int, n: str = "n") -> DataFrame:
@@ -355,13 +390,29 @@ def most_frequent(df: DataFrame, most: int, n: str = "n") -> DataFrame:
     return df.where(step >= F.lit(least if least is not None else 1 << 20))
 
 
+def _bitmap(marked: DataFrame) -> np.ndarray:
+    """The bits of column ``bit``, set in the cluster; the driver gets the bitmap's words, at most a million."""
+    mask = F.expr("bit_or(shiftleft(1L, cast(bit % 64 AS INT)))")
+    marks = marked.groupBy(F.expr("bit div 64").alias("at")).agg(mask.alias("mask")).toArrow()
+    bits = np.zeros((1 << MEMBER_BITS) // 64, np.uint64)
+    at, value = (np.asarray(marks.column(c).combine_chunks().to_numpy(zero_copy_only=False), np.int64) for c in ("at", "mask"))
+    bits[at] = value.view(np.uint64)
+    return bits
+
+
 def _word_table(words: DataFrame, most: int) -> Tables:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
+            yield pa.RecordBatch.from_pydict({"bit": pa.array([spelled_bit(l, p.encode()) for l, p in pairs], pa.int64())})
+
     rows = most_frequent(words, most).select("lang", "phrase", "n").toArrow().to_pylist()  # at most ``most``
     by_lang: dict[str, list[tuple[int, bytes]]] = {}
     for r in rows:
         by_lang.setdefault(r["lang"], []).append((-r["n"], r["phrase"].encode()))
     langs = sorted(by_lang)
-    return Tables(langs, [[w for _, w in sorted(by_lang[l])] for l in langs])
+    bits = _bitmap(words.select("lang", "phrase").mapInArrow(mark, "bit bigint"))
+    return Tables(langs, [[w for _, w in sorted(by_lang[l])] for l in langs], bits)
 
 
 def _level(counted: DataFrame, most: int) -> Level:
@@ -375,12 +426,7 @@ def _level(counted: DataFrame, most: int) -> Level:
     rank = np.arange(len(code)) - first
     by_rank = {int(l): code[lang == l] for l in np.unique(lang)}
     sort = np.argsort(code)
-    bits = np.zeros((1 << MEMBER_BITS) // 64, np.uint64)
-    mask = F.expr("bit_or(shiftleft(1L, cast(bit % 64 AS INT)))")
-    marks = counted.groupBy(F.expr("bit div 64").alias("at")).agg(mask.alias("mask")).toArrow()  # bounded by the bitmap
-    at = np.asarray(marks.column("at").combine_chunks().to_numpy(zero_copy_only=False), np.int64)
-    bits[at] = np.asarray(marks.column("mask").combine_chunks().to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
-    return Level(code[sort], rank[sort], bits, by_rank)
+    return Level(code[sort], rank[sort], _bitmap(counted), by_rank)
 
 
 def frequent_phrases(
@@ -405,8 +451,7 @@ def frequent_phrases(
     tables = _word_table(words.where("phrase IS NOT NULL"), table)
     for length in range(2, max_words + 1):
         sent = context.broadcast(tables)
-        often = phrase_counts(docs, sent, length, text_col, lang_col).where(F.col("n") >= min_count)
-        named = materialise(spelled_out(often, sent, length), f"collocation-{length}")
+        named = materialise(phrase_counts(docs, sent, length, min_count, text_col, lang_col), f"collocation-{length}")
         found = found.union(named.select("lang", "phrase", F.lit(length), "n"))
         if length < max_words:
             tables.levels.append(_level(named, table))

@@ -84,12 +84,11 @@ def test_tiles_add_up(monkeypatch):
         codes = C.packed(i % 3, row, column)
         assert (C.unpacked(codes)[1] == row).all() and (C.unpacked(codes)[2] == column).all()
         want.update(codes.tolist())
-        tiles.add(codes)
-        if tiles.full():
-            for c, n in tiles.out():
-                got.update(dict(zip(c.tolist(), n.tolist())))
-    for c, n in tiles.out():
-        got.update(dict(zip(c.tolist(), n.tolist())))
+        parts = list(tiles.add(codes))
+        for spread, n in parts + (list(tiles.rest()) if i == 59 else []):
+            assert (np.diff(spread.astype(object)) > 0).all()
+            back = (spread * np.uint64(C.UNSPREAD)).astype(np.int64)
+            got.update(dict(zip(back.tolist(), n.tolist())))
     assert got == want
 
 
