@@ -48,12 +48,12 @@ def _(spark, d):
 
 
 CLEAN_SQL = r"""
-  array_to_string(list_slice(string_split(trim(regexp_replace(regexp_replace(
+  array_to_string(list_slice(string_split(trim(regexp_replace(regexp_replace(regexp_replace(
     replace(replace(replace(replace(
     regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '(?i)<!DOCTYPE[^>]*>', '', 'g'),
       '(?i)<script[^>]*>.*?</script>', '', 'g'), '(?i)<style[^>]*>.*?</style>', '', 'g'), '<[^>]+>', '', 'g'),
       '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'),
-    '[^A-Za-z0-9_\s]', '', 'g'), '\s+', ' ', 'g')), ' '), 1, 5), ' ')
+    '[*_"''`]', '', 'g'), '[^A-Za-z0-9_\s]', '', 'g'), '\s+', ' ', 'g')), ' '), 1, 5), ' ')
 """
 
 

@@ -196,9 +196,60 @@ def _(spark, d):
         part.write.mode("append").option("header", True).csv(src)
         X.ingest_available(spark, src, base, "orders", target, "csv")
     X.ingest_available(spark, src, base, "orders", target, "csv")
+    return spark.table(target).drop("_rescued", "_batch")
+
+
+def _ingested(spark, generations, name):
+    """Each generation lands as CSV files in one folder and is ingested before the next."""
+    src, base = new_dir(spark, "landing"), new_dir(spark, "ingest")
+    target = f"{scratch_db(spark)}.{name}"
+    for rows in generations:
+        rows.write.mode("append").option("header", True).csv(src)
+        X.ingest_available(spark, src, base, name, target, "csv")
     return spark.table(target)
 
 
+@query(
+    "ingest_reordered_header", "A14",
+    sql="SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULL::VARCHAR AS _rescued FROM orders",
+)
+def _(spark, d):
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    orders = table(spark, d, "orders").select(*cols)
+    turned = orders.filter("o_orderstatus <> 'F'").select(*reversed(cols))
+    return _ingested(spark, [orders.filter("o_orderstatus = 'F'"), turned], "orders").drop("_batch")
+
+
+@query(
+    "ingest_new_column", "A14",
+    sql="""SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS o_custkey,
+    CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
+def _(spark, d):
+    """Three generations of files, each with a column more."""
+    orders = table(spark, d, "orders")
+    grown = [
+        orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice"),
+        orders.filter("o_orderstatus NOT IN ('F', 'O')").select("o_custkey", "o_orderkey", "o_totalprice"),
+        orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_orderpriority", "o_custkey", "o_totalprice"),
+    ]
+    return _ingested(spark, grown, "orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority")
+
+
+@query(
+    "ingest_rescued_values", "A14",
+    sql="""SELECT c_custkey, CASE WHEN c_custkey % 10 <> 3 OR c_mktsegment = 'BUILDING' THEN c_acctbal END AS c_acctbal, c_mktsegment,
+    CASE WHEN c_custkey % 10 = 3 AND c_mktsegment <> 'BUILDING' THEN '{"c_acctbal":"owed ' || c_custkey || '"}' END AS _rescued
+    FROM customer""",
+)
+def _(spark, d):
+    """Values that are no numbers in a column tracked as one."""
+    rows = table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    spoilt = F.when(F.col("c_custkey") % 10 == 3, F.concat(F.lit("owed "), "c_custkey")).otherwise(F.col("c_acctbal").cast("string"))
+    later = rows.filter("c_mktsegment <> 'BUILDING'").select("c_mktsegment", spoilt.alias("c_acctbal"), "c_custkey")
+    return _ingested(spark, [rows.filter("c_mktsegment = 'BUILDING'"), later], "customer").drop("_batch")
+
+
 @query(
     "bounded_files_per_batch", "A15", "A14",
     sql="SELECT c_custkey, c_name, c_acctbal FROM customer",

@@ -25,7 +25,8 @@ def strip_markup(col: Column) -> Column:
 
 def clean_title(col: Column, words: int = 5) -> Column:
     """First ``words`` words of the text with markup and punctuation removed."""
-    plain = F.regexp_replace(strip_markup(col), r"[^A-Za-z0-9_\s]", "")
+    unmarked = F.regexp_replace(strip_markup(col), r"""[*_"'`]""", "")
+    plain = F.regexp_replace(unmarked, r"[^A-Za-z0-9_\s]", "")
     squeezed = F.trim(F.regexp_replace(plain, r"\s+", " "))
     return F.array_join(F.slice(F.split(squeezed, " "), 1, words), " ")
 

@@ -1,14 +1,13 @@
-"""Streaming sources and incremental file ingest."""
+"""Streaming sources; incremental file ingest is in :mod:`lakeops.sources.ingest`."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.sources.ingest import ingest_available, tracked_schema  # noqa: F401
 from lakeops.sources.messages import parse_json_tolerant
 
 
@@ -23,81 +22,53 @@ def stream_messages(spark: SparkSession, options: dict[str, str], starting: str
     return source.load().select(F.col("value").cast("string").alias("value"))
 
 
+def files_there(spark: SparkSession, source: str, place: str) -> DataFrame:
+    """The files of a folder at the first call, kept under ``place`` and read from there afterwards."""
+    kind = "file STRING"
+    try:
+        return spark.read.schema(kind).parquet(place)
+    except AnalysisException:
+        listing = spark.read.format("binaryFile").load(source).select(F.col("_metadata.file_path").alias("file"))
+        listing.write.mode("errorifexists").parquet(place)
+    return spark.read.schema(kind).parquet(place)
+
+
 def stream_json(
-    spark: SparkSession, source: str | dict[str, str], schema: StructType | str, starting: str = "earliest", **options
+    spark: SparkSession,
+    source: str | dict[str, str],
+    schema: StructType | str,
+    starting: str = "earliest",
+    start_kept_at: str | None = None,
+    **options,
 ) -> DataFrame:
     """Typed columns from a stream of JSON messages; unparsable messages are left out.
 
     ``source`` is a folder of JSON-line files, or the options of a broker topic.
-    ``starting='latest'`` passes over what is there when the stream is first defined: on a folder
-    lines of files changed up to that moment are left out.  Keep the moment for a restart by giving
-    it as ``starting`` (``yyyy-MM-dd HH:mm:ss``, session time zone).
+    ``starting='latest'`` passes over what is there at the first start.  A broker keeps that
+    position in the checkpoint; for a folder the files there are listed once under
+    ``start_kept_at``, a place beside the checkpoint, so that a restart of the same stream
+    reads what arrived while it was down.  Any other ``starting`` (``yyyy-MM-dd HH:mm:ss``,
+    session time zone) leaves out files changed up to that moment.
     """
     if isinstance(source, dict):
         lines = stream_messages(spark, {**source, **options}, starting)
     elif starting == "earliest":
         lines = stream_lines(spark, source, **options)
     else:
-        now = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
-        since = F.lit(now if starting == "latest" else starting).cast("timestamp")
         read = spark.readStream.options(**options).format("text").load(source)
-        lines = read.filter(F.col("_metadata.file_modification_time") > since).select("value")
+        if starting == "latest":
+            if start_kept_at is None:
+                raise ValueError("starting='latest' on a folder needs start_kept_at, or a restart would lose what arrived before it")
+            before = files_there(spark, source, start_kept_at)
+            placed = read.select("value", F.col("_metadata.file_path").alias("file"))
+            lines = placed.join(before, "file", "left_anti").select("value")
+        else:
+            since = F.lit(starting).cast("timestamp")
+            lines = read.filter(F.col("_metadata.file_modification_time") > since).select("value")
     good, _ = parse_json_tolerant(lines, "value", schema)
     return good
 
 
-def tracked_schema(spark: SparkSession, source: str, place: str, fmt: str, **options) -> StructType:
-    """Schema inferred on the first call and kept as JSON text under ``place``."""
-    try:
-        text = "".join(r.value for r in spark.read.text(place).collect())  # one short row
-        return StructType.fromJson(json.loads(text))
-    except AnalysisException:
-        pass
-    reader = spark.read.options(**options)
-    if fmt in ("csv", "json"):
-        reader = reader.option("inferSchema", True)
-    inferred = reader.format(fmt).load(source).schema
-    spark.createDataFrame([(inferred.json(),)], "value string").coalesce(1).write.text(place)
-    return inferred
-
-
-def ingest_available(
-    spark: SparkSession,
-    source_path: str,
-    base_path: str,
-    name: str,
-    target: str,
-    fmt: str = "csv",
-    max_files: int | None = None,
-    timeout: int | None = None,
-    schema: StructType | str | None = None,
-    **options,
-) -> None:
-    """Append every file not seen before to table ``target``, then stop.
-
-    Progress lives under ``base_path/checkpoints/name`` and the tracked schema
-    under ``base_path/schemas/name``, so each dataset resumes on its own.
-    ``max_files`` bounds one micro-batch.
-    """
-    if fmt == "csv":
-        options = {"header": "true", **options}
-    if schema is None:
-        schema = tracked_schema(spark, source_path, f"{base_path}/schemas/{name}", fmt, **options)
-    reader = spark.readStream.schema(schema).options(**options)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    query = (
-        reader.format(fmt)
-        .load(source_path)
-        .writeStream.option("checkpointLocation", f"{base_path}/checkpoints/{name}")
-        .trigger(availableNow=True)
-        .toTable(target)
-    )
-    from lakeops.sinks.streams import finish
-
-    finish(query, timeout)
-
-
 def consume_at_most(df: DataFrame, order: list[str], n: int = 100) -> DataFrame:
     """The first ``n`` records by a total order: the bounded read of a topic's backlog."""
     from lakeops.operators.topk import top_n

@@ -130,7 +130,13 @@ def test_buckets_and_status(spark):
 
 def test_title_cleaning(spark):
     page = "<!DOCTYPE html><script>var a;</script><h1>Hello,&nbsp;big &amp; <b>wide</b> world of data</h1>"
-    assert expr(spark, text.clean_title(F.lit(page))) == "Hello big wide world of"
+    title = lambda t: expr(spark, text.clean_title(F.lit(t)))
+    assert title(page) == "Hello big wide world of"
+    steps = {
+        "<!doctype HTML><p>a</p>": "a", "x<STYLE a=b>p{}</style>y": "xy", "a&NBSP;b": "a b", "a&lt;b&gt;c": "abc",
+        "*snake_case* `code` \"it's\"": "snakecase code its", "a-b/c, d.": "abc d", "  a \t\n b  ": "a b", "1 2 3 4 5 6": "1 2 3 4 5",
+    }
+    assert {t: title(t) for t in steps} == steps
 
 
 def test_optional_and_resolved_filters(spark):

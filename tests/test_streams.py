@@ -155,10 +155,25 @@ def test_latest_start_passes_over_the_backlog(spark, fresh):
     time.sleep(1.5)
     write(2)
     assert rows(run_append(spark, stream_json(spark, src, "a INT", starting=since), fresh)) == [(2,)]
-    assert rows(run_append(spark, stream_json(spark, src, "a INT", starting="latest"), fresh)) == []
+    late = {"starting": "latest", "start_kept_at": fresh("start")}
+    assert rows(run_append(spark, stream_json(spark, src, "a INT", **late), fresh)) == []
     assert rows(run_append(spark, stream_json(spark, src, "a INT"), fresh)) == [(1,), (2,)]
 
 
+def test_latest_start_survives_a_restart(spark, fresh):
+    src, out, mark = fresh("in"), fresh("out"), fresh("mark")
+    late = {"starting": "latest", "start_kept_at": fresh("start")}
+    write = lambda n: spark.createDataFrame([(f'{{"a": {n}}}',)], "value string").coalesce(1).write.mode("append").text(src)
+    write(1)
+    for n in (2, 3, 4):
+        Z.stream_to_table(stream_json(spark, src, "a INT", **late), out, mark)
+        write(n)
+    Z.stream_to_table(stream_json(spark, src, "a INT", **late), out, mark)
+    assert rows(spark.read.parquet(out)) == [(2,), (3,), (4,)]
+    with pytest.raises(ValueError):
+        stream_json(spark, src, "a INT", starting="latest")
+
+
 def test_outside_sink_replaces_a_replayed_batch(spark, fresh):
     """A row store that can delete by batch: here a folder per batch."""
     out, seen = fresh("out"), []

@@ -173,5 +173,5 @@ def test_ingest_takes_only_new_files_and_keeps_schema(spark, fresh):
         spark.range(lo, lo + 5).write.mode("append").json(src)
         for _ in range(2):
             X.ingest_available(spark, src, base, "ids", name, "json")
-    assert rows(spark.table(name)) == [(i,) for i in range(10)]
+    assert rows(spark.table(name).select("id")) == [(i,) for i in range(10)]
     assert X.tracked_schema(spark, "unused", f"{base}/schemas/ids", "json").names == ["id"]
