@@ -1,6 +1,7 @@
 """The personal-data and mix stages against plain Python alone, on rows that repeat and ids that are missing."""
 
 import collections
+import hashlib
 import random
 import re
 
@@ -8,6 +9,7 @@ import pyspark.sql.functions as F
 from brute import WORD, luhn, redacted, targets
 
 import corpus_pipeline
+from lakeops.llm import mixing
 
 PERSONAL = [
     "mail a.b@example.org or 10.1.2.3 now", "card 4539 1488 0343 6467 and +1 (017) 555-7713.",
@@ -58,27 +60,31 @@ def personal(text):
     return ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(out))
 
 
-def copies_by_key(spark, keys, most=3, seed=17):
-    """(id, source, size) -> copies, by walking the whole queue."""
-    distinct = spark.createDataFrame([(i, *k) for i, k in enumerate(dict.fromkeys(keys))], "i int, doc_id long, source string, size long")
-    turns = {tuple(r[1:4]): r.turn for r in distinct.withColumn("turn", F.xxhash64(F.lit(seed), "doc_id", "source", "size")).collect()}
+def copies_by_row(spark, rows, most=3, seed=17, chunk=1000):
+    """(id, source, text) -> how often all rows that are equal to it are in the mix, by walking the whole queue."""
+    size = {r: len(WORD.findall(r[2] or "")) for r in rows}
+    entries = []
+    for (i, source, text), n in collections.Counter(rows).items():
+        key = None if text is None else hashlib.md5(text.encode()).digest()
+        entries += [(len(entries) + c, i, source, text, key, c, min(chunk, n - c * chunk)) for c in range(-(-n // chunk))]
+    kind = "e long, doc_id long, source string, text string, text_hash binary, chunk long, m long"
+    hashed = spark.createDataFrame(entries, kind).withColumn("turn", F.xxhash64(F.lit(seed), "doc_id", "source", "text_hash", "chunk"))
     total = collections.Counter()
-    for _, source, size in keys:
-        total[source] += size
-    want, rows = targets(total), collections.Counter(keys)
-    reached, at = {}, collections.Counter()
-    for key in sorted(rows, key=turns.get):
-        at[key[1]] += key[2] * rows[key]
-        reached[key] = at[key[1]]
-    queue = sorted(
-        ((reached[k] + (copy - 1) * total[k[1]]) / want[k[1]], turns[k], k) for k in rows if k[2] for copy in range(1, most + 1)
-    )
+    for r in rows:
+        total[r[1]] += size[r]
+    want, at, queue = targets(total), collections.Counter(), []
+    for e in sorted(hashed.collect(), key=lambda e: e.turn):
+        row = (e.doc_id, e.source, e.text)
+        for nth in range(1, e.m + 1):
+            at[e.source] += size[row]
+            for copy in range(most if size[row] else 0):
+                queue.append(((at[e.source] + copy * total[e.source]) / want[e.source], e.turn, nth, row))
     taken, words = collections.Counter(), 0
-    for _, _, key in queue:
-        words += key[2] * rows[key]
+    for _, _, _, row in sorted(queue, key=lambda q: q[:3]):
+        words += size[row]
         if words > sum(total.values()):
             break
-        taken[key] += 1
+        taken[row] += 1
     return taken
 
 
@@ -106,10 +112,45 @@ def test_personal_data_stage(spark):
 def test_mix_stage(spark):
     rows, docs = fixture(spark)
     stage = dict(corpus_pipeline.STAGES)["source_mix"]
-    key = {r: (r[0], r[2], len(WORD.findall(r[1] or ""))) for r in rows}
-    copies = copies_by_key(spark, [key[r] for r in rows])
-    want = collections.Counter()
-    for r in rows:
-        want[r] += copies[key[r]]
-    assert collections.Counter(map(tuple, stage(spark, docs, "").collect())) == +want
+    copies = copies_by_row(spark, [(r[0], r[2], r[1]) for r in rows])
+    got = stage(spark, docs, "").collect()
+    assert collections.Counter((r.doc_id, r.source, r.text) for r in got) == copies
+    assert {tuple(r) for r in got} <= set(rows)
     assert 0 < sum(copies.values()) < 3 * len(copies)
+
+
+def test_mix_of_rows_without_ids_and_of_one_row_many_times(spark):
+    """A source whose rows share a null id, or are one row, still ends near its target."""
+    words = lambda n, k: " ".join(f"w{k}" for _ in range(n))
+    others = [(1000 + i, s, words(10, i)) for s in "bc" for i in range(300)]
+    for own in ([(None, "a", words(10, i)) for i in range(300)], [(7, "a", words(10, 0))] * 300, [(None, "a", words(5, 0))] * 600):
+        rows = own + others
+        docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+        report = mixing.mix_report(docs).collect()
+        taken = collections.Counter()
+        for r in report:
+            taken["a" if r.doc_id in (None, 7) else "other"] += r.taken
+        assert len(report) == len(rows) and report[0].source_size == 3000
+        assert abs(taken["a"] - 5625) <= 10 and abs(taken["other"] - 3375) <= 20
+        assert all(r.taken % r["size"] == 0 and r.taken <= 3 * r["size"] for r in report)
+        copies = copies_by_row(spark, rows)
+        got = collections.Counter((r.doc_id, r.source, r.text) for r in mixing.mixed(docs).collect())
+        assert got == copies
+
+
+def test_entries_of_a_row_that_fills_the_table(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    monkeypatch.setattr(mixing, "ENTRIES_PER_COPY", 2)
+    rows = [(1, "a", "x y z")] * 200 + [(i, "b", "q " * (i % 9)) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    copies = copies_by_row(spark, rows, chunk=7)
+    got = collections.Counter((r.doc_id, r.source, r.text) for r in mixing.mixed(docs).collect())
+    assert got == copies and mixing.mix_report(docs).count() == len(rows)
+
+
+def test_mix_with_clashing_names_and_long_texts(spark):
+    names = "doc_id long, source string, text string, key string, row int, n long, part long, start long, size long, copy int, turn int, m map<string,int>"
+    rows = [(i, "ab"[i % 2], "long " * 40_000 if i == 3 else f"t{i} u", "k", 1, 2, 3, 4, 5, 6, 7, {"a": i}) for i in range(20)]
+    docs = spark.createDataFrame(rows, names)
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns and all(tuple(r) in rows for r in got.collect())
