@@ -165,6 +165,23 @@ def _(spark, d):
     return J.enrich_latest(holdings, prices, "p_partkey", "l_shipdate").drop("l_shipdate")
 
 
+@query(
+    "holding_price_at_date", "D10", "D5",
+    sql="""WITH bought AS (SELECT o_orderkey, l_linenumber, l_partkey, o_orderdate FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+    SELECT o_orderkey, l_linenumber, (SELECT arg_max(s.l_extendedprice, s.l_shipdate) FROM
+      (SELECT l_partkey, l_shipdate, min(l_extendedprice) AS l_extendedprice FROM lineitem GROUP BY 1, 2) s
+      WHERE s.l_partkey = b.l_partkey AND s.l_shipdate <= b.o_orderdate) AS last_price FROM bought b""",
+)
+def _(spark, d):
+    """The price of a part as of the day of each order line: the last one shipped on or before it."""
+    lines = table(spark, d, "lineitem")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    bought = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", "l_linenumber", "l_partkey", F.col("o_orderdate").alias("day"))
+    prices = lines.select("l_partkey", F.col("l_shipdate").alias("day"), F.col("l_extendedprice").alias("last_price"))
+    month = F.date_trunc("month", "_t")
+    return J.asof_join(bought, prices, "l_partkey", "day", ["last_price"], chunk=month).select("o_orderkey", "l_linenumber", "last_price")
+
+
 # ---- aggregations ----
 
 

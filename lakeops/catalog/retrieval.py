@@ -11,6 +11,7 @@ from lakeops.functions.text import clause, strip_markup
 from lakeops.operators import markup as MK
 from lakeops.operators import retrieval as V
 from lakeops.plans import roles as R
+from lakeops.session import materialise
 
 ORDER_TEXT_SQL = """'Order ' || o_orderkey::VARCHAR || ' by ' || c_name || ' is ' || {state}
 || CASE WHEN o_totalprice > 300000 THEN '. High value, priority ' || o_orderpriority ELSE '' END
@@ -128,6 +129,38 @@ def _(spark, d):
     return rounded(V.vector_topk(_centres(spark, d), _index(spark, d), 10))
 
 
+@query(
+    "vector_index_recall", "M6",
+    sql="SELECT count(*) * 10 AS wanted, true AS recall_reached, true AS scores_exact FROM embeddings WHERE vec_id % 50 = 0",
+)
+def _(spark, d):
+    """Ten neighbours of every fiftieth row by the inverted file, against the exact ones.
+
+    The number of lists to probe is fitted on every second of those queries.
+    """
+    rows = _index(spark, d).drop("label")
+    asked = rows.filter("id % 50 = 0").withColumnRenamed("id", "query_id")
+    exact = materialise(V.vector_topk(asked, rows, 10), "exact-hits")
+    index = V.vector_index(rows)
+    probes = V.probes_for(index, asked.filter("query_id % 100 = 0"), exact.filter("query_id % 100 = 0"))
+    found = V.probe_topk(asked, index, 10, probes)
+    vectors = lambda name: rows.select(F.col("id").alias(name), F.col("embedding").alias(f"_{name}"))
+    check = found.join(vectors("query_id"), "query_id").join(vectors("id"), "id")
+    off = F.max(F.abs(F.col("score") - V.cosine(F.col("_query_id"), F.col("_id"))))
+    exactness = check.agg((off < 1e-9).alias("scores_exact"))
+    reached = V.recall_at(found, exact).select("wanted", (F.col("recall") >= 0.9).alias("recall_reached"))
+    return reached.withColumn("scores_exact", exactness.scalar())
+
+
+@query(
+    "vector_index_all_lists", "M6",
+    sql=f"WITH {CENTRES_SQL} SELECT query_id, id, round(score, 6) AS score, rank FROM top WHERE rank <= 10",
+)
+def _(spark, d):
+    """With every list probed the inverted file gives the exact neighbours."""
+    return rounded(V.probe_topk(_centres(spark, d), V.vector_index(_index(spark, d).drop("label"), lists=12), 10, probes=12))
+
+
 @query(
     "cosine_to_label_centre", "M6", "I23",
     sql=f"WITH {CENTRES_SQL} SELECT id, query_id AS label, round(score, 6) AS score FROM hits WHERE label = query_id",
@@ -207,9 +240,12 @@ merged AS (SELECT *, CASE pos WHEN 0 THEN 'words' ELSE 'density' END AS source,
 
 
 def _two_lists(spark, d, k):
-    questions, docs = _questions(spark, d), _texts(spark, d)
-    scored = V.keyword_topk(questions, docs, k).drop("rank")
-    return scored, V.keyword_topk(questions, docs, k, per_length=True, digits=9).drop("rank")
+    """Both lists from one pass over one index."""
+    questions = _questions(spark, d)
+    index = V.keyword_index(_texts(spark, d), vocabulary=V.query_words(questions))
+    found = V.keyword_lists(questions, index, k, lists={"words": (False, 6), "density": (True, 9)}).drop("rank")
+    found = materialise(found, "two-lists")
+    return tuple(found.filter(F.col("list") == name).drop("list") for name in ("words", "density"))
 
 
 def _merged(spark, d):

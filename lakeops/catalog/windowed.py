@@ -19,7 +19,7 @@ from lakeops.plans import roles as R
 )
 def _(spark, d):
     s = A.standings(R.race_points(spark, d), ["race_year", "n_name"], "calculated_points", "position")
-    return W.rank_within(s, "race_year", ["-total_points", "-wins"])
+    return W.rank_within(s, "race_year", ["-total_points", "-wins"], stage=True)
 
 
 @query(
@@ -31,7 +31,7 @@ def _(spark, d):
     s = R.race_rows(spark, d).groupBy("race_year", "o_custkey").agg(
         F.count(F.lit(1)).alias("n"), F.max("l_linenumber").alias("m")
     )
-    return W.rank_within(s, "race_year", ["-n", "m"])
+    return W.rank_within(s, "race_year", ["-n", "m"], stage=True)
 
 
 @query(
@@ -41,7 +41,7 @@ def _(spark, d):
 )
 def _(spark, d):
     s = A.keyed_totals(table(spark, d, "orders"), ["o_custkey"], {"avg_price": F.avg("o_totalprice"), "n": F.count(F.lit(1))})
-    return W.rank_overall(s, ["-avg_price"]).drop("avg_price")
+    return W.rank_overall(s, ["-avg_price"], stage=True).drop("avg_price")
 
 
 @query(

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeops.operators.ordered import names
+from lakeops.operators.ordered import fill_backward, fill_forward, names, time_chunk
 from lakeops.operators.topk import latest_by_key
 
 
@@ -77,8 +78,10 @@ def pair_within(
     Starts and ends meet by (key, time bucket of the gap's width); a start looks
     into its own bucket and the next one.  A key with a large share of the rows
     is thereby spread over all its buckets and only rows near in time are
-    compared.  ``first_only`` keeps the nearest end per start.
+    compared.  ``first_only`` keeps the nearest end per start, without making the pairs.
     """
+    if first_only:
+        return nearest_within(df, key, ts, is_start, is_end, max_gap_seconds, carry)
     width = max_gap_seconds * 1_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     bucket = F.floor(micros / width).cast("long")
@@ -99,12 +102,64 @@ def pair_within(
         .filter((gap > 0) & (gap < width))
         .withColumn("break_seconds", F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts")))
     )
-    if not first_only:
-        return pairs
-    identity = [key, "start_ts", *[f"start_{c}" for c in cols]]
-    rest = [c for c in pairs.columns if c not in identity]
-    order = F.struct("end_ts", *[f"end_{c}" for c in cols])
-    return pairs.groupBy(*identity).agg(F.min_by(F.struct(*rest), order).alias("_m")).select(*identity, "_m.*")
+    return pairs
+
+
+def asof_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str | Sequence[str],
+    ts: str,
+    cols: Sequence[str],
+    forward: bool = False,
+    strict: bool = False,
+    right_ts: str | None = None,
+    chunk: Column | str | None = None,
+) -> DataFrame:
+    """Each row of ``left`` with ``cols`` of the nearest row of ``right`` of its key.
+
+    Nearest means the last at or before ``ts``; with ``forward`` the first at or after it, and with
+    ``strict`` equal times do not count.  Of rows at one time the smallest ``cols`` win.
+    ``right_ts`` names the output column of the matched time; columns are null where
+    nothing matches, as where the key or the time is.  Both sides are laid into one
+    order and the value is carried along it from cell to cell, so there are as many rows
+    as both sides have, never pairs, and a hot key is spread over its cells.
+    """
+    by, kind = names(key), left.schema[ts].dataType
+    found = F.struct(F.col(ts).alias("t"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)))
+    own = F.struct(*(F.col(f"`{c}`") for c in left.columns))
+    # what may match at an equal time lies behind the row when looking forward, before it when looking back
+    after = forward != strict
+    events = (
+        right.dropna(subset=[*by, ts]).select(*by, F.col(ts).cast(kind).alias("_t"), found.alias("_match"))
+        .groupBy(*by, "_t").agg(F.min("_match").alias("_match")).withColumn("_side", F.lit(1 if after else 0))
+    )
+    rows = left.select(*by, F.col(ts).alias("_t"), F.lit(0 if after else 1).alias("_side"), own.alias("_row"))
+    both = events.unionByName(rows, allowMissingColumns=True)
+    if chunk is None and isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        chunk = time_chunk("_t", "month" if isinstance(kind, T.DateType) else "hour")
+    fill = fill_backward if forward else fill_forward
+    filled = fill(both, by, ["_t", "_side"], ["_match"], chunk).where("_row IS NOT NULL")
+    known = F.col("_t").isNotNull()
+    for b in by:
+        known = known & F.col(b).isNotNull()
+    match = F.when(known, F.col("_match"))
+    out = [match[f"c{i}"].alias(c) for i, c in enumerate(cols)]
+    return filled.select("_row.*", *([match["t"].alias(right_ts)] if right_ts else []), *out)
+
+
+def nearest_within(
+    df: DataFrame, key: str, ts: str, is_start: Column, is_end: Column, max_gap_seconds: int, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Each start row with the first end row of its key later than it and less than the gap away."""
+    cols = [c for c in carry if c not in (key, ts)]
+    starts = df.filter(is_start & F.col(key).isNotNull()).select(key, ts, *[F.col(c).alias(f"start_{c}") for c in cols])
+    ends = df.filter(is_end).select(key, ts, *[F.col(c).alias(f"end_{c}") for c in cols])
+    near = asof_join(starts, ends, key, ts, [f"end_{c}" for c in cols], forward=True, strict=True, right_ts="end_ts")
+    near = near.withColumnRenamed(ts, "start_ts")
+    gap = F.unix_micros(F.col("end_ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))
+    seconds = F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts"))
+    return near.filter(gap < max_gap_seconds * 1_000_000).withColumn("break_seconds", seconds)
 
 
 def explode_join(df: DataFrame, array_col: str) -> DataFrame:

@@ -16,9 +16,10 @@ column-pruned pass.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,48 +51,60 @@ def time_chunk(col: str, unit: str = "hour") -> Column:
     return F.date_trunc(unit, F.col(col))
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A double that never decreases while the column increases, for any orderable type.
+SAMPLE_PER_RANGE = 20
+LONGEST_CUT = 256
 
-    Text is compared byte by byte, so six of its bytes as one number do; they are taken behind the
-    prefix that the least and the greatest value share, and with them all values.
+
+def _cut_points(df: DataFrame, name: str, ranges: int) -> list:
+    """Values that cut the column into about equal ranges, from a sample of the column as it is.
+
+    One pass: every task keeps the rows that drew the smallest random numbers, at most
+    ``SAMPLE_PER_RANGE`` per range in all.  Long text is compared by its start.
     """
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(F.col(name)).cast("double")
-    if isinstance(kind, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
-        raw = F.col(name).cast("binary")
-        low, high = df.agg(F.min(raw), F.max(raw)).first()
-        low, high = bytes(low or b""), bytes(high or b"")
-        same = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-        code = F.rpad(F.hex(F.substring(raw, same + 1, 6)), 12, "0")
-        return F.conv(code, 16, 10).cast("double")
-    if isinstance(kind, T.BooleanType):
-        return F.col(name).cast("int").cast("double")
-    return F.col(name).cast("double")
+    value = F.col(name)
+    if isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
+        value = F.substring(value, 1, LONGEST_CUT)
+    drawn = df.select(value.alias("v")).where("v IS NOT NULL").orderBy(F.rand(7)).limit(ranges * SAMPLE_PER_RANGE)
+    found = [r.v for r in drawn.orderBy("v").collect()]
+    at = (found[i * len(found) // ranges] for i in range(1, ranges)) if found else ()
+    return [v for v, _ in itertools.groupby(at)]
+
+
+def _range_of(value: Column, cuts: list, kind: T.DataType) -> Column:
+    """How many of the ordered ``cuts`` are not above the value; long lists are searched in two steps."""
+
+    def upto(column: Column) -> Column:
+        return F.size(F.filter(column, lambda c: c <= value))
+
+    def array(values: list) -> Column:
+        return F.array(*(F.lit(v) for v in values)).cast(T.ArrayType(kind))
+
+    width = math.isqrt(len(cuts))
+    if width < 6:
+        return upto(array(cuts))
+    parts = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    which = upto(array([p[0] for p in parts]))
+    inside = F.get(F.array(*(array(p) for p in parts)), F.greatest(which - 1, F.lit(0)))
+    return F.greatest(which - 1, F.lit(0)) * width + upto(inside)
 
 
 def quantile_chunk(df: DataFrame, col: str, chunks: int | None = None) -> DataFrame:
-    """Add ``_chunk``: which of ``chunks`` near-equal ranges of ``col`` a row is in.
+    """Add ``_chunk``: which of ``chunks`` near-equal ranges of ``col`` a row is in, for any orderable type.
 
-    The split points (a bounded list) come from one approximate-quantile pass
-    over this single column; any split points give the same final result, they
-    only decide how evenly the work spreads.  Nulls get the lowest chunk.
+    The split points (a bounded list) come from a sample of the column; any split points
+    give the same final result, they only decide how evenly the work spreads.  Nulls get
+    the lowest chunk, NaN the highest.
     """
     spark = df.sparkSession
     n = chunks or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    value = _as_number(df, col)
-    points = df.select(value.alias("v")).approxQuantile("v", [i / n for i in range(1, n)], 0.25 / n)
-    inner = sorted({p for p in points if p == p})
-    splits = [float("-inf"), *inner, float("inf")]
-    # values beyond the last split (NaN) sort last, so "keep" puts them in the top bucket
-    numbered = df.withColumn("_v", F.coalesce(value, F.lit(float("-inf"))))
-    if len(splits) < 3:
-        return numbered.withColumn(CHUNK, F.lit(0.0)).drop("_v")
-    cut = Bucketizer(splits=splits, inputCol="_v", outputCol=CHUNK, handleInvalid="keep")
-    return cut.transform(numbered).drop("_v")
+    cuts, kind, value = _cut_points(df, col, n), df.schema[col].dataType, F.col(col)
+    if not cuts:
+        return df.withColumn(CHUNK, F.lit(0))
+    if isinstance(kind, (T.CharType, T.VarcharType)):
+        kind = T.StringType()
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        value = F.substring(value, 1, LONGEST_CUT)
+    return df.withColumn(CHUNK, F.coalesce(F.greatest(_range_of(value, cuts, kind), F.lit(0)), F.lit(0)))
 
 
 def add_chunk(
@@ -185,20 +198,22 @@ def ranks(
     order: Sequence[str],
     out: str = "rank",
     chunk: Column | str | None = None,
-    stage: bool = True,
+    stage: bool = False,
 ) -> DataFrame:
     """``rank()`` with gaps per key (or overall), by counting rows that sort before.
 
     Rows with equal order values are first folded into one row with a count, so
-    neither a huge group nor a huge tie meets in one task.  The input is read
-    several times; it is written once before (``stage``), because what is ranked
-    is mostly an aggregate that is dear to compute and small to keep.
+    neither a huge group nor a huge tie meets in one task.  The folded rows are read
+    several times and written once before.  With ``stage`` the input itself is written
+    instead: for an aggregate that is dear to compute and small to keep.
     """
     by, keys = names(by), bare(order)
     if stage:
         df = materialise(df, "rank")
     values = [k for k in keys if k not in by]
     folded = df.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("_n"))
+    if not stage:
+        folded = materialise(folded, "rank")
     counted = running(folded, by, order, {"_through": F.col("_n")}, chunk=chunk)
     places = counted.select(*by, *values, (F.col("_through") - F.col("_n") + 1).alias(out))
     return join_null_safe(df, places, [*by, *values])

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,7 @@ from lakeops.functions.text import template, text_or
 from lakeops.operators.joins import keep_not_in
 from lakeops.operators.topk import dedup_keep_first, top_n_per_group, union_tagged
 from lakeops.operators.windows import max_normalise
+from lakeops.session import materialise
 
 
 def render_text(
@@ -57,7 +61,8 @@ def embed(
 ) -> DataFrame:
     """Vector per row from a model call that takes ``batch`` texts at a time.
 
-    Runs where the rows are: no numbering, no driver loop, one pass.
+    Runs where the rows are: no numbering, no driver loop, one pass.  A null text does not
+    reach the model and has a null vector.
     """
     src = df.select(id_col, text_col, *carry)
     schema = T.StructType([*src.schema.fields, T.StructField("embedding", T.ArrayType(T.DoubleType()))])
@@ -67,7 +72,9 @@ def embed(
             vectors = []
             for at in range(0, len(pdf), batch):
                 texts = pdf[text_col].iloc[at : at + batch].tolist()
-                vectors += [[float(x) for x in v] for v in fn(texts)]
+                there = [t for t in texts if t is not None]
+                made = iter(fn(there) if there else [])
+                vectors += [None if t is None else [float(x) for x in next(made)] for t in texts]
             yield pdf.assign(embedding=vectors)
 
     return src.mapInPandas(run, schema)
@@ -116,25 +123,65 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 QUERY_BLOCK = 2_048
+INDEX_BLOCK = 16_384
 
 
-def _blocks(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: int) -> tuple[DataFrame, DataFrame]:
+def _pieces(n: int, size: int, tasks: int) -> int:
+    """Number of blocks of at most ``size`` rows; more, down to a sixteenth of that, while tasks would idle."""
+    return max(1, -(-n // size), min(tasks, -(-n * 16 // size)))
+
+
+def _every(count: Column | int) -> Column:
+    return F.explode(F.sequence(F.lit(0), (F.lit(count) if isinstance(count, int) else count) - 1))
+
+
+def _own(name: str, count: Column | int) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(count) if isinstance(count, int) else count).cast("int")
+
+
+def _blocks(
+    left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_size: int, right_size: int
+) -> tuple[DataFrame, DataFrame]:
     """Deal both sides into blocks so that every left block meets every right block in one group.
 
-    There are as many left blocks as hold ``size`` rows each, and as many right blocks as the
-    session has shuffle partitions.  A row of one side is repeated once per block of the other.
+    The sizes are rows of a block, so a group stays as large as it is however many rows
+    there are.  A row of one side is repeated once per block of the other.
     """
-    spark = left.sparkSession
-    n = max(1, -(-left.count() // size))
-    m = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, m = _pieces(left.count(), left_size, 1), _pieces(right.count(), right_size, tasks)
+    l = left.withColumn("_i", _own(left_id, n)).withColumn("_j", _every(m))
+    r = right.withColumn("_j", _own(right_id, m)).withColumn("_i", _every(n))
+    return l, r
 
-    def every(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    own = lambda name, count: F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
-    l = left.withColumn("_i", own(left_id, n)).withColumn("_j", every(m))
-    r = right.withColumn("_j", own(right_id, m)).withColumn("_i", every(n))
-    return l, r
+def _unit(vectors) -> np.ndarray:
+    m = np.array(vectors.tolist(), dtype=np.float64)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
+
+
+def _scored_blocks(
+    left: DataFrame, right: DataFrame, by: Sequence[str], k: int, query_id: str, index_id: str, schema: T.StructType
+) -> DataFrame:
+    """One matrix product per group of ``by``; the k best per query of each group, then of all."""
+
+    def best(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or x.empty:
+            return pd.DataFrame({query_id: q[query_id].iloc[:0], index_id: x[index_id].iloc[:0], "score": []})
+        return _keep_best(_unit(q["_v"]) @ _unit(x["_v"]).T, q[query_id], x[index_id], k, query_id, index_id)
+
+    kept = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(best, schema)
+    return top_n_per_group(kept, query_id, ["-score", index_id], k, out="rank")
+
+
+def _hit_schema(queries: DataFrame, index: DataFrame, query_id: str, index_id: str) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(query_id, queries.schema[query_id].dataType),
+            T.StructField(index_id, index.schema[index_id].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
 
 
 def vector_topk(
@@ -145,8 +192,9 @@ def vector_topk(
     index_id: str = "id",
     vector: str = "embedding",
     query_block: int = QUERY_BLOCK,
+    index_block: int = INDEX_BLOCK,
 ) -> DataFrame:
-    """The k most similar index rows of every query, with ``score`` and ``rank``.
+    """The k most similar index rows of every query, with ``score`` and ``rank``: the exact way.
 
     Blocks of queries meet blocks of the index; a group scores its rows with one matrix product
     and keeps its k best per query.  Only those meet in the last shuffle.  Neither side passes the
@@ -154,27 +202,145 @@ def vector_topk(
     """
     asked = queries.filter(F.col(vector).isNotNull()).select(query_id, F.col(vector).cast("array<double>").alias("_v"))
     found = index.filter(F.col(vector).isNotNull()).select(index_id, F.col(vector).cast("array<double>").alias("_v"))
-    left, right = _blocks(asked, found, query_id, index_id, query_block)
-    schema = T.StructType(
-        [
-            T.StructField(query_id, queries.schema[query_id].dataType),
-            T.StructField(index_id, index.schema[index_id].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
+    left, right = _blocks(asked, found, query_id, index_id, query_block, index_block)
+    return _scored_blocks(left, right, ["_i", "_j"], k, query_id, index_id, _hit_schema(queries, index, query_id, index_id))
+
+
+@dataclass
+class VectorIndex:
+    """Centres of the lists, and every row in the list of its nearest centre.
+
+    ``centres`` are at most ``MAX_LISTS`` unit vectors; ``rows`` is a stored table
+    ``_list, id, _v``, partitioned by nothing and read by list.
+    """
+
+    centres: np.ndarray
+    rows: DataFrame
+    index_id: str
+
+
+MAX_LISTS = 4_096
+SAMPLE_ROWS = 65_536
+
+
+def _nearest(df: DataFrame, centres, ids: Sequence[str], probes: int) -> DataFrame:
+    """Each row once per list of its ``probes`` nearest centres, as column ``_list``."""
+    schema = T.StructType([df.schema[c] for c in (*ids, "_v")] + [T.StructField("_list", T.ArrayType(T.IntegerType()))])
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = centres.value
+        for pdf in batches:
+            near = [[]] * len(pdf)
+            if len(pdf) and len(own):
+                near = np.argsort(-(_unit(pdf["_v"]) @ own.T), axis=1, kind="stable")[:, :probes]
+            yield pdf.assign(_list=[list(map(int, x)) for x in near])
+
+    placed = df.select(*ids, "_v").mapInPandas(place, schema)
+    return placed.withColumn("_list", F.explode("_list"))
+
+
+def vector_index(
+    index: DataFrame,
+    index_id: str = "id",
+    vector: str = "embedding",
+    lists: int | None = None,
+    sample_rows: int = SAMPLE_ROWS,
+    iterations: int = 10,
+    seed: int = 7,
+) -> VectorIndex:
+    """An inverted file over all rows that have a vector of length above zero.
+
+    The centres are fitted by k-means on about ``sample_rows`` rows, drawn by a hash of
+    the id over the whole table; every row is then put into the list of its nearest
+    centre and stored once.  ``lists`` is the square root of the number of rows unless
+    given, ``MAX_LISTS`` at most.
+    """
+    found = index.select(index_id, F.col(vector).cast("array<double>").alias("_v"))
+    found = found.filter(F.exists("_v", lambda x: x != 0))
+    n = found.count()
+    lists = max(1, min(lists or math.isqrt(n), MAX_LISTS, n or 1))
+    share = min(1.0, sample_rows / max(n, 1))
+    # over a million buckets of the hash, so that the sample is spread over every source and file
+    drawn = found.filter(F.pmod(F.xxhash64(index_id, F.lit(seed)), F.lit(1_000_000)) < math.ceil(share * 1_000_000))
+    if n:
+        units = drawn.select(array_to_vector("_v").alias("features"))
+        fitted = KMeans(k=lists, distanceMeasure="cosine", maxIter=iterations, seed=seed).fit(units)
+        centres = _unit(pd.Series([c.tolist() for c in fitted.clusterCenters()]))
+    else:
+        centres = np.zeros((0, 0))  # no list, so no query finds one
+    sent = index.sparkSession.sparkContext.broadcast(centres)
+    placed = _nearest(found, sent, [index_id], 1).repartition("_list").sortWithinPartitions("_list")
+    return VectorIndex(centres, materialise(placed, "vector-index"), index_id)
+
+
+def probe_topk(
+    queries: DataFrame,
+    index: VectorIndex,
+    k: int,
+    probes: int = 8,
+    query_id: str = "query_id",
+    vector: str = "embedding",
+    query_block: int = QUERY_BLOCK,
+    index_block: int = INDEX_BLOCK,
+) -> DataFrame:
+    """The k most similar rows among the ``probes`` lists nearest to each query, with exact scores.
+
+    A list is cut into blocks of ``index_block`` rows and its queries into blocks of
+    ``query_block``, so a group keeps its size while lists grow.  With as many probes as
+    lists the result is that of :func:`vector_topk`.
+    """
+    asked = queries.select(query_id, F.col(vector).cast("array<double>").alias("_v"))
+    asked = asked.filter(F.exists("_v", lambda x: x != 0))
+    sent = queries.sparkSession.sparkContext.broadcast(index.centres)
+    wanted = materialise(_nearest(asked, sent, [query_id], min(probes, len(index.centres))), "vector-probes")
+    sizes = index.rows.groupBy("_list").agg(F.count(F.lit(1)).alias("_n"))
+    loads = wanted.groupBy("_list").agg(F.count(F.lit(1)).alias("_q"))
+    blocks = F.broadcast(  # a row per list, MAX_LISTS at most
+        sizes.join(loads, "_list").select(
+            "_list", F.ceil(F.col("_n") / index_block).cast("int").alias("_parts"), F.ceil(F.col("_q") / query_block).cast("int").alias("_turns")
+        )
     )
+    left = wanted.join(blocks, "_list").withColumn("_i", _own(query_id, F.col("_turns"))).withColumn("_j", _every(F.col("_parts")))
+    right = index.rows.join(blocks, "_list").withColumn("_j", _own(index.index_id, F.col("_parts"))).withColumn("_i", _every(F.col("_turns")))
+    slim = lambda df, name: df.select("_list", "_i", "_j", name, "_v")
+    schema = _hit_schema(queries, index.rows, query_id, index.index_id)
+    return _scored_blocks(slim(left, query_id), slim(right, index.index_id), ["_list", "_i", "_j"], k, query_id, index.index_id, schema)
 
-    def unit(vectors) -> np.ndarray:
-        m = np.array(vectors.tolist(), dtype=np.float64)
-        norm = np.linalg.norm(m, axis=1, keepdims=True)
-        return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
 
-    def best(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or x.empty:
-            return pd.DataFrame({query_id: q[query_id].iloc[:0], index_id: x[index_id].iloc[:0], "score": []})
-        return _keep_best(unit(q["_v"]) @ unit(x["_v"]).T, q[query_id], x[index_id], k, query_id, index_id)
+def probes_for(
+    index: VectorIndex, queries: DataFrame, truth: DataFrame, recall: float = 0.95, query_id: str = "query_id", vector: str = "embedding"
+) -> int:
+    """The fewest lists to probe that hold a share ``recall`` of the true neighbours of ``queries``.
 
-    kept = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(best, schema)
-    return top_n_per_group(kept, query_id, ["-score", index_id], k, out="rank")
+    ``truth`` are their exact hits, by :func:`vector_topk` on a sample of queries.  How far
+    down a query's order of lists each neighbour's list stands is counted in the cluster;
+    the driver gets a row per place, ``MAX_LISTS`` at most.
+    """
+    asked = queries.select(query_id, F.col(vector).cast("array<double>").alias("_v")).filter(F.exists("_v", lambda x: x != 0))
+    sent = queries.sparkSession.sparkContext.broadcast(index.centres)
+    schema = T.StructType([asked.schema[query_id], T.StructField("_order", T.ArrayType(T.IntegerType()))])
+
+    def orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            near = np.argsort(-(_unit(pdf["_v"]) @ sent.value.T), axis=1, kind="stable") if len(pdf) else []
+            yield pd.DataFrame({query_id: pdf[query_id], "_order": [list(map(int, x)) for x in near]})
+
+    wanted = truth.select(query_id, index.index_id).join(index.rows.select(index.index_id, "_list"), index.index_id)
+    placed = wanted.join(asked.mapInPandas(orders, schema), query_id)
+    counts = placed.groupBy(F.array_position("_order", F.col("_list")).alias("place")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total, held = sum(r.n for r in counts), 0
+    for r in sorted(counts, key=lambda r: r.place):
+        held += r.n
+        if held >= recall * total:
+            return int(r.place)
+    return 1
+
+
+def recall_at(found: DataFrame, truth: DataFrame, query_id: str = "query_id", index_id: str = "id") -> DataFrame:
+    """``hits, wanted, recall`` of one result against another."""
+    got = found.select(query_id, index_id).withColumn("_hit", F.lit(1))
+    both = truth.select(query_id, index_id).join(got, [query_id, index_id], "left")
+    return both.agg(F.count("_hit").alias("hits"), F.count(F.lit(1)).alias("wanted")).withColumn("recall", F.col("hits") / F.col("wanted"))
 
 
 def _keep_best(scores: np.ndarray, rows: pd.Series, cols: pd.Series, k: int, row_name: str, col_name: str) -> pd.DataFrame:
@@ -189,30 +355,148 @@ def _keep_best(scores: np.ndarray, rows: pd.Series, cols: pd.Series, k: int, row
     return pd.DataFrame({row_name: rows.to_numpy()[at[good]], col_name: ids[picked[good]], "score": value[good]})
 
 
-def _shares(
-    queries: DataFrame, docs: DataFrame, doc_id: str, text: str, k1: float, b: float, per_length: bool
+BLOCK_DOCS = 16_384
+
+
+@dataclass
+class KeywordIndex:
+    """Postings stored once, in blocks of documents, with the highest share of each word in each block.
+
+    ``postings``: ``_block, term, ids, parts, lens``, one row per word and block, whose lists
+    are as long as a block has documents at most; ``terms``: ``term, idf``; ``peaks``:
+    ``_block, term, peak, dense``, the highest part and the highest part per length.
+    """
+
+    postings: DataFrame
+    terms: DataFrame
+    peaks: DataFrame
+    doc_id: str
+
+
+def keyword_index(
+    docs: DataFrame,
+    doc_id: str = "id",
+    text: str = "text",
+    k1: float = 1.2,
+    b: float = 0.75,
+    vocabulary: DataFrame | None = None,
+    block_docs: int = BLOCK_DOCS,
+) -> KeywordIndex:
+    """BM25 postings of all documents, or of the words ``vocabulary`` (``term``) alone; null ids cannot be found."""
+    split = docs.select(doc_id, words(F.coalesce(F.col(text), F.lit(""))).alias("_w")).withColumn("_len", F.size("_w"))
+    n, mean = split.agg(F.count(F.lit(1)), F.avg("_len")).first()
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = split.filter(F.col(doc_id).isNotNull()).select(doc_id, "_len", F.explode("_w").alias("term"))
+    if vocabulary is not None:
+        each = each.join(vocabulary, "term", "left_semi")
+    counted = each.groupBy(doc_id, "_len", "term").agg(F.count(F.lit(1)).alias("_tf"))
+    part = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_len") / F.lit(mean or 1.0)))
+    entry = F.struct(F.col(doc_id).alias("id"), part.alias("part"), F.col("_len").alias("len"))
+    listed = counted.select(_own(doc_id, _pieces(n, block_docs, tasks)).alias("_block"), "term", entry.alias("_e"))
+    held = listed.groupBy("_block", "term").agg(F.collect_list("_e").alias("_e"))  # at most a block's documents
+    postings = materialise(held.select("_block", "term", *(F.col(f"_e.{f}").alias(f"{f}s") for f in ("id", "part", "len"))), "postings")
+    df = postings.groupBy("term").agg(F.sum(F.size("ids")).alias("_df"))
+    idf = F.log(1 + (F.lit(n) - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+    dense = F.array_max(F.transform(F.arrays_zip("parts", "lens"), lambda x: x["parts"] / (1 + x["lens"])))
+    peaks = postings.select("_block", "term", F.array_max("parts").alias("peak"), dense.alias("dense"))
+    return KeywordIndex(postings, df.select("term", idf.alias("idf")), peaks, doc_id)
+
+
+#: Lists by name: whether a score is divided by one more than the document's words, and its digits.
+PLAIN = {"words": (False, 6)}
+
+
+def keyword_lists(
+    queries: DataFrame,
+    index: KeywordIndex,
+    k: int,
+    query_id: str = "query_id",
+    text: str = "text",
+    lists: dict[str, tuple[bool, int]] = PLAIN,
 ) -> DataFrame:
-    """What each word that the queries hold adds to a document's BM25 score.
+    """The k documents with the best BM25 score per query and list: ``list, query_id, id, score, rank``.
 
-    Document words are reduced to the queries' vocabulary by a semi join before they are counted.
+    A query first meets the block with its highest bound, which gives a score to beat;
+    then only the blocks whose bound, the sum of the peaks of its words, can still reach
+    that.  A task reads a block's postings once and lets the block's queries pass by, so
+    the index is never copied per query.  Scores are rounded before they are ranked.
     """
-    vocabulary = queries.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term")).distinct()
-    lens = docs.select(doc_id, words(F.coalesce(F.col(text), F.lit(""))).alias("_w")).withColumn("_len", F.size("_w"))
-    postings = (
-        lens.select(doc_id, "_len", F.explode("_w").alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .repartition(doc_id)  # one document is one row, so no document is hot
-        .groupBy(doc_id, "_len", "term")
-        .agg(F.count(F.lit(1)).alias("_tf"))
+    doc_id = index.doc_id
+    asked = queries.select(query_id, F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    weighed = materialise(asked.join(index.terms, "term"), "asked-words")
+    terms = weighed.groupBy(query_id).agg(F.collect_list(F.struct("term", "idf")).alias("_terms"))  # a query's own words
+    bound = weighed.join(index.peaks, "term").groupBy(query_id, "_block").agg(
+        F.sum(F.col("idf") * F.col("peak")).alias("plain"), F.sum(F.col("idf") * F.col("dense")).alias("dense")
     )
-    n_docs = lens.agg(F.count(F.lit(1))).scalar()
-    mean_len = lens.agg(F.avg("_len")).scalar()
-    df_per_term = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    joined = postings.join(df_per_term, "term")
-    idf = F.log(1 + (n_docs - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    tf = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_len") / mean_len))
-    scale = F.lit(1) + F.col("_len") if per_length else F.lit(1)
-    return joined.select(doc_id, "term", (idf * tf / scale).alias("_share"))
+    bounds = materialise(bound, "block-bounds")
+
+    def hits(pairs: DataFrame) -> DataFrame:
+        return _stream_blocks(index, pairs.select(query_id, "_block").join(terms, query_id), query_id, queries.schema[query_id].dataType, k, lists)
+
+    first = top_n_per_group(bounds, query_id, ["-plain", "_block"], 1)
+    seed = materialise(hits(first), "first-hits")
+    beaten = seed.groupBy("list", query_id).agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+    spread = beaten.filter(F.col("n") >= k).groupBy(query_id).pivot("list", list(lists)).agg(F.first("least"))
+    rest = bounds.join(first.select(query_id, "_block"), [query_id, "_block"], "left_anti").join(spread, query_id, "left")
+    reach = F.lit(False)
+    for name, (per_length, digits) in lists.items():
+        reach = reach | F.col(f"`{name}`").isNull() | (F.col("dense" if per_length else "plain") + 10.0**-digits >= F.col(f"`{name}`"))
+    every = seed.unionByName(hits(rest.filter(reach)))
+    return top_n_per_group(every, ["list", query_id], ["-score", doc_id], k, out="rank")
+
+
+def _stream_blocks(
+    index: KeywordIndex, pairs: DataFrame, query_id: str, kind: T.DataType, k: int, lists: dict[str, tuple[bool, int]]
+) -> DataFrame:
+    """Scores each ``(query, block, words)`` row against its block; postings come first within a block."""
+    doc_id, id_kind = index.doc_id, index.postings.schema["ids"].dataType.elementType
+    blocks = pairs.select("_block").distinct()
+    stored = index.postings.join(blocks, "_block", "left_semi").select(
+        "_block", F.lit(0).alias("_kind"), F.lit(None).cast(kind).alias("_q"), F.lit(None).cast(pairs.schema["_terms"].dataType).alias("_terms"),
+        "term", "ids", "parts", "lens",
+    )
+    passing = pairs.select("_block", F.lit(1).alias("_kind"), F.col(query_id).alias("_q"), "_terms")
+    laid = stored.unionByName(passing, allowMissingColumns=True).repartition("_block").sortWithinPartitions("_block", "_kind")
+    schema = T.StructType(
+        [T.StructField("list", T.StringType()), T.StructField(query_id, kind), T.StructField(doc_id, id_kind), T.StructField("score", T.DoubleType())]
+    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, held, ready = None, {}, None
+
+        def prepared():
+            ids = np.unique(np.concatenate([h[0] for h in held.values()]))
+            length = np.zeros(len(ids))
+            words_of = {}
+            for term, (own, parts, lens) in held.items():
+                at = np.searchsorted(ids, own)
+                length[at] = lens
+                words_of[term] = (at, parts)
+            return ids, length, words_of
+
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                if row[0] != block:
+                    block, held, ready = row[0], {}, None
+                if row[1] == 0:
+                    held[row.term] = (np.asarray(row.ids), np.asarray(row.parts), np.asarray(row.lens))
+                    continue
+                ids, length, words_of = ready = ready or prepared()
+                score, seen = np.zeros(len(ids)), np.zeros(len(ids), bool)
+                for word in row[3]:
+                    if word["term"] in words_of:
+                        at, parts = words_of[word["term"]]
+                        score[at] += word["idf"] * parts
+                        seen[at] = True
+                there = np.flatnonzero(seen)
+                for name, (per_length, digits) in lists.items():
+                    value = np.round(score[there] / (1 + length[there]) if per_length else score[there], digits)
+                    best = np.argsort(-value, kind="stable")[:k]
+                    out += [(name, row[2], ids[there[i]], value[i]) for i in best]
+            yield pd.DataFrame(out, columns=schema.names)
+
+    return laid.mapInPandas(run, schema)
 
 
 def keyword_topk(
@@ -226,56 +510,19 @@ def keyword_topk(
     b: float = 0.75,
     per_length: bool = False,
     digits: int = 6,
-    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """The k documents with the best BM25 score of every query, with ``score`` and ``rank``.
 
-    Blocks of queries meet blocks of documents; a group adds up the shares of the words a query and
-    its documents have in common and keeps k documents per query, so pairs never leave the group.
-    Scores are rounded to ``digits`` before they are ranked, so that equal ones tie.  With
+    One list of :func:`keyword_lists`, over an index of the queries' own words.  With
     ``per_length`` a score is divided by one more than the document's number of words.
     """
-    asked = queries.select(query_id, F.array_sort(F.array_distinct(words(F.col(text)))).alias("_terms"))
-    asked = asked.filter(F.size("_terms") > 0)
-    shares = _shares(queries, docs, doc_id, text, k1, b, per_length)
-    per_doc = shares.groupBy(doc_id).agg(  # at most a document's own words
-        F.array_sort(F.collect_list(F.struct("term", "_share"))).alias("_p")
-    )
-    found = per_doc.select(
-        doc_id, F.transform("_p", lambda x: x["term"]).alias("_t"), F.transform("_p", lambda x: x["_share"]).alias("_s")
-    )
-    left, right = _blocks(asked, found, query_id, doc_id, query_block)
-    schema = T.StructType(
-        [
-            T.StructField(query_id, queries.schema[query_id].dataType),
-            T.StructField(doc_id, docs.schema[doc_id].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
+    index = keyword_index(docs, doc_id, text, k1, b, query_words(queries, text))
+    return keyword_lists(queries, index, k, query_id, text, {"words": (per_length, digits)}).drop("list")
 
-    def best(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({query_id: q[query_id].iloc[:0], doc_id: x[doc_id].iloc[:0], "score": np.array([], float)})]
-        x = x.sort_values(doc_id, ignore_index=True)
-        holders: dict[str, tuple[list[int], list[float]]] = {}
-        for row, (terms, parts) in enumerate(zip(x["_t"], x["_s"])):
-            for term, part in zip(terms, parts):
-                at, value = holders.setdefault(term, ([], []))
-                at.append(row)
-                value.append(part)
-        for qid, terms in zip(q[query_id], q["_terms"]):
-            hits = [holders[t] for t in terms if t in holders]
-            if not hits:
-                continue
-            at = np.concatenate([np.array(h[0]) for h in hits])
-            score = np.bincount(at, np.concatenate([np.array(h[1]) for h in hits]))
-            rows = np.unique(at)
-            score = np.round(score[rows], digits)
-            pick = np.argsort(-score, kind="stable")[:k]
-            out.append(pd.DataFrame({query_id: [qid] * len(pick), doc_id: x[doc_id].to_numpy()[rows[pick]], "score": score[pick]}))
-        return pd.concat(out, ignore_index=True)
-
-    kept = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(best, schema)
-    return top_n_per_group(kept, query_id, ["-score", doc_id], k, out="rank")
+
+def query_words(queries: DataFrame, text: str = "text") -> DataFrame:
+    """The distinct words of all queries."""
+    return queries.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term")).distinct()
 
 
 def hybrid_topk(

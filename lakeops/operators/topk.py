@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.ordered import names, ranks, sort_columns
+from lakeops.operators.ordered import bare, names, sort_columns
 
 
 def top_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -40,8 +40,18 @@ def top_ranked_per_group(
 
 
 def top_ranked(df: DataFrame, order: Sequence[str], n: int, out: str = "rank") -> DataFrame:
-    """Rows whose overall rank is at most n, ties included."""
-    return ranks(df, None, order, out).filter(F.col(out) <= n)
+    """Rows whose overall rank is at most n, ties included.
+
+    The first n order keys come from bounded lists that tasks keep and merge; they are
+    ranked among themselves, and the rows with one of those keys are the result, so
+    nothing is ranked that does not stay.
+    """
+    keys = bare(order)
+    first = df.select(*keys).orderBy(*sort_columns(order)).limit(n)
+    ranked = first.withColumn(out, F.rank().over(Window.orderBy(*sort_columns(order)))).distinct()
+    places = F.broadcast(ranked.select(F.struct(*keys).alias("_key"), out))  # at most n rows
+    rows = df.withColumn("_key", F.struct(*keys))
+    return rows.join(places, "_key").drop("_key")
 
 
 def dedup_keep_first(

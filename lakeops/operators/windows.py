@@ -27,15 +27,18 @@ from lakeops.operators.topk import top_n_per_group
 
 
 def rank_within(
-    df: DataFrame, by: str | Sequence[str], order: Sequence[str], out: str = "rank", chunk=None
+    df: DataFrame, by: str | Sequence[str], order: Sequence[str], out: str = "rank", chunk=None, stage: bool = False
 ) -> DataFrame:
-    """Rank with gaps inside each group, e.g. standings per year by points and wins."""
-    return ranks(df, by, order, out, chunk)
+    """Rank with gaps inside each group, e.g. standings per year by points and wins.
+
+    ``stage`` is for inputs that are small but dear to compute, such as aggregates.
+    """
+    return ranks(df, by, order, out, chunk, stage)
 
 
-def rank_overall(df: DataFrame, order: Sequence[str], out: str = "rank", chunk=None) -> DataFrame:
-    """Rank with gaps over the whole table without a single-task window."""
-    return ranks(df, None, order, out, chunk)
+def rank_overall(df: DataFrame, order: Sequence[str], out: str = "rank", chunk=None, stage: bool = False) -> DataFrame:
+    """Rank with gaps over the whole table without a single-task window; ``stage`` as in :func:`rank_within`."""
+    return ranks(df, None, order, out, chunk, stage)
 
 
 def batch_ids(df: DataFrame, order: Sequence[str], size: int = 20, out: str = "batch_id", chunk=None) -> DataFrame:
