@@ -384,12 +384,14 @@ def keyword_index(
 ) -> KeywordIndex:
     """BM25 postings of all documents, or of the words ``vocabulary`` (``term``) alone; null ids cannot be found."""
     split = docs.select(doc_id, words(F.coalesce(F.col(text), F.lit(""))).alias("_w")).withColumn("_len", F.size("_w"))
-    n, mean = split.agg(F.count(F.lit(1)), F.avg("_len")).first()
+    own = F.coalesce(F.regexp_count(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}]+")), F.lit(0))  # as many as the split gives
+    n, mean = docs.agg(F.count(F.lit(1)), F.avg(own)).first()
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = split.filter(F.col(doc_id).isNotNull()).select(doc_id, "_len", F.explode("_w").alias("term"))
     if vocabulary is not None:
         each = each.join(vocabulary, "term", "left_semi")
-    counted = each.groupBy(doc_id, "_len", "term").agg(F.count(F.lit(1)).alias("_tf"))
+    # one document is one row, so no document is hot
+    counted = each.repartition(doc_id).groupBy(doc_id, "_len", "term").agg(F.count(F.lit(1)).alias("_tf"))
     part = F.col("_tf") * (k1 + 1) / (F.col("_tf") + k1 * (1 - b + b * F.col("_len") / F.lit(mean or 1.0)))
     entry = F.struct(F.col(doc_id).alias("id"), part.alias("part"), F.col("_len").alias("len"))
     listed = counted.select(_own(doc_id, _pieces(n, block_docs, tasks)).alias("_block"), "term", entry.alias("_e"))
