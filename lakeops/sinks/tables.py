@@ -6,7 +6,9 @@ the shared scratch folder and then moved in by one write.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql.types import StructType
 from lakeops.functions.times import day_parts
 from lakeops.operators.ordered import names
 from lakeops.session import materialise, session_conf
+from lakeops.sinks.swap import file_of, files_with, finish_swaps, swap_files
 from lakeops.sources.files import read_csv
 
 DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
@@ -243,7 +246,7 @@ def update_where(spark: SparkSession, table: str, cond: Column, changes: dict[st
     """Set columns on the rows where ``cond`` is true; other rows stay as they are.
 
     Of a partitioned table only the partitions with such rows are rewritten, unless a partition
-    column itself changes.
+    column itself changes; of a table without partitions only the files with such rows.
     """
     rows = spark.table(table)
     hit = F.coalesce(cond, F.lit(False))
@@ -258,7 +261,9 @@ def update_where(spark: SparkSession, table: str, cond: Column, changes: dict[st
         )
 
     parts = partition_columns(spark, table)
-    if not parts or set(parts) & set(changes):
+    if not parts:
+        return _rewrite_files(spark, table, hit, changed)
+    if set(parts) & set(changes):
         return rebuild_table(spark, table, changed(rows))
     touched = materialise(rows.filter(hit).select(F.struct(*parts).alias("_on")).distinct(), "touched")
     return _replace_touched(spark, table, parts, changed(_in_partitions(rows, parts, touched)))
@@ -268,26 +273,56 @@ def delete_where(spark: SparkSession, table: str, cond: Column) -> DataFrame:
     """Remove the rows where ``cond`` is true; a null condition keeps the row.
 
     Of a partitioned table only the partitions with such rows are rewritten, and those left
-    without a row are dropped.
+    without a row are dropped; of a table without partitions only the files with such rows are
+    rewritten.
     """
     rows = spark.table(table)
     hit = F.coalesce(cond, F.lit(False))
     parts = partition_columns(spark, table)
     if not parts:
-        return rebuild_table(spark, table, rows.filter(~hit))
+        return _rewrite_files(spark, table, hit, lambda part: part.filter(~hit))
     touched = materialise(rows.filter(hit).select(F.struct(*parts).alias("_on")).distinct(), "touched")
     left = materialise(_in_partitions(rows, parts, touched).filter(~hit), "left")
     out = _replace_touched(spark, table, parts, left, staged=True)
     still = left.select(F.struct(*parts).alias("_on")).distinct()
+    emptied = touched.join(still, "_on", "left_anti").select("_on.*")
     # catalog entries to drop: a part of the table's own list of partitions
-    for row in touched.join(still, "_on", "left_anti").select("_on.*").toLocalIterator():
-        spec = ", ".join(
-            f"{p} = " + ("null" if row[p] is None else f"'{_quoted(str(row[p]))}'") for p in parts
-        )
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    _drop_partitions(spark, table, [r.asDict() for r in emptied.toLocalIterator()])
     return out
 
 
+def _drop_partitions(spark: SparkSession, table: str, specs: Sequence[dict], at_once: int = 500) -> None:
+    """Drop partitions, many in one statement."""
+    told = [
+        "PARTITION ("
+        + ", ".join(f"{p} = " + ("null" if v is None else f"'{_quoted(str(v))}'") for p, v in spec.items())
+        + ")"
+        for spec in specs
+    ]
+    for i in range(0, len(told), at_once):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(told[i : i + at_once])}")
+
+
+def _rewrite_files(spark: SparkSession, table: str, hit: Column, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rewrite the files that hold a hit; tables in text formats or bucketed ones are rewritten whole.
+
+    A swap that an ended driver left half done is finished first.
+    """
+    facts = _described(spark, table)
+    fmt = facts.get("Provider", "").lower()
+    if fmt not in ("parquet", "orc") or "Num Buckets" in facts:
+        return rebuild_table(spark, table, change(spark.table(table)))
+    finish_swaps(spark, facts["Location"])
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    old = files_with(rows, hit)
+    if old:
+        # the literal list lets the scan skip all other files
+        swap_files(spark, facts["Location"], fmt, old, change(rows.filter(file_of(rows).isin(old))))
+        spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _in_partitions(rows: DataFrame, parts: Sequence[str], touched: DataFrame) -> DataFrame:
     return rows.withColumn("_on", F.struct(*parts)).join(touched, "_on", "left_semi").drop("_on")
 
@@ -303,39 +338,147 @@ def _replace_touched(
     return spark.table(table)
 
 
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+DEPTH_KEY, ROWS_KEY, MERGE_KEY = "lakeops.depth", "lakeops.rows", "lakeops.merge"
+DELTA = 0  # partition of the rows that are not merged yet; leaves are numbered from 1
+DEEPEST = 30
+
+
+def _node(keys: Sequence[str], depth: int) -> Column:
+    """Node of the key at a depth of the hash tree: a 1 before the low bits of its hash."""
+    return (F.pmod(F.xxhash64(*keys), F.lit(1 << depth)) + F.lit(1 << depth)).cast("int")
+
+
+def _depth(node: int) -> int:
+    return node.bit_length() - 1
+
+
+def _parent(node: int) -> int:
+    depth = _depth(node) - 1
+    return (1 << depth) | (node & ((1 << depth) - 1))
+
+
+def _split_nodes(nodes: set[int], depth: int) -> set[int]:
+    """Nodes that were split: those above a node that is there."""
+    found = set()
+    for node in nodes - {DELTA}:
+        while _depth(node) > depth:
+            node = _parent(node)
+            found.add(node)
+    return found
+
+
+def _leaf(keys: Sequence[str], depth: int, split: set[int]) -> Column:
+    """The key's first node from the tree's first depth down that was not split."""
+    last = max(map(_depth, split), default=depth - 1) + 1
+    tries = []
+    for d in range(depth, last):
+        node = _node(keys, d)
+        tries.append(F.when(~node.isin([n for n in split if _depth(n) == d]), node))
+    return F.coalesce(*tries, _node(keys, last))
 
 
-BUCKETS_KEY = "lakeops.buckets"
+def _leaves_cut(rows: DataFrame, keys: Sequence[str], rows_per_bucket: int) -> DataFrame:
+    """Rows of leaves with more than ``rows_per_bucket`` rows go to deeper leaves; ``rows`` must be staged."""
+    large = rows.groupBy(BUCKET).count().filter(F.col("count") > rows_per_bucket).collect()
+    deeper: dict[int, list[int]] = {}
+    for r in large:
+        more = (-(-r["count"] // rows_per_bucket) - 1).bit_length()
+        deeper.setdefault(min(_depth(r[BUCKET]) + more, DEEPEST), []).append(r[BUCKET])
+    to = [F.when(F.col(BUCKET).isin(nodes), _node(keys, d)) for d, nodes in deeper.items()]
+    return rows.withColumn(BUCKET, F.coalesce(*to, F.col(BUCKET)))
+
+
+def _nodes(spark: SparkSession, table: str) -> set[int]:
+    return {int(r.partition.split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+@dataclass(frozen=True)
+class Keyed:
+    """What a keyed table says of itself."""
+
+    keys: list[str]
+    order_col: str
+    depth: int  # first depth of the hash tree
+    rows: int  # merged rows
+
+
+def _keyed(spark: SparkSession, table: str) -> Keyed:
+    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if MERGE_KEY not in stored:
+        raise ValueError(f"{table} was not created by upsert_batch: it has no {MERGE_KEY}")
+    *keys, order_col = json.loads(stored[MERGE_KEY])
+    return Keyed(keys, order_col, int(stored[DEPTH_KEY]), int(stored.get(ROWS_KEY, 0)))
+
+
+def _base(spark: SparkSession, table: str, split: set[int]) -> DataFrame:
+    """Merged rows.  A split leaf that an ended merge has not dropped yet does not count."""
+    return spark.table(table).filter(~F.col(BUCKET).isin([DELTA, *split]))
+
+
+def _note(spark: SparkSession, table: str, keys: Sequence[str], order_col: str, depth: int) -> None:
+    spark.catalog.refreshTable(table)
+    n = _base(spark, table, _split_nodes(_nodes(spark, table), depth)).count()
+    merge = _quoted(json.dumps([*keys, order_col]))
+    told = f"'{DEPTH_KEY}' = '{depth}', '{ROWS_KEY}' = '{n}', '{MERGE_KEY}' = '{merge}'"
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({told})")
 
 
 def upsert_batch(
-    df: DataFrame, table: str, keys: str | Sequence[str], order_col: str, buckets: int = 64
+    df: DataFrame,
+    table: str,
+    keys: str | Sequence[str],
+    order_col: str,
+    buckets: int = 64,
+    fold_share: float = 0.125,
+    rows_per_bucket: int = 5_000_000,
 ) -> None:
     """Merge rows into a table that holds one row per key; the highest ``order_col`` wins.
 
-    The table is partitioned by a hash of the key, so a batch rewrites only the buckets it
-    touches.  ``buckets`` is used when the table is created and kept with it; later calls take the
-    stored number.  Repeating a batch changes nothing.
+    A batch is appended to the partition of unmerged rows, so it writes as much as it holds.  Once
+    these are more than ``fold_share`` of the merged rows, the buckets they touch are rewritten:
+    a row is rewritten a bounded number of times on average, however large the table is.  Buckets
+    are leaves of a tree over the hash of the key; one with more than ``rows_per_bucket`` rows is
+    split when it is rewritten.  ``buckets`` is rounded up to a power of two and counts when the
+    table is created.  Repeating a batch changes nothing.  One writer at a time; read the table
+    with :func:`read_upserted`.
     """
     spark, keys = df.sparkSession, names(keys)
+    fresh = _latest(df, keys, order_col)
     if not spark.catalog.tableExists(table):
-        fresh = _latest(df, keys, order_col).withColumn(BUCKET, _bucket(keys, buckets))
-        write_table(fresh, table, partition_by=BUCKET)
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_KEY}' = '{buckets}')")
+        depth = min((buckets - 1).bit_length(), DEEPEST)
+        placed = materialise(fresh.withColumn(BUCKET, _node(keys, depth)), "merge-first")
+        write_table(_leaves_cut(placed, keys, rows_per_bucket), table, partition_by=BUCKET)
+        _note(spark, table, keys, order_col, depth)
         return
-    stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    if BUCKETS_KEY not in stored:
-        raise ValueError(f"{table} was not created by upsert_batch: it has no {BUCKETS_KEY}")
-    fresh = materialise(
-        _latest(df, keys, order_col).withColumn(BUCKET, _bucket(keys, int(stored[BUCKETS_KEY]))), "merge-batch"
-    )
-    current = spark.table(table)
-    touched = fresh.select(BUCKET).distinct()
-    old = current.join(touched, BUCKET, "left_semi")
-    merged = _latest(old.unionByName(fresh.select(*old.columns)), keys, order_col)
-    overwrite_partition(materialise(merged.select(*current.columns), "merge"), table, BUCKET)
+    told = _keyed(spark, table)
+    if (told.keys, told.order_col) != (keys, order_col):
+        raise ValueError(f"{table} is merged by {told.keys} and {told.order_col}")
+    columns = spark.table(table).columns
+    fresh.withColumn(BUCKET, F.lit(DELTA)).select(*columns).write.mode("append").insertInto(table)
+    spark.catalog.refreshTable(table)
+    if spark.table(table).filter(F.col(BUCKET) == DELTA).count() > fold_share * told.rows:
+        fold_upserts(spark, table, rows_per_bucket)
+
+
+def fold_upserts(spark: SparkSession, table: str, rows_per_bucket: int = 5_000_000) -> None:
+    """Merge the unmerged rows into the buckets they touch.
+
+    The unmerged rows and the leaves that were split go last, so an ended call loses nothing and
+    can be repeated.
+    """
+    told = _keyed(spark, table)
+    keys, order_col, depth = told.keys, told.order_col, told.depth
+    before = _nodes(spark, table)
+    split = _split_nodes(before, depth)
+    delta = spark.table(table).filter(F.col(BUCKET) == DELTA).drop(BUCKET)
+    fresh = materialise(_latest(delta, keys, order_col).withColumn(BUCKET, _leaf(keys, depth, split)), "merge-batch")
+    old = _base(spark, table, split).join(fresh.select(BUCKET).distinct(), BUCKET, "left_semi")
+    merged = _latest(old.unionByName(fresh).drop(BUCKET), keys, order_col)
+    placed = materialise(merged.withColumn(BUCKET, _leaf(keys, depth, split)), "merge")
+    overwrite_partition(_leaves_cut(placed, keys, rows_per_bucket), table, BUCKET)
+    done = _split_nodes(_nodes(spark, table), depth) & before
+    _drop_partitions(spark, table, [{BUCKET: n} for n in sorted(done | {DELTA})])
+    _note(spark, table, keys, order_col, depth)
 
 
 def _latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -345,7 +488,19 @@ def _latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 
 
 def read_upserted(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).drop(BUCKET)
+    """One row per key.  Only merged rows whose key has unmerged ones are compared."""
+    told = _keyed(spark, table)
+    keys, order_col = told.keys, told.order_col
+    nodes = _nodes(spark, table)
+    base = _base(spark, table, _split_nodes(nodes, told.depth)).drop(BUCKET)
+    if DELTA not in nodes:
+        return base
+    delta = _latest(spark.table(table).filter(F.col(BUCKET) == DELTA).drop(BUCKET), keys, order_col)
+    on = F.struct(*keys)
+    late, held = delta.select(on.alias("_on")), base.withColumn("_on", on)
+    same = held.join(late, "_on", "left_semi").drop("_on")
+    rest = held.join(late, "_on", "left_anti").drop("_on")
+    return rest.unionByName(_latest(same.unionByName(delta), keys, order_col))
 
 
 def store_batch(df: DataFrame, path: str, batch_id: int) -> None:
