@@ -232,14 +232,17 @@ def _(spark, d):
     return unzoned(closed(spark, R.telemetry(spark, d), "event_time", build), "window_start", "window_end")
 
 
-@query(
-    "continuous_trip_summary", "K7", "E8",
-    sql=f"""WITH {R.DELTA_SQL} SELECT trip_id, vehicle_id, driver_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS trip_start,
+_TRIPS_SQL = f"""WITH {R.DELTA_SQL} SELECT trip_id, vehicle_id, driver_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS trip_start,
     strftime(max(event_time), '%Y-%m-%d %H:%M:%S') AS trip_end,
     epoch(date_trunc('second', max(event_time)))::BIGINT - epoch(date_trunc('second', min(event_time)))::BIGINT AS trip_duration_sec,
     count(*) AS event_count, round(sum(delta_m), 4) AS distance_m, round(sum(delta_m) / 1000.0, 4) AS distance_km,
     round(avg(speed_kmph), 6) AS avg_speed, min(speed_kmph) AS min_speed, max(speed_kmph) AS max_speed
-    FROM delta WHERE trip_id <> '' GROUP BY 1, 2, 3""",
+    FROM delta WHERE trip_id <> '' GROUP BY 1, 2, 3"""
+
+
+@query(
+    "continuous_trip_summary", "K7", "E8",
+    sql=_TRIPS_SQL,
 )
 def _(spark, d):
     """Moves in event-time order, folded per micro-batch, merged when read."""
@@ -252,6 +255,21 @@ def _(spark, d):
     return rounded(K.read_trip_summary(spark, path), 4, avg_speed=6)
 
 
+@query("continuous_trip_changes", "K7", "B9", "E8", sql=_TRIPS_SQL)
+def _(spark, d):
+    """Trips sent again on change; the keyed sink holds the last row sent for each."""
+    base, keys = scratch_db(spark), ["trip_id", "vehicle_id", "driver_id"]
+
+    def send(changes, batch_id):
+        T.upsert_batch(changes.drop("change", "before"), f"{base}.sent", keys, "batch", buckets=8)
+
+    def run(stream, mark):
+        K.trip_change_stream(stream, f"{base}.trips", mark, send)
+
+    in_parts(spark, R.telemetry(spark, d), "event_time", lambda s: _moves(s).filter("trip_id <> ''"), run)
+    return rounded(T.read_upserted(spark, f"{base}.sent").drop("batch"), 4, avg_speed=6)
+
+
 @query(
     "threshold_alert_stream", "K8", "B9", "C7",
     sql=f"WITH {R.TELEMETRY_SQL} SELECT event_id, vehicle_id, trip_id, speed_kmph FROM tele WHERE speed_kmph > 20",

@@ -503,6 +503,31 @@ def read_upserted(spark: SparkSession, table: str) -> DataFrame:
     return rest.unionByName(_latest(same.unionByName(delta), keys, order_col))
 
 
+def rows_of_keys(spark: SparkSession, table: str, wanted: DataFrame) -> DataFrame:
+    """The current rows of the keys in ``wanted``; only the buckets of these keys are read.
+
+    ``wanted`` is read twice.  The numbers of its buckets, a part of the table's own list of
+    partitions, come to the driver so that the scan is pruned.
+    """
+    told = _keyed(spark, table)
+    nodes = _nodes(spark, table)
+    split = _split_nodes(nodes, told.depth)
+    kinds = spark.table(table).schema
+    keys = wanted.select(*[F.col(k).cast(kinds[k].dataType).alias(k) for k in told.keys]).distinct()
+    leaves = [r[0] for r in keys.select(_leaf(told.keys, told.depth, split)).distinct().collect()]
+    on = F.struct(*told.keys)
+    late = keys.select(on.alias("_on"))
+
+    def held(rows: DataFrame) -> DataFrame:
+        return rows.drop(BUCKET).withColumn("_on", on).join(late, "_on", "left_semi").drop("_on")
+
+    base = held(_base(spark, table, split).filter(F.col(BUCKET).isin(leaves)))
+    if DELTA not in nodes:
+        return base
+    delta = held(spark.table(table).filter(F.col(BUCKET) == DELTA))
+    return _latest(base.unionByName(delta), told.keys, told.order_col)
+
+
 def store_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Store one micro-batch's rows under its id; a replayed batch replaces itself.
 

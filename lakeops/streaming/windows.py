@@ -11,8 +11,9 @@ from lakeops.functions.cases import indicator
 from lakeops.functions.times import text_seconds_between
 from lakeops.operators.joins import pair_within
 from lakeops.operators.ordered import names, running, time_chunk
+from lakeops.session import materialise
 from lakeops.sinks.streams import for_each_batch, stream_to_table
-from lakeops.sinks.tables import read_batches, store_batch
+from lakeops.sinks.tables import read_batches, read_upserted, rows_of_keys, store_batch, upsert_batch
 
 
 def with_event_time(
@@ -181,25 +182,85 @@ def read_trip_summary(
     spark: SparkSession, path: str, keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id")
 ) -> DataFrame:
     """The summaries as of the last stored batch."""
+    whole = read_batches(spark, path).groupBy(*keys).agg(*_merged_parts())
+    return whole.select(*keys, *_summary_columns())
+
+
+def _merged_parts() -> list[Column]:
     merge = {F.min: F.min, F.max: F.max, F.count: F.sum, F.sum: F.sum}
-    whole = read_batches(spark, path).groupBy(*keys).agg(
-        *[merge[fold](n).alias(n) for n, (fold, _) in _TRIP_PARTS.items()]
-    )
+    return [merge[fold](n).alias(n) for n, (fold, _) in _TRIP_PARTS.items()]
+
+
+def _summary_columns(at: str = "") -> list[Column]:
+    """The columns of a summary from its parts, which may stand in a struct."""
+    part = {n: F.col(f"{at}{n}") for n in _TRIP_PARTS}
     fmt = "yyyy-MM-dd HH:mm:ss"
-    return whole.select(
+    return [
+        F.date_format(part["_start"], fmt).alias("trip_start"),
+        F.date_format(part["_end"], fmt).alias("trip_end"),
+        text_seconds_between(part["_start"], part["_end"], fmt).alias("trip_duration_sec"),
+        part["_n"].alias("event_count"),
+        part["_distance"].alias("distance_m"),
+        (part["_distance"] / 1000.0).alias("distance_km"),
+        (part["_speeds"] / part["_timed"]).alias("avg_speed"),
+        part["_slowest"].alias("min_speed"),
+        part["_fastest"].alias("max_speed"),
+    ]
+
+
+def apply_trip_batch(
+    batch: DataFrame, table: str, batch_id: int, keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id")
+) -> DataFrame:
+    """Merge one micro-batch of moves into a keyed table of trips and return what changed.
+
+    One row per trip of the batch: ``batch``, ``change`` (I for a new trip, else U), the new summary,
+    and ``before``, the summary it replaces.  A trip keeps the parts it had before its last batch, so
+    a replayed batch merges into those and returns the same rows.  Only the buckets of the batch's
+    trips are read, and only their rows written.
+    """
+    spark, names_of_parts = batch.sparkSession, list(_TRIP_PARTS)
+    fresh = batch.groupBy(*keys).agg(*[fold(c).alias(n) for n, (fold, c) in _TRIP_PARTS.items()])
+    here = materialise(fresh, "trip-parts")
+    was = F.struct(*names_of_parts)
+    both = here.withColumn("_was", F.when(F.lit(False), was))
+    if spark.catalog.tableExists(table):
+        held = rows_of_keys(spark, table, here)
+        prior = F.when(F.col("_batch") < batch_id, was).otherwise(F.col("_was"))
+        earlier = held.select(*keys, prior.alias("_was")).filter(F.col("_was").isNotNull())
+        both = both.unionByName(earlier.select(*keys, "_was.*", "_was"))
+    merged = both.groupBy(*keys).agg(*_merged_parts(), F.max("_was").alias("_was"))
+    changed = materialise(merged.withColumn("_batch", F.lit(int(batch_id)).cast("bigint")), "trip-changes")
+    upsert_batch(changed, table, keys, "_batch")
+    return changed.select(
+        F.col("_batch").alias("batch"),
+        F.when(F.col("_was").isNull(), "I").otherwise("U").alias("change"),
         *keys,
-        F.date_format("_start", fmt).alias("trip_start"),
-        F.date_format("_end", fmt).alias("trip_end"),
-        text_seconds_between(F.col("_start"), F.col("_end"), fmt).alias("trip_duration_sec"),
-        F.col("_n").alias("event_count"),
-        F.col("_distance").alias("distance_m"),
-        (F.col("_distance") / 1000.0).alias("distance_km"),
-        (F.col("_speeds") / F.col("_timed")).alias("avg_speed"),
-        F.col("_slowest").alias("min_speed"),
-        F.col("_fastest").alias("max_speed"),
+        *_summary_columns(),
+        F.when(F.col("_was").isNotNull(), F.struct(*_summary_columns("_was."))).alias("before"),
     )
 
 
+def trip_change_stream(
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    emit: Callable[[DataFrame, int], None],
+    keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id"),
+) -> None:
+    """Send each trip again whenever a micro-batch changes it: ``emit(changes, batch_id)``.
+
+    ``emit`` is called again with the same rows when a batch is replayed.
+    """
+    for_each_batch(stream, lambda batch, n: emit(apply_trip_batch(batch, table, n, keys), n), checkpoint)
+
+
+def read_trips(
+    spark: SparkSession, table: str, keys: Sequence[str] = ("trip_id", "vehicle_id", "driver_id")
+) -> DataFrame:
+    """The summaries in a table kept by :func:`apply_trip_batch`."""
+    return read_upserted(spark, table).select(*keys, *_summary_columns())
+
+
 def session(
     df: DataFrame,
     ts: str,

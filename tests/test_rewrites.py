@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeops.catalog.base import scratch_db
 from lakeops.sinks import swap as W
 from lakeops.sinks import tables as T
+from lakeops.streaming import windows as K
 
 
 def parts_of(spark, name):
@@ -181,3 +182,62 @@ def test_many_partitions_are_dropped_at_once(spark):
     T.write_table(spark.range(40).selectExpr("id", "string(id) AS p"), name, partition_by="p")
     T.delete_where(spark, name, F.col("id") >= 10)
     assert spark.sql(f"SHOW PARTITIONS {name}").count() == 10 and spark.table(name).count() == 10
+
+
+def test_rows_of_keys_reads_their_buckets_only(spark):
+    name = f"{scratch_db(spark)}.t"
+    T.upsert_batch(versions(spark, 0, 4000, 1), name, "k", "ver", buckets=64)
+    T.upsert_batch(versions(spark, 7, 9, 2), name, "k", "ver")
+    wanted = spark.createDataFrame([(7,), (11,), (7,), (None,), (5000,)], "k int")
+    got = T.rows_of_keys(spark, name, wanted)
+    assert {(r.k, r.ver) for r in got.collect()} == {(7, 2), (11, 1)}
+    read_parts = got.select(F.input_file_name()).distinct()
+    assert T.DELTA in T._nodes(spark, name) and read_parts.count() <= 6
+
+
+TRIP = "trip_id string, vehicle_id string, driver_id string, s long, delta_m double, speed_kmph double"
+
+
+def trip_moves(spark, data):
+    rows = spark.createDataFrame(data, TRIP)
+    return rows.withColumn("event_time", F.timestamp_seconds("s")).drop("s")
+
+
+def sums(data):
+    """Rows and metres per trip, by hand."""
+    found = {}
+    for trip, vehicle, driver, _, metres, _ in data:
+        n, m = found.get((trip, vehicle, driver), (0, 0.0))
+        found[trip, vehicle, driver] = (n + 1, m + metres)
+    return found
+
+
+def test_trips_are_sent_again_on_change(spark):
+    name = f"{scratch_db(spark)}.trips"
+    batches = [
+        [("a", "v", "d", 10, 1.0, 5.0), ("b", "v", None, 20, 2.0, None)],
+        [("a", "v", "d", 5, 4.0, 9.0), ("c", "w", "d", 30, 8.0, 1.0), ("a", "v", "d", 40, 16.0, 7.0)],
+        [("b", "v", None, 25, 32.0, 3.0), ("c", "w", "d", 31, 64.0, 2.0)],
+    ]
+    seen, last = [], {}
+    for n, data in enumerate(batches):
+        seen += data
+        for _ in range(2):  # the second time as after an ended batch
+            sent = K.apply_trip_batch(trip_moves(spark, data), name, n).collect()
+            assert {(r.trip_id, r.change) for r in sent} == {(t[0], "U" if t[:3] in last else "I") for t in data}
+            for r in sent:
+                key = (r.trip_id, r.vehicle_id, r.driver_id)
+                assert (r.event_count, r.distance_m) == sums(seen)[key]
+                assert (r.before and (r.before.event_count, r.before.distance_m)) == last.get(key)
+            held = K.read_trips(spark, name).collect()
+            assert {(r.trip_id, r.vehicle_id, r.driver_id): (r.event_count, r.distance_m) for r in held} == sums(seen)
+        last = sums(seen)
+    a = next(r for r in held if r.trip_id == "a")
+    assert (a.trip_duration_sec, a.min_speed, a.max_speed, a.avg_speed) == (35, 5.0, 9.0, 7.0)
+
+
+def test_an_empty_batch_changes_no_trip(spark):
+    name = f"{scratch_db(spark)}.trips"
+    for n, data in enumerate(([], [("a", "v", "d", 10, 1.0, 5.0)], [])):
+        assert K.apply_trip_batch(trip_moves(spark, data), name, n).count() == len(data)
+    assert K.read_trips(spark, name).count() == 1
