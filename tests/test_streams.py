@@ -1,6 +1,7 @@
 """Streams: state over micro-batches, lateness, and equality with the batch form."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.windows import with_delta_m
@@ -55,6 +56,51 @@ def test_previous_row_crosses_micro_batches(spark, fresh):
     assert key(got) == key(want)
 
 
+def test_previous_row_keeps_every_type(spark, fresh):
+    """Nulls, NaN, microseconds, nested values, odd names and a null key pass the state unchanged."""
+    ddl = (
+        "s long, k string, n long, d double, f float, b boolean, p decimal(20,4), y binary, t timestamp, u timestamp_ntz, "
+        "a array<long>, m map<string,int>, c struct<x:timestamp,z:string>, `odd name` int"
+    )
+    big = 2**53 + 1
+    full = (
+        "CAST({s} AS LONG), {k}, {n}, {d}, CAST({d} AS FLOAT), true, CAST(1.2345 AS DECIMAL(20,4)), X'00FF', "
+        "TIMESTAMP'2024-03-31 02:30:00.000001', TIMESTAMP_NTZ'0100-01-01 00:00:00.000001', array(1L, CAST(NULL AS LONG)), "
+        "map('q', 1), struct(TIMESTAMP'2024-01-01 00:00:00.123456', ''), {s}"
+    )
+    empty = "CAST({s} AS LONG), {k}, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL"
+    told = [
+        [full.format(s=1, k="'v'", n=big, d="double('NaN')"), empty.format(s=5, k="'v'"), full.format(s=2, k="NULL", n=1, d="0.1")],
+        [full.format(s=3, k="'v'", n=-big, d="-0.5"), empty.format(s=4, k="NULL")],
+        [empty.format(s=10**6, k="'end'")],
+    ]
+    schema = spark.createDataFrame([], ddl).schema
+
+    def frame(parts):
+        made = spark.sql(" UNION ALL ".join(f"SELECT {p}" for p in parts)).toDF(*schema.names)
+        typed = made.select(*[F.col(f"`{x.name}`").cast(x.dataType).alias(x.name) for x in schema.fields])
+        return typed.withColumn("event_time", F.timestamp_seconds("s") + F.expr("INTERVAL 1 MICROSECOND"))
+
+    frames = [frame(p) for p in told]
+    cols = [c for c in schema.names if c not in ("s", "k")]
+    stream = feed(spark, fresh("in"), frames).withWatermark("event_time", "10 seconds")
+    with session_conf(spark, STATE):
+        got = run_append(spark, state.stream_with_previous(stream, "k", "event_time", cols, slots=2, block_rows=2), fresh)
+    w = Window.partitionBy("k").orderBy("event_time")
+    want = frames[0].unionByName(frames[1]).select("*", *[F.lag(F.struct(f"`{c}`")).over(w)[c].alias(f"prev_{c}") for c in cols])
+    assert got.columns == want.columns
+    assert [f.dataType for f in got.schema.fields] == [f.dataType for f in want.schema.fields]
+    text = lambda df: sorted(r[0] for r in df.select(F.to_json(F.struct("*"), state.MICROS)).collect())
+    assert text(got) == text(want)
+
+
+def test_rows_without_a_time_are_left_out(spark, fresh):
+    one = points(spark, [(1, "v", "a", 1.0, 1.0), (None, "v", "a", 1.0, 9.0), (2, "v", "a", 1.0, 2.0)])
+    with session_conf(spark, STATE):
+        got = run_append(spark, moves(feed(spark, fresh("in"), [one, points(spark, [END])])), fresh)
+    assert sorted(r.s for r in got.collect()) == [1, 2]
+
+
 def test_only_rows_behind_the_watermark_are_left_out(spark, fresh):
     one = points(spark, [(10, "v", "a", 1.0, 1.0)])
     two = points(spark, [(8, "v", "a", 1.0, 2.0), (20, "v", "a", 1.0, 1.0)])
