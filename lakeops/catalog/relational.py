@@ -343,7 +343,22 @@ _PROFILE = " UNION ALL ".join(
 
 @query("table_profile", "E16", sql=_PROFILE)
 def _(spark, d):
-    return rounded(A.profile(table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"]), 4)
+    found = A.profile(table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
+    return rounded(found.drop("least", "greatest"), 4)
+
+
+_TEXT_PROFILE = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+    round(avg(try_cast({c}::VARCHAR AS DOUBLE)), 4) AS mean, min({c})::VARCHAR AS least, max({c})::VARCHAR AS greatest
+    FROM orders"""
+    for c in ("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+)
+
+
+@query("table_profile_any_type", "E16", sql=_TEXT_PROFILE)
+def _(spark, d):
+    found = A.profile(table(spark, d, "orders"), ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
+    return rounded(found.drop("stddev", "min", "max"), 4)
 
 
 # ---- orders, limits, sets ----

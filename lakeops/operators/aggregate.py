@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.cases import indicator
 from lakeops.functions.times import text_seconds_between
@@ -120,20 +121,39 @@ def filtered_group(df: DataFrame, cond: Column, dims: Sequence[str], measures: d
     return df.filter(cond).groupBy(*dims).agg(*[m.alias(name) for name, m in measures.items()])
 
 
+def _as_number(c: Column, kind: T.DataType) -> Column:
+    """The numbers in a column of any type; what is no number is null."""
+    if isinstance(kind, T.NumericType):
+        return c
+    if isinstance(kind, T.StringType):
+        return c.try_cast("double")
+    return c.cast("double") if isinstance(kind, T.BooleanType) else F.lit(None).cast("double")
+
+
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Row per column: count, nulls, mean, sample deviation, minimum and maximum."""
-    stats = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count(F.when(F.col(c).isNull(), True)).alias("null_count"),
-            F.avg(c).cast("double").alias("mean"),
-            F.stddev_samp(c).alias("stddev"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
+    """Row per column of any type: count, nulls, the mean, sample deviation, minimum and maximum
+    of its numbers, and its least and greatest value as text (null for types without an order).
+
+    Texts that read as numbers count as such; an empty table has null statistics.
+    """
+    stats = []
+    for name in cols:
+        c, kind = F.col(f"`{name}`"), df.schema[name].dataType
+        number = _as_number(c, kind)
+        ordered = F.lit(None).cast("string") if isinstance(kind, (T.MapType, T.VariantType)) else c
+        stats.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.count(F.when(c.isNull(), True)).alias("null_count"),
+                F.avg(number).cast("double").alias("mean"),
+                F.stddev_samp(number).alias("stddev"),
+                F.min(number).cast("double").alias("min"),
+                F.max(number).cast("double").alias("max"),
+                F.min(ordered).cast("string").alias("least"),
+                F.max(ordered).cast("string").alias("greatest"),
+            )
         )
-        for c in cols
-    ]
     one = df.agg(F.array(*stats).alias("_s"))
     return one.select(F.explode("_s").alias("_s")).select("_s.*")
 

@@ -236,6 +236,20 @@ def test_profile_and_flatten(spark):
     assert flatten_struct(nested).columns == ["a.x.y", "a.z", "b"]
 
 
+def test_profile_of_any_type(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES ('10', DATE'2024-01-02', map('a', 1), true, array(2)), ('x', NULL, NULL, false, array(1)) "
+        "AS t(`a text`, d, m, b, l)"
+    )
+    got = {r.column_name: r for r in A.profile(df, df.columns).collect()}
+    assert (got["a text"]["mean"], got["a text"].least, got["a text"].greatest) == (10, "10", "x")
+    assert (got["d"]["mean"], got["d"].null_count, got["d"].least) == (None, 1, "2024-01-02")
+    assert (got["m"].null_count, got["m"].least) == (1, None)
+    assert (got["b"]["mean"], got["b"].greatest, got["l"].least) == (0.5, "true", "[1]")
+    none = A.profile(df.limit(0), ["a text"]).first()
+    assert (none.row_count, none["mean"], none.least) == (0, None, None)
+
+
 def test_rows_with_keys_of_another(spark):
     keys = spark.createDataFrame([(1,), (1,), (None,)], "id long")
     assert [r.id for r in A.with_keys_of(spark.range(5), keys, "id").collect()] == [1]
