@@ -5,7 +5,7 @@ merges across the start of a run of spaces.  The number of tokens of a text is
 then the sum over its pre-tokens, each a run of spaces with the characters up to
 the next.  Tier one is a broadcast table of the pre-tokens frequent in a bounded
 sample; tier two a bounded cache of each worker, filled by encoding what it
-misses.  Nothing is shuffled.  The sample decides only how often tier one hits.
+misses; both keep pre-tokens of up to 64 characters only.  Nothing is shuffled.  The sample decides only how often tier one hits.
 
 Defined results: a null text is empty and has 0 bytes and 0 tokens; repeated rows
 are counted alike; an empty table gives an empty table; other columns are ignored.
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 TABLE_SIZE = 32_768
 SAMPLE_ROWS = 2_000
 CACHE_SIZE = 400_000
+LONGEST_KEPT = 64  # characters; with it the table and each cache hold at most 64 characters an entry
 MARK = "▁"  # how the model writes a space
 RUN = re.compile(" +[^ ]*")
 
@@ -47,7 +48,8 @@ class Lengths(dict):
     """Pre-token without its first space -> number of tokens.
 
     Starts as the broadcast table; misses are encoded and kept until ``limit``
-    entries, when the cache starts over from the table.
+    entries, when the cache starts over from the table.  A pre-token longer than
+    ``LONGEST_KEPT`` characters is encoded each time and not kept.
     """
 
     def __init__(self, model, table: dict[str, int], limit: int = CACHE_SIZE):
@@ -57,6 +59,8 @@ class Lengths(dict):
     def __missing__(self, key: str) -> int:
         # the model itself puts one space before a text, except before an empty one
         n = len(self.model.encode(key)) if key else 1
+        if len(key) > LONGEST_KEPT:
+            return n
         if len(self) >= self.limit:
             self.clear()
             self.update(self.table)
@@ -78,7 +82,7 @@ def frequent_lengths(
     """Lengths of the ``size`` pre-tokens most frequent in at most ``sample_rows`` rows."""
     seen: Counter[str] = Counter()
     for row in docs.select(F.col(text_col).alias("text")).head(sample_rows):
-        seen.update((row.text or "").split(" "))
+        seen.update(word for word in (row.text or "").split(" ") if len(word) <= LONGEST_KEPT)
     lengths = Lengths(load_model(model_path), {}, limit=size + 1)
     # longest first among equals would waste room: order by frequency, then by the word itself
     return {word: lengths[word] for word, _ in sorted(seen.items(), key=lambda kv: (-kv[1], kv[0]))[:size]}

@@ -42,6 +42,18 @@ def test_worker_cache_stays_bounded():
     assert lengths.count(" ".join(f"w{i}" for i in range(100))) and len(lengths) <= 10 and lengths["the"] == 1
 
 
+def test_long_pre_tokens_are_counted_but_not_kept():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    lengths = tokens.Lengths(tokens.load_model(PIECES), {})
+    kept, long = "w" * tokens.LONGEST_KEPT, [c * 5_000 + "é" * n for c in "abc" for n in range(3)]
+    text = " ".join([kept, *long, *long])
+    assert lengths.count(text) == len(model.encode(text))
+    assert set(lengths) == {kept}
+    assert sum(map(len, lengths)) <= tokens.LONGEST_KEPT * len(lengths)
+
+
 def check_packing(rows, ids, capacity=1024):
     """Pieces rebuild the documents; sequences are gapless and not longer than the capacity."""
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
