@@ -591,15 +591,17 @@ def headline_filter(
 
     Tickers meet headlines by equality on their first ``head`` characters (shorter ones whole), of
     which a headline has at most ``head`` per position; the match is then confirmed on the text.
+    The tickers are stored first, so that their size is known before the headlines are cut: unless
+    they are many, the pieces of a headline never leave its task.  Pieces are only cut in lengths
+    that a ticker's first characters have.
     """
     wanted = tickers.select(ticker).filter(F.length(ticker) > 0).distinct()
-    keyed = wanted.withColumn("_head", F.substring(ticker, 1, head))
-    n = F.length(title)
-    pieces = F.flatten(
-        F.transform(
-            F.filter(F.array(*[F.lit(k) for k in range(1, head + 1)]), lambda k: k <= n),
-            lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(F.col(title), i, k)),
-        )
-    )
-    cut = df.withColumn("_head", F.explode(F.array_distinct(pieces)))
+    keyed = materialise(wanted.withColumn("_head", F.substring(ticker, 1, head)), "tickers")
+    sizes = [r.k for r in keyed.select(F.length("_head").alias("k")).distinct().collect()]  # at most ``head``
+    n, none = F.length(title), F.array().cast("array<string>")
+
+    def pieces(k: int) -> Column:
+        return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(F.col(title), i, F.lit(k)))).otherwise(none)
+
+    cut = df.withColumn("_head", F.explode(F.array_distinct(F.concat(none, *map(pieces, sorted(sizes))))))
     return cut.join(keyed, "_head").filter(F.contains(F.col(title), F.col(ticker))).drop("_head")

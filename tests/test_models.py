@@ -149,6 +149,19 @@ def test_headline_substrings(spark):
     assert sorted((r.id, r.ticker) for r in V.headline_filter(news, tickers).collect()) == [(1, "ABCD"), (1, "EFGH")]
 
 
+def test_headline_pieces_stay_in_their_tasks(spark):
+    titles = {1: "AB CDEFG AB", 2: "xAByz", 3: "", 4: None, 5: "A", 6: "CDEF", 7: "AB CDEFG AB"}
+    news = spark.createDataFrame(list(titles.items()), "id long, title string").repartition(3)
+    words = ["AB", "CDEFG", "CDEF", "A", "zz", "", None, "AB"]
+    tickers = spark.createDataFrame([(w,) for w in words], "ticker string").repartition(2)
+    out = V.headline_filter(news, tickers)
+    want = sorted((i, w) for i, t in titles.items() for w in {*words} - {"", None} if t and w in t)
+    assert sorted((r.id, r.ticker) for r in out.collect()) == want
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # before, every piece was shuffled
+    assert V.headline_filter(news, tickers.limit(0)).count() == 0
+
+
 def test_decisions_pick_the_model_with_the_smallest_held_out_error(spark):
     from lakeops.plans import signals
 
