@@ -44,7 +44,8 @@ SIDE = 10  # a tile has 2 ** SIDE rows and columns
 CELLS = 1 << 2 * SIDE
 BUFFER, DENSE_FROM, MOST_DENSE = 1 << 20, CELLS // 64, 8
 SPELLED = 1 << 17
-BUCKETS_PER_PARTITION = 8
+#: A bucket stands for this many words of the input, so that lists are cut by the amount of text and not by the number of tasks.
+BUCKET_WORDS, BUCKETS_PER_PARTITION = 1 << 18, 8
 #: An odd factor spreads the codes over 64 bits, its inverse leads back.
 SPREAD = 0x9E3779B97F4A7C15
 UNSPREAD = pow(SPREAD, -1, 1 << 64)
@@ -151,12 +152,16 @@ class Level:
 
 @dataclass
 class Tables:
-    """What tasks need to name phrases: ids of words per language, all frequent words as a bitmap, the levels above."""
+    """What tasks need to name phrases: ids of words per language, all frequent words as a bitmap, the levels above.
+
+    ``total`` is the number of all words of the input.
+    """
 
     langs: list[str]
     words: list[list[bytes]]
     bits: np.ndarray
     levels: list[Level] = field(default_factory=list)
+    total: int = 0
 
     def ids(self) -> dict[str, tuple[int, dict[bytes, int]]]:
         marks = {bytes([b]): BREAK for b in BREAKS}
@@ -358,6 +363,11 @@ def _merge_phrases(tables, length: int, min_count: int):
     return work
 
 
+def bucket_count(total: int, partitions: int) -> int:
+    """How many buckets lists are cut into, of which a task sends each: one per ``BUCKET_WORDS`` words, some per partition at most."""
+    return max(1, min(-(-total // BUCKET_WORDS), BUCKETS_PER_PARTITION * partitions))
+
+
 def phrase_counts(
     docs: DataFrame, tables, length: int, min_count: int, text_col: str = "text", lang_col: str = "lang", buffer: int = 1 << 18
 ) -> DataFrame:
@@ -365,7 +375,7 @@ def phrase_counts(
 
     ``tables`` is a broadcast :class:`Tables`; a phrase beyond them has a null code.
     """
-    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    buckets = bucket_count(tables.value.total, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     lists = _docs(docs, text_col, lang_col).mapInArrow(
         _count_phrases(tables, length, buckets, buffer), "bucket int, cells binary, counts binary, spelled binary"
     )
@@ -449,6 +459,7 @@ def frequent_phrases(
     size = F.when(F.col("phrase").isNull(), F.lit(0)).otherwise(F.lit(1))
     found = words.select("lang", "phrase", size.alias("words"), "n")
     tables = _word_table(words.where("phrase IS NOT NULL"), table)
+    tables.total = words.where("phrase IS NULL").agg(F.sum("n")).first()[0] or 0
     for length in range(2, max_words + 1):
         sent = context.broadcast(tables)
         named = materialise(phrase_counts(docs, sent, length, min_count, text_col, lang_col), f"collocation-{length}")

@@ -92,6 +92,28 @@ def test_tiles_add_up(monkeypatch):
     assert got == want
 
 
+def test_lists_are_cut_by_words_not_by_tasks(spark, monkeypatch):
+    rows = [("en", " ".join(f"w{(i * k) % 90}" for k in range(60))) for i in range(400)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, text string").repartition(40)
+    made = spark.sparkContext.accumulator(0)
+    count = C._count_phrases
+
+    def counted(*a):
+        work = count(*a)
+
+        def run(batches):
+            for lists in work(batches):
+                made.add(lists.num_rows)
+                yield lists
+
+        return run
+
+    monkeypatch.setattr(C, "_count_phrases", counted)
+    assert set(map(tuple, C.collocations(docs, 3, 10, 50).collect())) == expected(rows, 3, 10, 50, 50)
+    assert 80 <= made.value <= 160  # a list or two per task and length; before, one per bucket of every shuffle partition
+    assert C.bucket_count(0, 8) == 1 and C.bucket_count(3 * C.BUCKET_WORDS, 8) == 3 and C.bucket_count(10**12, 8) == 64
+
+
 def test_scores_beyond_64_bits(spark):
     pick = random.Random(1)
     rows = [(a, pick.randint(a, 10**14), pick.randint(a, 10**14)) for a in (pick.randint(10, 10**13) for _ in range(300))]
