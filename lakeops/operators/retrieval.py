@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
@@ -62,22 +63,26 @@ def embed(
     """Vector per row from a model call that takes ``batch`` texts at a time.
 
     Runs where the rows are: no numbering, no driver loop, one pass.  A null text does not
-    reach the model and has a null vector.
+    reach the model and has a null vector.  Only the texts of one call are Python objects at a
+    time, and rows leave as slices of the Arrow batch they came in.
     """
     src = df.select(id_col, text_col, *carry)
     schema = T.StructType([*src.schema.fields, T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+    at_text = src.columns.index(text_col)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            vectors = []
-            for at in range(0, len(pdf), batch):
-                texts = pdf[text_col].iloc[at : at + batch].tolist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for at in range(0, rows.num_rows, batch):
+                some = rows.slice(at, batch)
+                texts = some.column(at_text).to_pylist()
                 there = [t for t in texts if t is not None]
                 made = iter(fn(there) if there else [])
-                vectors += [None if t is None else [float(x) for x in next(made)] for t in texts]
-            yield pdf.assign(embedding=vectors)
+                vectors = [None if t is None else [float(x) for x in next(made)] for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(vectors, pa.list_(pa.float64()))], [*some.schema.names, "embedding"]
+                )
 
-    return src.mapInPandas(run, schema)
+    return src.mapInArrow(run, schema)
 
 
 def words(col: Column) -> Column:

@@ -114,6 +114,18 @@ def test_zero_vector_scores_nothing(spark):
     assert [r.id for r in V.vector_topk(q, idx, 5).collect()] == [2]
 
 
+def test_embedding_holds_few_texts_at_once(spark):
+    texts = {i: None if i % 7 == 0 else f"t{i}" * (i % 5) for i in range(95)}
+    df = spark.createDataFrame(list(texts.items()), "id long, text string").withColumn("at", F.lit("2024-01-01").cast("timestamp")).coalesce(1)
+    sizes = spark.sparkContext.accumulator(0)
+    rows = V.embed(df, "id", "text", lambda ts: (sizes.add(len(ts)), [[float(len(t))] for t in ts])[1], batch=10, carry=["at"])
+    got = {r.id: (r.text, r.embedding) for r in rows.collect()}
+    assert got == {i: (t, None if t is None else [float(len(t))]) for i, t in texts.items()}
+    assert sizes.value == sum(t is not None for t in texts.values()) and {r.at for r in rows.collect()} == {r.at for r in df.collect()}
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan  # before, a whole Arrow batch became Python objects
+
+
 def test_embedding_batches(spark):
     seen = V.embed(spark.range(45).selectExpr("id", "concat('t', id) AS text").coalesce(1), "id", "text", lambda t: [[float(len(t))]] * len(t))
     sizes = sorted(r.embedding[0] for r in seen.collect())
