@@ -420,15 +420,18 @@ def keyword_lists(
     query_id: str = "query_id",
     text: str = "text",
     lists: dict[str, tuple[bool, int]] = PLAIN,
+    query_block: int | None = None,
 ) -> DataFrame:
     """The k documents with the best BM25 score per query and list: ``list, query_id, id, score, rank``.
 
     A query first meets the block with its highest bound, which gives a score to beat;
     then only the blocks whose bound, the sum of the peaks of its words, can still reach
     that.  A task reads a block's postings once and lets the block's queries pass by, so
-    the index is never copied per query.  Scores are rounded before they are ranked.
+    the index is never copied per query; with ``query_block`` it is read once per so many
+    queries, each in a task of its own.  Scores are rounded before they are ranked.
     """
     doc_id = index.doc_id
+    turns = _pieces(queries.count(), query_block, 1) if query_block else 1
     asked = queries.select(query_id, F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
     weighed = materialise(asked.join(index.terms, "term"), "asked-words")
     terms = weighed.groupBy(query_id).agg(F.collect_list(F.struct("term", "idf")).alias("_terms"))  # a query's own words
@@ -438,7 +441,7 @@ def keyword_lists(
     bounds = materialise(bound, "block-bounds")
 
     def hits(pairs: DataFrame) -> DataFrame:
-        return _stream_blocks(index, pairs.select(query_id, "_block").join(terms, query_id), query_id, queries.schema[query_id].dataType, k, lists)
+        return _stream_blocks(index, pairs.select(query_id, "_block").join(terms, query_id), query_id, queries.schema[query_id].dataType, k, lists, turns)
 
     first = top_n_per_group(bounds, query_id, ["-plain", "_block"], 1)
     seed = materialise(hits(first), "first-hits")
@@ -453,16 +456,17 @@ def keyword_lists(
 
 
 def _stream_blocks(
-    index: KeywordIndex, pairs: DataFrame, query_id: str, kind: T.DataType, k: int, lists: dict[str, tuple[bool, int]]
+    index: KeywordIndex, pairs: DataFrame, query_id: str, kind: T.DataType, k: int, lists: dict[str, tuple[bool, int]], turns: int = 1
 ) -> DataFrame:
-    """Scores each ``(query, block, words)`` row against its block; postings come first within a block."""
+    """Scores each ``(query, block, words)`` row against its block; postings come first within a block and turn."""
     doc_id, id_kind = index.doc_id, index.postings.schema["ids"].dataType.elementType
-    blocks = pairs.select("_block").distinct()
-    stored = index.postings.join(blocks, "_block", "left_semi").select(
-        "_block", F.lit(0).alias("_kind"), F.lit(None).cast(kind).alias("_q"), F.lit(None).cast(pairs.schema["_terms"].dataType).alias("_terms"),
+    pairs = pairs.withColumn("_cell", F.col("_block").cast("long") * turns + _own(query_id, turns))
+    blocks = pairs.select("_block", "_cell").distinct()
+    stored = index.postings.join(blocks, "_block").select(
+        F.col("_cell").alias("_block"), F.lit(0).alias("_kind"), F.lit(None).cast(kind).alias("_q"), F.lit(None).cast(pairs.schema["_terms"].dataType).alias("_terms"),
         "term", "ids", "parts", "lens",
     )
-    passing = pairs.select("_block", F.lit(1).alias("_kind"), F.col(query_id).alias("_q"), "_terms")
+    passing = pairs.select(F.col("_cell").alias("_block"), F.lit(1).alias("_kind"), F.col(query_id).alias("_q"), "_terms")
     laid = stored.unionByName(passing, allowMissingColumns=True).repartition("_block").sortWithinPartitions("_block", "_kind")
     schema = T.StructType(
         [T.StructField("list", T.StringType()), T.StructField(query_id, kind), T.StructField(doc_id, id_kind), T.StructField("score", T.DoubleType())]
@@ -517,6 +521,7 @@ def keyword_topk(
     b: float = 0.75,
     per_length: bool = False,
     digits: int = 6,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """The k documents with the best BM25 score of every query, with ``score`` and ``rank``.
 
@@ -524,7 +529,7 @@ def keyword_topk(
     ``per_length`` a score is divided by one more than the document's number of words.
     """
     index = keyword_index(docs, doc_id, text, k1, b, query_words(queries, text))
-    return keyword_lists(queries, index, k, query_id, text, {"words": (per_length, digits)}).drop("list")
+    return keyword_lists(queries, index, k, query_id, text, {"words": (per_length, digits)}, query_block).drop("list")
 
 
 def query_words(queries: DataFrame, text: str = "text") -> DataFrame:
