@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.cases import indicator
 from lakeops.functions.times import text_seconds_between
@@ -48,18 +49,58 @@ def hop(
     Rows are first summed per slide-wide pane, and only the panes are copied to the
     windows that hold them; copying the rows themselves would multiply the input by
     size/slide.  On a stream both steps keep state until the watermark closes them,
-    so results come once per window, in append mode.
+    so results come once per window, in append mode.  There the second state is a list of
+    panes per key and block of windows, not a row per window, and the windows of a block
+    leave together when its last one is closed.
     """
     keys = names(keys)
     panes = df.groupBy(F.window(ts, slide).alias("_pane"), *keys).agg(
         *[F.sum(s).alias(n) for n, s in sums.items()]
     )
     start = F.window_time("_pane") if df.isStreaming else F.col("_pane.start")
+    if df.isStreaming and isinstance(df.schema[ts].dataType, T.TimestampType):
+        wide, step = (_micros(df.sparkSession, x) for x in (size, slide))
+        if wide % step == 0:
+            return _hop_blocks(panes.select(start.alias("_at"), "_pane.start", *keys, *sums), wide, step, keys, list(sums))
     at = panes.select(start.alias("_at"), *keys, *sums)
     out = at.groupBy(F.window("_at", size, slide), *keys).agg(*[F.sum(n).alias(n) for n in sums])
     return _window_bounds(out, keys, list(sums))
 
 
+WINDOWS_LONG = 4  # a block of windows is as long as this many windows
+
+
+def _micros(spark: SparkSession, length: str) -> int:
+    return spark.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL '{length}')").first()[0]
+
+
+def _hop_blocks(panes: DataFrame, size: int, slide: int, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Sums per sliding window from a stream of panes (``_at``, ``start``), in microseconds.
+
+    A block holds the windows that start in it; its panes reach on to the end of the last one and
+    are one per slide at most, so the list of a key and block is bounded by the two lengths.
+    """
+    block = size * WINDOWS_LONG
+    kind = {f.name: f.dataType for f in panes.groupBy().agg(*[F.sum(n).alias(n) for n in sums]).schema.fields}
+    pane = F.struct(F.unix_micros("start").alias("_p"), *sums)
+    over = F.window("_at", f"{block + size - slide} microseconds", f"{block} microseconds")
+    held = panes.groupBy(over, *keys).agg(F.collect_list(pane).alias("_panes"))
+    first = F.unix_micros("window.start")
+
+    def summed(start: Column) -> Column:
+        inside = F.filter("_panes", lambda p: (p["_p"] >= start) & (p["_p"] < start + size))
+        add = lambda n: lambda a, p: F.coalesce(a + p[n].cast(kind[n]), a, p[n].cast(kind[n])).cast(kind[n])
+        return F.struct(start.alias("_s"), *[F.aggregate(inside, F.lit(None).cast(kind[n]), add(n)).alias(n) for n in sums])
+
+    starts = F.flatten(F.transform("_panes", lambda p: F.sequence(p["_p"] - (size - slide), p["_p"], F.lit(slide))))
+    own = F.filter(F.array_distinct(starts), lambda s: (s >= first) & (s < first + block))
+    each = held.select(*keys, F.explode(F.transform(own, summed)).alias("_w"))
+    return each.select(
+        F.timestamp_micros("_w._s").alias("window_start"), F.timestamp_micros(F.col("_w._s") + size).alias("window_end"),
+        *keys, *[F.col(f"_w.`{n}`").alias(n) for n in sums],
+    )
+
+
 # Weights of the driving-behaviour score.
 BEHAVIOUR_WEIGHTS = {"overspeed": 2.0, "harsh_brake": 3.0, "idling": 1.0}
 

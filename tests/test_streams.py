@@ -245,3 +245,24 @@ def test_hot_key_with_a_short_gap(spark):
         last[r.k][2] += 1
         last[r.k][3] = max(last[r.k][3], r.v)
     assert {k: (v[1], v[2]) for k, v in got.items()} == {k: (v[2], v[3]) for k, v in want.items()}
+
+
+def test_sliding_windows_keep_a_list_per_block(spark, fresh):
+    data = [(k, t + 0.25, 1.0 + t) for k in ("a", None) for t in (0, 1, 2, 14, 15, 29, 40, 40, 59, 60, 61, 75, 130) for _ in range(2)]
+    ticks = spark.createDataFrame([(k, s, v) for k, s, v in data], "k string, s double, v double")
+    ticks = ticks.select("k", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")).alias("ts"), F.when(F.col("s") != 14.25, F.col("v")).alias("v"))
+    far = ticks.limit(1).withColumn("ts", F.timestamp_seconds(F.lit(5000)))
+    some = {"n": F.count("v"), "v": F.col("v"), "d": F.col("v").cast("decimal(10,2)")}
+    some["n"] = F.col("v").isNotNull().cast("int")
+    stream = feed(spark, fresh("feed"), [ticks.filter("ts < '1970-01-01 00:00:30'"), ticks.filter("ts >= '1970-01-01 00:00:30'"), far])
+    got = run_append(spark, K.hop(stream.withWatermark("ts", "1 minute"), "ts", "15 seconds", "1 second", "k", some), fresh)
+    want = K.hop(ticks, "ts", "15 seconds", "1 second", "k", some)
+    assert got.schema["d"].dataType == want.schema["d"].dataType and rows(got) == rows(want)
+
+    early, late = ticks.filter("ts < '1970-01-01 00:00:03'"), ticks.filter("ts = '1970-01-01 00:00:40.25'")
+    mark = fresh("mark")
+    stream = feed(spark, fresh("feed"), [early, late]).withWatermark("ts", "1 second")
+    with session_conf(spark, STATE):
+        Z.stream_to_table(K.hop(stream, "ts", "15 seconds", "1 second", "k", some), fresh("out"), mark)
+    held = [spark.read.format("statestore").option("operatorId", i).load(mark).count() for i in (0, 1)]
+    assert sorted(held) == [2, 2]  # the pane of each key, and its block; before, a row per window
