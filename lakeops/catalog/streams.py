@@ -134,7 +134,7 @@ def _(spark, d):
 
 def _moves(tele):
     """A stream of points with the distance to the point before, in event-time order."""
-    return state.stream_delta_m(K.with_event_time(tele, "event_time", lateness=LATE), tie=["event_id"], slots=16)
+    return state.stream_delta_m(K.with_event_time(tele, "event_time", lateness=LATE), tie=["event_id"], slots=64)
 
 
 def closed_over_moves(spark, d, build):
