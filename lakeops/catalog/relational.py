@@ -179,7 +179,7 @@ def _(spark, d):
     bought = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", "l_linenumber", "l_partkey", F.col("o_orderdate").alias("day"))
     prices = lines.select("l_partkey", F.col("l_shipdate").alias("day"), F.col("l_extendedprice").alias("last_price"))
     month = F.date_trunc("month", "_t")
-    return J.asof_join(bought, prices, "l_partkey", "day", ["last_price"], chunk=month).select("o_orderkey", "l_linenumber", "last_price")
+    return J.asof_join(bought, prices, "l_partkey", "day", ["last_price"], chunk=month, count=2 * lines.count()).select("o_orderkey", "l_linenumber", "last_price")
 
 
 # ---- aggregations ----

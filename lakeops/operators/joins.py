@@ -115,6 +115,7 @@ def asof_join(
     strict: bool = False,
     right_ts: str | None = None,
     chunk: Column | str | None = None,
+    count: int | None = None,
 ) -> DataFrame:
     """Each row of ``left`` with ``cols`` of the nearest row of ``right`` of its key.
 
@@ -123,7 +124,8 @@ def asof_join(
     ``right_ts`` names the output column of the matched time; columns are null where
     nothing matches, as where the key or the time is.  Both sides are laid into one
     order and the value is carried along it from cell to cell, so there are as many rows
-    as both sides have, never pairs, and a hot key is spread over its cells.
+    as both sides have, never pairs, and a hot key is spread over its cells.  ``count``, about
+    the rows of both sides, bounds what one task sorts, see :func:`fill_forward`.
     """
     by, kind = names(key), left.schema[ts].dataType
     found = F.struct(F.col(ts).alias("t"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(cols)))
@@ -139,7 +141,7 @@ def asof_join(
     if chunk is None and isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         chunk = time_chunk("_t", "month" if isinstance(kind, T.DateType) else "hour")
     fill = fill_backward if forward else fill_forward
-    filled = fill(both, by, ["_t", "_side"], ["_match"], chunk).where("_row IS NOT NULL")
+    filled = fill(both, by, ["_t", "_side"], ["_match"], chunk, count).where("_row IS NOT NULL")
     known = F.col("_t").isNotNull()
     for b in by:
         known = known & F.col(b).isNotNull()

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from lakeops.session import materialise
 
 CHUNK, CELL, ROW, BLOCK, HALO = "_chunk", "_cell", "_row", "_block", "_halo"
+ROWS_PER_TASK = 1 << 20
 
 def names(cols: str | Sequence[str] | None) -> list[str]:
     if cols is None:
@@ -249,10 +250,18 @@ def fill_forward(
     order: Sequence[str],
     cols: Sequence[str],
     chunk: Column | str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Replace nulls by the last non-null value before them, per key."""
+    """Replace nulls by the last non-null value before them, per key.
+
+    ``rows`` tells how many rows there are about: beyond ``ROWS_PER_TASK`` of them per shuffle
+    partition, more partitions are taken, so that what a task sorts does not grow with the table.
+    """
     by = names(by)
     cut = add_chunk(df, by, order, chunk)
+    tasks = -(-(rows or 0) // ROWS_PER_TASK)
+    if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")):
+        cut = cut.repartition(tasks, CELL)
     upto = _in_cell(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = cut.withColumns({f"_loc_{c}": F.last(c, ignorenulls=True).over(upto) for c in cols})
     ends, before = _chunk_ends(cut, order, cols), _chunks_before(by, order)
@@ -282,9 +291,10 @@ def fill_backward(
     order: Sequence[str],
     cols: Sequence[str],
     chunk: Column | str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Replace nulls by the next non-null value, per key."""
-    return fill_forward(df, by, reverse(order), cols, chunk)
+    return fill_forward(df, by, reverse(order), cols, chunk, rows)
 
 
 def split_blocks(

@@ -137,3 +137,14 @@ def test_keyword_lists_against_every_document(spark):
                 want[name, qid, rank] = (k, -s)
     assert got.keys() == want.keys()
     assert all(got[x][0] == want[x][0] and abs(got[x][1] - want[x][1]) < 2e-6 for x in want)
+
+
+def test_partitions_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(O, "ROWS_PER_TASK", 10)
+    left = spark.createDataFrame([(k, t) for k in (1, 2, None) for t in [*range(0, 90, 4), None]], "k int, t long")
+    right = spark.createDataFrame([(k, t, 100 * k + t) for k in (1, 2) for t in range(0, 90, 7)], "k int, t long, v int")
+    few, many = (J.asof_join(left, right, "k", "t", ["v"], chunk=F.floor(F.col("_t") / 10), count=n) for n in (None, 170))
+    shown = lambda df: sorted(map(repr, df.collect()))
+    assert shown(many) == shown(few)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert ", 17)" in plan  # before, as many as spark.sql.shuffle.partitions whatever the rows
