@@ -145,18 +145,35 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+FILES_PER_TASK, FIELD_BYTES = 64, 16
+
+
+def _small_tasks(columns: int, max_rows: int) -> dict[str, str]:
+    """Sizes for adaptive execution by which a task writes some ``FILES_PER_TASK`` files, where its own would make more."""
+    size = max_rows * FILES_PER_TASK * FIELD_BYTES * columns
+    if size >= 64 << 20:
+        return {}
+    return dict.fromkeys(
+        ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"), str(size)
+    )
+
+
 def write_chunked(df: DataFrame, path: str, ts: str, max_rows: int = 100, codec: str = "snappy") -> None:
-    """Land rows under year/month/day in files of at most ``max_rows`` rows."""
+    """Land rows under year/month/day in files of at most ``max_rows`` rows.
+
+    Small files cost by their number, so small ``max_rows`` make more and smaller tasks.
+    """
     parts = day_parts(F.col(ts))
     dated = df.withColumns(parts)
-    (
-        spread(dated, list(parts))
-        .write.mode("append")
-        .partitionBy(*parts)
-        .option("maxRecordsPerFile", max_rows)
-        .option("compression", codec)
-        .parquet(path)
-    )
+    with session_conf(df.sparkSession, _small_tasks(len(dated.columns), max_rows)):
+        (
+            spread(dated, list(parts))
+            .write.mode("append")
+            .partitionBy(*parts)
+            .option("maxRecordsPerFile", max_rows)
+            .option("compression", codec)
+            .parquet(path)
+        )
 
 
 def write_keyed_json(df: DataFrame, path: str, key: str, date: str) -> None:

@@ -175,3 +175,13 @@ def test_ingest_takes_only_new_files_and_keeps_schema(spark, fresh):
             X.ingest_available(spark, src, base, "ids", name, "json")
     assert rows(spark.table(name).select("id")) == [(i,) for i in range(10)]
     assert X.tracked_schema(spark, "unused", f"{base}/schemas/ids", "json").names == ["id"]
+
+
+def test_small_files_are_written_by_many_tasks(spark, fresh):
+    df = spark.range(40_000).select("id", F.timestamp_seconds(F.col("id") % 12 * 86_400).alias("at"), F.sha2(F.col("id").cast("string"), 512).alias("wide"))
+    path = fresh("chunks")
+    T.write_chunked(df, path, "at", max_rows=20)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert max(r.n for r in files) == 20 and sum(r.n for r in files) == 40_000
+    assert len({r.f.rsplit("/", 1)[1].split("-")[1] for r in files}) >= 3  # before, one task wrote all of them
+    assert spark.read.parquet(path).agg(F.countDistinct("id")).first()[0] == 40_000
