@@ -138,7 +138,7 @@ def queue_entries(
     order = Window.partitionBy("cell").orderBy("turn", "key", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     reached = (
         placed.withColumn("inside", F.coalesce(F.sum("words").over(order), F.lit(0)))
-        .join(carried, "cell")
+        .join(carried.hint("merge"), "cell")  # the rows are dealt by cell already, and cells may be as many as rows
         .withColumn("start", F.col("before") + F.col("inside"))
         .drop("before", "inside", "cell", "words")
     )
@@ -207,6 +207,8 @@ def mixed(
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {CHUNK * ENTRIES_PER_COPY}")))
     held = alike.select("key", "row", part.alias("part"))
     wanted = entries.where("size > 0").withColumn("part", F.expr(f"chunk div {ENTRIES_PER_COPY}"))
-    joined = each_row(wanted.join(held, ["key", "part"])).withColumn("copies", copies).where("copies > 0")
+    # entries are many times their compressed file, by which Spark would broadcast them
+    matched = wanted.join(held.hint("merge"), ["key", "part"])
+    joined = each_row(matched).withColumn("copies", copies).where("copies > 0")
     repeated = joined.select("row", "reached", "source_size", "target", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
     return repeated.orderBy(_finish(F.col("copy")), F.col("copy")).select("row.*")

@@ -294,7 +294,8 @@ def candidate_edges(classes: DataFrame, percent: int, samples: int, block: int)
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"), F.min("node").alias("first")
     ).where("n > 1")
     once = buckets.groupBy("n", "members", "first").agg(F.min("key").alias("key")).select("key", "n")
-    inside = placed.join(once, "key").join(classes.select("node", "n_shingles", "sketch"), "node")
+    # Spark takes an exploded array for one value: neither side of the join on the keys may be broadcast by its estimate
+    inside = placed.join(once.hint("merge"), "key").join(classes.select("node", "n_shingles", "sketch"), "node")
     blocks = F.ceil(F.col("n") / block)
     paired = _in_blocks(inside.select("key", "n", "node", "n_shingles", "sketch"), "key", blocks).drop("n")
 
